@@ -13,9 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabmill.functions.exprs import rnd
-from tabmill.operators import clean, profile, select
+from tabmill.operators import clean, evaluate, labels, profile, scale, select, split
 from tabmill.plans import pipeline as P
 from tabmill.plans import sqlgen as S
+from tabmill.plans import tasks as T
+from tabmill.plans.tasks import TASK_BY_NAME, TASKS
+from tabmill.session import materialize
 from tabmill.sources.assay import ASSAY_SPEC, FEATURES, TARGETS
 from tabmill.sources.tables import read_table
 
@@ -294,3 +297,213 @@ def q_variance_filter(spark, sf):
     v = select.variances(df, FEATURES)
     return v.select("feature", "position", rnd("variance", 2).alias("variance"),
                     F.col("feature").isin(list(kept) or [""]).alias("kept"))
+
+
+# ---- F: labels ------------------------------------------------------------
+
+@query("label_median_ge", S.with_ctes(*S.logged_ctes()) +
+       "SELECT id, CAST(ic50 >= (SELECT median(ic50) FROM logged) AS INTEGER) AS label FROM logged")
+def q_label_ge(spark, sf):
+    out, _ = labels.label_median(_logged(spark, sf).select("id", "ic50"), "ic50", "label")
+    return out.select("id", "label")
+
+
+@query("label_median_gt", S.with_ctes(*S.logged_ctes()) +
+       "SELECT id, CAST(si > (SELECT median(si) FROM logged) AS INTEGER) AS label FROM logged")
+def q_label_gt(spark, sf):
+    out, _ = labels.label_median(_logged(spark, sf).select("id", "si"), "si", "label", strict=True)
+    return out.select("id", "label")
+
+
+@query("label_threshold", S.with_ctes(*S.logged_ctes()) +
+       "SELECT id, CAST(log_si >= log10(8) AS INTEGER) AS label, "
+       "CAST(log_si >= ln(1 + 8) AS INTEGER) AS label_same_scale FROM logged")
+def q_label_threshold(spark, sf):
+    df = _logged(spark, sf).select("id", "log_si")
+    df = labels.label_threshold(df, "log_si", "label", 8.0, "log10")
+    df = labels.label_threshold(df, "log_si", "label_same_scale", 8.0, "log1p")
+    return df.select("id", "label", "label_same_scale")
+
+
+@query("class_balance", S.with_ctes(
+    *S.logged_ctes(),
+    "lab AS (SELECT CAST(log_si >= log10(8) AS INTEGER) AS label FROM logged)",
+    "vc AS (SELECT label, count(*) AS n, count(*) / (SELECT count(*) FROM lab) AS share "
+    "FROM lab GROUP BY label)",
+    "st AS (SELECT max(share) - min(share) > 0.1 AS imb, min(n) AS minority FROM vc)") +
+    "SELECT label, n, share, st.imb AS imbalanced, st.imb AND st.minority >= 5 AS resample FROM vc, st")
+def q_class_balance(spark, sf):
+    df = labels.label_threshold(_logged(spark, sf).select("log_si"), "log_si", "label", 8.0, "log10")
+    return labels.class_balance(df, "label")
+
+
+# ---- G: splits --------------------------------------------------------------
+
+@query("split_random", S.with_ctes() +
+       f"SELECT id, CASE WHEN {S.hash_u('id')} < 0.2 THEN 'test' ELSE 'train' END AS split FROM assay")
+def q_split_random(spark, sf):
+    return split.split_random(P.assay_raw(spark, sf).select("id"), "id")
+
+
+@query("split_stratified", S.with_ctes(*S.logged_ctes(), *S.task_ctes(TASK_BY_NAME["classification_ic50_median"], 0)[:5]) +
+       "SELECT id, y AS label, split FROM t0")
+def q_split_stratified(spark, sf):
+    df, _ = labels.label_median(_logged(spark, sf).select("id", "ic50"), "ic50", "label")
+    return split.split_stratified(df, "id", "label").select("id", "label", "split")
+
+
+@query("kfold_assign", S.with_ctes() +
+       f"SELECT id, CAST(floor({S.hash_u('id', 42, 'fold')} * 5.0) AS INTEGER) AS fold FROM assay")
+def q_kfold(spark, sf):
+    return split.kfold_assign(P.assay_raw(spark, sf).select("id"), "id")
+
+
+@query("standardize", S.with_ctes(
+    *S.selected_ctes(),
+    f"sp AS (SELECT *, CASE WHEN {S.hash_u('id')} < 0.2 THEN 'test' ELSE 'train' END AS split FROM logged)",
+    "lg AS (UNPIVOT (SELECT id, split, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in FEATURES)
+    + " FROM sp) ON " + ", ".join(FEATURES) + " INTO NAME feature VALUE v)",
+    "fit AS (SELECT feature, avg(v) AS m, stddev_pop(v) AS s FROM lg WHERE split = 'train' GROUP BY feature)") +
+    "SELECT l.id, l.feature, l.split, round((l.v - f.m) / CASE WHEN f.s = 0 OR f.s IS NULL THEN 1.0 ELSE f.s END, 6) "
+    "AS z FROM lg l JOIN fit f USING (feature) WHERE l.feature IN (SELECT feature FROM kept)")
+def q_standardize(spark, sf):
+    df = _logged(spark, sf)
+    dropped = select.corr_drop_list(df, FEATURES, P.CORR_THRESHOLD)
+    kept = select.variance_keep(df, [c for c in FEATURES if c not in dropped], P.VARIANCE_THRESHOLD)
+    df = split.split_random(df.select("id", *kept), "id")
+    sc = scale.fit_scaler(df.where("split = 'train'"), kept)
+    z = scale.apply_scaler(df, sc)
+    long = z.unpivot(["id", "split"], kept, "feature", "z")
+    return long.select("id", "feature", "split", rnd("z", 6).alias("z"))
+
+
+# ---- J: evaluation ------------------------------------------------------------
+
+def _preds(spark, sf, task_names: list[str] | None = None) -> DataFrame:
+    tasks = [t for t in TASKS if task_names is None or t.name in task_names]
+    logged = materialize(_logged(spark, sf), "logged")
+    out = None
+    for t in tasks:
+        p = T.rule_predictions(T.task_frame(logged, t), t)
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+def _preds_sql(task_names: list[str], *more: str) -> str:
+    tasks = [t for t in TASKS if t.name in task_names]
+    return S.with_ctes(*S.logged_ctes(), *S.preds_ctes(tasks), *more)
+
+
+@query("metrics_regression", _preds_sql(["regression_log_ic50"]) +
+       "SELECT model, count(*) AS n, round(avg((y - p) * (y - p)), 6) AS mse, "
+       "round(1 - sum((y - p) * (y - p)) / nullif(var_pop(y) * count(*), 0), 6) AS r2, "
+       "round(avg(abs(y - p)), 6) AS mae FROM preds WHERE split = 'test' GROUP BY model")
+def q_metrics_regression(spark, sf):
+    p = _preds(spark, sf, ["regression_log_ic50"]).where("split = 'test'")
+    m = evaluate.metrics_regression(p, "y", "p", ["model"])
+    return round_all(m, 6)
+
+
+@query("metrics_by_split", _preds_sql(["regression_log_ic50", "classification_si_8"]) +
+       "SELECT task, model, split, count(*) AS n, "
+       "round(1 - sum((y - p) * (y - p)) / nullif(var_pop(y) * count(*), 0), 6) AS r2, "
+       "round(CASE WHEN count(*) FILTER (WHERE yhat IS NOT NULL) = 0 THEN NULL ELSE "
+       "count(*) FILTER (WHERE y = yhat) / count(*) END, 6) AS accuracy "
+       "FROM preds GROUP BY task, model, split")
+def q_metrics_by_split(spark, sf):
+    p = _preds(spark, sf, ["regression_log_ic50", "classification_si_8"])
+    err = F.col("y") - F.col("p")
+    out = p.groupBy("task", "model", "split").agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.lit(1.0) - F.try_divide(F.sum(err * err), F.var_pop("y") * F.count(F.lit(1)))).alias("r2"),
+        F.when(F.count("yhat") > 0, F.count_if(F.col("y") == F.col("yhat")) / F.count(F.lit(1)))
+        .alias("accuracy"))
+    return round_all(out, 6)
+
+
+@query("metrics_classification", _preds_sql(["classification_ic50_median"]) +
+       "SELECT model, tp + fp + fn + tn AS n, "
+       "round(CASE WHEN tp + fp + fn + tn = 0 THEN 0.0 ELSE (tp + tn) / (tp + fp + fn + tn) END, 6) AS accuracy, "
+       "round(CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END, 6) AS precision, "
+       "round(CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END, 6) AS recall, "
+       "round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + fn) END, 6) AS f1 FROM ("
+       "SELECT model, count(*) FILTER (WHERE y = 1 AND yhat = 1) AS tp, "
+       "count(*) FILTER (WHERE y = 0 AND yhat = 1) AS fp, count(*) FILTER (WHERE y = 1 AND yhat = 0) AS fn, "
+       "count(*) FILTER (WHERE y = 0 AND yhat = 0) AS tn FROM preds WHERE split = 'test' GROUP BY model)")
+def q_metrics_classification(spark, sf):
+    p = _preds(spark, sf, ["classification_ic50_median"]).where("split = 'test'")
+    return round_all(evaluate.metrics_classification(p, "y", "yhat", ["model"]), 6)
+
+
+@query("confusion_matrix", _preds_sql(["classification_ic50_median"]) +
+       "SELECT t.true_label, t.pred_label, count(p.id) AS n FROM "
+       "(VALUES (0, 0), (0, 1), (1, 0), (1, 1)) t(true_label, pred_label) LEFT JOIN "
+       "(SELECT * FROM preds WHERE split = 'test' AND model = 'rule_sum_price') p "
+       "ON p.y = t.true_label AND p.yhat = t.pred_label GROUP BY t.true_label, t.pred_label")
+def q_confusion(spark, sf):
+    p = _preds(spark, sf, ["classification_ic50_median"]).where(
+        "split = 'test' AND model = 'rule_sum_price'")
+    return evaluate.confusion_matrix(p, "y", "yhat")
+
+
+_CURVE_SQL = _preds_sql(
+    ["classification_ic50_median"],
+    "sc AS (SELECT model, p AS score, CAST(count(*) FILTER (WHERE y = 1) AS DOUBLE) AS pos, "
+    "CAST(count(*) FILTER (WHERE y <> 1) AS DOUBLE) AS neg FROM preds WHERE split = 'test' GROUP BY model, p)",
+    "cum AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp FROM sc WINDOW w AS "
+    "(PARTITION BY model ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))")
+
+
+@query("roc_auc", _CURVE_SQL +
+       "SELECT model, round(sum(neg * (tp - pos + pos / 2.0)) / (sum(pos) * sum(neg)), 6) AS roc_auc "
+       "FROM cum GROUP BY model")
+def q_roc_auc(spark, sf):
+    p = _preds(spark, sf, ["classification_ic50_median"]).where("split = 'test'")
+    return round_all(evaluate.roc_auc(p, "y", "p", ["model"]), 6)
+
+
+@query("average_precision", _CURVE_SQL +
+       "SELECT model, round(sum(pos * tp / (tp + fp)) / sum(pos), 6) AS average_precision "
+       "FROM cum GROUP BY model")
+def q_average_precision(spark, sf):
+    p = _preds(spark, sf, ["classification_ic50_median"]).where("split = 'test'")
+    return round_all(evaluate.average_precision(p, "y", "p", ["model"]), 6)
+
+
+@query("roc_curve", _CURVE_SQL +
+       "SELECT model, round(score, 9) AS threshold, round(fp / sum(neg) OVER (PARTITION BY model), 6) AS fpr, "
+       "round(tp / sum(pos) OVER (PARTITION BY model), 6) AS tpr FROM cum "
+       "UNION ALL SELECT DISTINCT model, NULL, 0.0, 0.0 FROM sc")
+def q_roc_curve(spark, sf):
+    p = _preds(spark, sf, ["classification_ic50_median"]).where("split = 'test'")
+    c = evaluate.roc_curve(p, "y", "p", ["model"])
+    return c.select("model", rnd("threshold", 9).alias("threshold"),
+                    rnd("fpr", 6).alias("fpr"), rnd("tpr", 6).alias("tpr"))
+
+
+_RESULT_COLS = ["task", "kind", "model", "model_order", "n", "mse", "r2", "mae", "accuracy",
+                "precision", "recall", "f1", "roc_auc", "pr_auc", "task_order"]
+
+
+def _results(spark, sf) -> DataFrame:
+    return T.results_for(_preds(spark, sf), TASKS)
+
+
+def _results_sql(*more: str) -> str:
+    return S.with_ctes(*S.results_ctes(TASKS), *more)
+
+
+@query("results_table", _results_sql() + "SELECT * FROM results")
+def q_results(spark, sf):
+    return _results(spark, sf)
+
+
+@query("best_single_model", _results_sql() +
+       "SELECT task, model, CASE WHEN kind = 'regression' THEN r2 ELSE f1 END AS score FROM ("
+       "SELECT *, row_number() OVER (PARTITION BY task ORDER BY "
+       "CASE WHEN kind = 'regression' THEN r2 ELSE f1 END DESC, model_order) AS rn FROM results "
+       "WHERE model <> 'voting') WHERE rn = 1")
+def q_best_single(spark, sf):
+    r = _results(spark, sf).where(F.col("model") != "voting")
+    r = r.withColumn("score", F.when(F.col("kind") == "regression", F.col("r2")).otherwise(F.col("f1")))
+    return evaluate.best_by(r, "score", ["task"]).select("task", "model", "score")
