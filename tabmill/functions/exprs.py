@@ -20,7 +20,8 @@ def rnd(c: Column | str, digits: int) -> Column:
     decimal text of the value, which differs on binary ties)."""
     c = F.col(c) if isinstance(c, str) else c
     scale = float(10 ** digits)
-    return F.round(c.cast("double") * F.lit(scale), 0) / F.lit(scale)
+    # + 0.0 turns a rounded -0.0 into 0.0, so the sign of zero never differs
+    return F.round(c.cast("double") * F.lit(scale), 0) / F.lit(scale) + F.lit(0.0)
 
 
 def is_nonfinite(c: Column | str) -> Column:

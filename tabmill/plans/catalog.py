@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabmill.functions.exprs import rnd
-from tabmill.operators import clean, evaluate, labels, profile, scale, select, split
+from tabmill.operators import chartdata, clean, evaluate, findings, labels, profile, scale, select, split
 from tabmill.plans import pipeline as P
 from tabmill.plans import sqlgen as S
 from tabmill.plans import tasks as T
@@ -396,7 +396,7 @@ def _preds_sql(task_names: list[str], *more: str) -> str:
 
 @query("metrics_regression", _preds_sql(["regression_log_ic50"]) +
        "SELECT model, count(*) AS n, round(avg((y - p) * (y - p)), 6) AS mse, "
-       "round(1 - sum((y - p) * (y - p)) / nullif(var_pop(y) * count(*), 0), 6) AS r2, "
+       "round(1 - sum((y - p) * (y - p)) / nullif(var_pop(y) * count(*), 0), 6) + 0.0 AS r2, "
        "round(avg(abs(y - p)), 6) AS mae FROM preds WHERE split = 'test' GROUP BY model")
 def q_metrics_regression(spark, sf):
     p = _preds(spark, sf, ["regression_log_ic50"]).where("split = 'test'")
@@ -406,7 +406,7 @@ def q_metrics_regression(spark, sf):
 
 @query("metrics_by_split", _preds_sql(["regression_log_ic50", "classification_si_8"]) +
        "SELECT task, model, split, count(*) AS n, "
-       "round(1 - sum((y - p) * (y - p)) / nullif(var_pop(y) * count(*), 0), 6) AS r2, "
+       "round(1 - sum((y - p) * (y - p)) / nullif(var_pop(y) * count(*), 0), 6) + 0.0 AS r2, "
        "round(CASE WHEN count(*) FILTER (WHERE yhat IS NOT NULL) = 0 THEN NULL ELSE "
        "count(*) FILTER (WHERE y = yhat) / count(*) END, 6) AS accuracy "
        "FROM preds GROUP BY task, model, split")
@@ -507,3 +507,146 @@ def q_best_single(spark, sf):
     r = _results(spark, sf).where(F.col("model") != "voting")
     r = r.withColumn("score", F.when(F.col("kind") == "regression", F.col("r2")).otherwise(F.col("f1")))
     return evaluate.best_by(r, "score", ["task"]).select("task", "model", "score")
+
+
+# ---- L: leaderboard and findings ------------------------------------------
+
+_BOARD_SQL = ("board AS (SELECT * EXCLUDE (rn) FROM (SELECT *, CASE WHEN kind = 'regression' THEN r2 "
+              "ELSE f1 END AS score, row_number() OVER (PARTITION BY task ORDER BY CASE WHEN kind = "
+              "'regression' THEN r2 ELSE f1 END DESC, model_order) AS rn FROM results) WHERE rn = 1)")
+
+
+@query("leaderboard", _results_sql(_BOARD_SQL) + "SELECT * FROM board")
+def q_leaderboard(spark, sf):
+    return findings.leaderboard(_results(spark, sf))
+
+
+@query("leaderboard_load", _results_sql() + "SELECT * FROM results")
+def q_leaderboard_load(spark, sf):
+    """Write the results table partitioned by task, read the folder back."""
+    from tabmill.sources.tables import write_table
+    from tabmill.session import ensure_checkpoint_dir
+    import uuid
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tabmill/results-{uuid.uuid4().hex}"
+    write_table(_results(spark, sf), path, partition_by=["task"])
+    return spark.read.parquet(path)
+
+
+@query("findings_regression", _results_sql(_BOARD_SQL) +
+       "SELECT task, model, r2, CASE WHEN r2 IS NULL THEN 'missing' WHEN r2 < 0.5 THEN 'low' "
+       "ELSE 'acceptable' END AS finding FROM board WHERE kind = 'regression'")
+def q_findings_regression(spark, sf):
+    return findings.findings_regression(findings.leaderboard(_results(spark, sf)))
+
+
+_THRESHOLD_TASKS = [t.name for t in TASKS if t.rule == "threshold"]
+_CURVE_TASKS = [t.name for t in TASKS if t.kind == "classification" and t.curves]
+
+
+@query("findings_classification", _results_sql(_BOARD_SQL) +
+       "SELECT task, model, f1, precision, recall, CASE WHEN f1 IS NULL THEN 'missing' "
+       "WHEN f1 < 0.65 OR precision < 0.6 OR recall < 0.7 THEN 'low' ELSE 'acceptable' END AS finding, "
+       "CASE WHEN task NOT IN (" + ", ".join(f"'{t}'" for t in _THRESHOLD_TASKS) + ") THEN NULL "
+       "WHEN f1 IS NULL THEN 'missing' WHEN f1 < 0.65 THEN 'low' ELSE 'high' END AS threshold_finding "
+       "FROM board WHERE kind = 'classification'")
+def q_findings_classification(spark, sf):
+    return findings.findings_classification(findings.leaderboard(_results(spark, sf)), _THRESHOLD_TASKS)
+
+
+@query("findings_overall", _results_sql(_BOARD_SQL) +
+       "SELECT task, model, score, CASE WHEN task = 'regression_log_si' AND r2 < 0.3 THEN 'hard_to_predict' "
+       "WHEN task = 'classification_si_8' AND f1 >= 0.8 THEN 'identifies_effective' END AS flag FROM board")
+def q_findings_overall(spark, sf):
+    return findings.findings_overall(findings.leaderboard(_results(spark, sf)),
+                                     "regression_log_si", "classification_si_8")
+
+
+def _md(cols: list[str]) -> str:
+    parts = ["model"] + [f"coalesce(CAST(round({c}, 3) + 0.0 AS VARCHAR), 'nan')" for c in cols]
+    return "'| ' || concat_ws(' | ', " + ", ".join(parts) + ") || ' |'"
+
+
+@query("markdown_rows", _results_sql() +
+       "SELECT task, model_order, CASE WHEN kind = 'regression' THEN " + _md(["mse", "r2", "mae"]) +
+       " WHEN task IN (" + ", ".join(f"'{t}'" for t in _CURVE_TASKS) + ") THEN " +
+       _md(["accuracy", "f1", "precision", "recall", "roc_auc", "pr_auc"]) + " ELSE " +
+       _md(["accuracy", "f1", "precision", "recall"]) + " END AS line FROM results")
+def q_markdown_rows(spark, sf):
+    return findings.markdown_rows(_results(spark, sf), _CURVE_TASKS)
+
+
+@query("triage", S.with_ctes(*S.logged_ctes()) +
+       "SELECT id, CASE WHEN cc < 1 THEN 'dangerous' WHEN ic = 0 AND s8 = 1 THEN 'effective' "
+       "WHEN ic = 1 AND s8 = 0 THEN 'ineffective' ELSE 'undetermined' END AS triage FROM ("
+       "SELECT id, CAST(ic50 >= (SELECT median(ic50) FROM logged) AS INTEGER) AS ic, "
+       "CAST(cc50 >= (SELECT median(cc50) FROM logged) AS INTEGER) AS cc, "
+       "CAST(log_si >= log10(8) AS INTEGER) AS s8 FROM logged)")
+def q_triage(spark, sf):
+    df = _logged(spark, sf).select("id", "ic50", "cc50", "log_si")
+    df, _ = labels.label_median(df, "ic50", "ic")
+    df, _ = labels.label_median(df, "cc50", "cc")
+    df = labels.label_threshold(df, "log_si", "s8", 8.0, "log10")
+    return findings.triage(df, "ic", "cc", "s8").select("id", "triage")
+
+
+# ---- K: chart data ------------------------------------------------------------
+
+@query("chart_histogram", S.with_ctes(
+    *S.logged_ctes(),
+    "mm AS (SELECT min(log_ic50) AS lo, max(log_ic50) AS hi FROM logged)",
+    "w AS (SELECT lo, CASE WHEN hi > lo THEN hi - lo ELSE 1.0 END AS width FROM mm)",
+    "b AS (SELECT CAST(least(floor((log_ic50 - w.lo) / w.width * 30.0) + 1, 30) AS INTEGER) AS bin, "
+    "count(*) AS n FROM logged, w WHERE log_ic50 IS NOT NULL GROUP BY 1)") +
+    "SELECT CAST(g.bin AS INTEGER) AS bin, round(w.lo + (g.bin - 1) * w.width / 30.0, 6) AS lo, "
+    "round(w.lo + g.bin * w.width / 30.0, 6) AS hi, coalesce(b.n, 0) AS n "
+    "FROM (SELECT range AS bin FROM range(1, 31)) g CROSS JOIN w LEFT JOIN b ON b.bin = g.bin")
+def q_histogram(spark, sf):
+    return round_all(chartdata.histogram(_logged(spark, sf), "log_ic50", 30), 6)
+
+
+@query("chart_kde", S.with_ctes(
+    *S.logged_ctes(),
+    "st AS (SELECT count(log_ic50) AS n, stddev_samp(log_ic50) * pow(count(log_ic50), -0.2) AS h, "
+    "min(log_ic50) AS lo, max(log_ic50) AS hi FROM logged)",
+    "g AS (SELECT range AS i, (lo - 3.0 * h) + range * ((hi + 3.0 * h) - (lo - 3.0 * h)) / 99 AS x "
+    "FROM st, range(0, 100))") +
+    "SELECT round(g.x, 6) AS x, round(sum(exp(-0.5 * ((g.x - l.log_ic50) / st.h) * ((g.x - l.log_ic50) / st.h))) "
+    "/ (st.n * st.h * sqrt(2 * pi())), 6) AS density FROM g, st, logged l WHERE l.log_ic50 IS NOT NULL "
+    "GROUP BY g.x, st.n, st.h")
+def q_kde(spark, sf):
+    return round_all(chartdata.kde(_logged(spark, sf), "log_ic50", grid=100), 6)
+
+
+_BOX = [*TARGETS, *S.LOGS]
+
+
+@query("chart_box", S.with_ctes(*S.logged_ctes(), S.fences_cte("logged", _BOX, "bf")) + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(quantile_cont({c}, 0.25), 6) AS q1, round(median({c}), 6) AS median, "
+    f"round(quantile_cont({c}, 0.75), 6) AS q3, round(min({c}) FILTER (WHERE {c} >= (SELECT {c}_lo FROM bf)), 6) "
+    f"AS whisker_lo, round(max({c}) FILTER (WHERE {c} <= (SELECT {c}_hi FROM bf)), 6) AS whisker_hi, "
+    f"count(*) FILTER (WHERE {c} < (SELECT {c}_lo FROM bf) OR {c} > (SELECT {c}_hi FROM bf)) AS n_fliers "
+    f"FROM logged" for c in _BOX))
+def q_box(spark, sf):
+    return round_all(chartdata.box_summary(_logged(spark, sf), _BOX), 6)
+
+
+@query("chart_box_fliers", S.with_ctes(*S.logged_ctes(), S.fences_cte("logged", _BOX, "bf")) + " UNION ALL ".join(
+    f"SELECT id, '{c}' AS feature, round({c}, 6) AS value FROM logged, bf "
+    f"WHERE {c} < {c}_lo OR {c} > {c}_hi" for c in _BOX))
+def q_box_fliers(spark, sf):
+    return round_all(chartdata.box_fliers(_logged(spark, sf), "id", _BOX), 6)
+
+
+@query("chart_scatter", _preds_sql(["regression_log_ic50"]) +
+       "SELECT id, round(y, 6) AS y, round(p, 6) AS p FROM preds WHERE split = 'test' AND model = 'rule_price'")
+def q_scatter(spark, sf):
+    p = _preds(spark, sf, ["regression_log_ic50"]).where("split = 'test' AND model = 'rule_price'")
+    return round_all(chartdata.scatter_points(p, "id", "y", "p"), 6)
+
+
+@query("chart_scatter_range", _preds_sql(["regression_log_ic50"]) +
+       "SELECT round(least(min(y), min(p)), 6) AS lo, round(greatest(max(y), max(p)), 6) AS hi "
+       "FROM preds WHERE split = 'test' AND model = 'rule_price'")
+def q_scatter_range(spark, sf):
+    p = _preds(spark, sf, ["regression_log_ic50"]).where("split = 'test' AND model = 'rule_price'")
+    return round_all(chartdata.identity_range(p, "y", "p"), 6)

@@ -18,7 +18,7 @@ def with_ctes(*ctes: str) -> str:
 
 def rounded(cols: list[str], digits: int, src: str = "") -> str:
     p = f"{src}." if src else ""
-    return ", ".join(f"round({p}{c}, {digits}) AS {c}" for c in cols)
+    return ", ".join(f"round({p}{c}, {digits}) + 0.0 AS {c}" for c in cols)
 
 
 def fences_cte(src: str, cols: list[str], name: str = "fences") -> str:
@@ -192,12 +192,13 @@ def results_ctes(tasks) -> list[str]:
         "sum(neg * (tp - pos + pos / 2.0)) / nullif(sum(pos) * sum(neg), 0) AS roc_auc, "
         "sum(pos * tp / (tp + fp)) / nullif(sum(pos), 0) AS pr_auc FROM cum GROUP BY task, model, model_order)",
         "results AS ("
-        "SELECT task, 'regression' AS kind, model, model_order, n, round(mse, 3) AS mse, round(r2, 3) AS r2, "
-        "round(mae, 3) AS mae, CAST(NULL AS DOUBLE) AS accuracy, CAST(NULL AS DOUBLE) AS precision, "
+        "SELECT task, 'regression' AS kind, model, model_order, n, round(mse, 3) + 0.0 AS mse, "
+        "round(r2, 3) + 0.0 AS r2, round(mae, 3) + 0.0 AS mae, CAST(NULL AS DOUBLE) AS accuracy, CAST(NULL AS DOUBLE) AS precision, "
         "CAST(NULL AS DOUBLE) AS recall, CAST(NULL AS DOUBLE) AS f1, CAST(NULL AS DOUBLE) AS roc_auc, "
         f"CAST(NULL AS DOUBLE) AS pr_auc, CASE task {order} END AS task_order FROM reg "
         "UNION ALL SELECT c.task, 'classification', c.model, c.model_order, c.n, NULL, NULL, NULL, "
-        "round(c.accuracy, 3), round(c.precision, 3), round(c.recall, 3), round(c.f1, 3), "
-        f"round(k.roc_auc, 3), round(k.pr_auc, 3), CASE c.task {order} END "
+        "round(c.accuracy, 3) + 0.0, round(c.precision, 3) + 0.0, round(c.recall, 3) + 0.0, "
+        "round(c.f1, 3) + 0.0, "
+        f"round(k.roc_auc, 3) + 0.0, round(k.pr_auc, 3) + 0.0, CASE c.task {order} END "
         "FROM clf c LEFT JOIN curves k USING (task, model, model_order))",
     ]
