@@ -650,3 +650,84 @@ def q_scatter(spark, sf):
 def q_scatter_range(spark, sf):
     p = _preds(spark, sf, ["regression_log_ic50"]).where("split = 'test' AND model = 'rule_price'")
     return round_all(chartdata.identity_range(p, "y", "p"), 6)
+
+
+# ---- G5: SMOTE ------------------------------------------------------------------
+
+SMOTE_FEATS = ["acctbal", "n_lines", "avg_price", "max_price", "avg_retail", "share_ret"]
+SMOTE_K = 5
+
+
+def _smote_input(spark, sf) -> DataFrame:
+    """Train rows of the SI >= 8 task, features robust-scaled with exact
+    train medians and IQRs, so distances are exact in any engine."""
+    from tabmill.functions.quantiles import column_quantiles
+    df = _logged(spark, sf).select("id", "log_si", *SMOTE_FEATS)
+    df = labels.label_threshold(df, "log_si", "label", 8.0, "log10")
+    train = split.split_random(df, "id").where("split = 'train'")
+    qs = column_quantiles(train, SMOTE_FEATS, [0.25, 0.5, 0.75])
+    out = {}
+    for c in SMOTE_FEATS:
+        iqr = qs[c][0.75] - qs[c][0.25]
+        out[c] = (F.col(c).cast("double") - F.lit(qs[c][0.5])) / F.lit(iqr if iqr else 1.0)
+    return train.withColumns(out).select("id", "label", *SMOTE_FEATS)
+
+
+def _smote_sql(*more: str) -> str:
+    qs = ", ".join(f"quantile_cont({c}, 0.5) AS {c}_m, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS {c}_r"
+                   for c in SMOTE_FEATS)
+    z = ", ".join(f"(CAST(t.{c} AS DOUBLE) - q.{c}_m) / CASE WHEN q.{c}_r = 0 THEN 1.0 ELSE q.{c}_r END AS {c}"
+                  for c in SMOTE_FEATS)
+    dist = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in SMOTE_FEATS)
+    return S.with_ctes(
+        *S.logged_ctes(),
+        f"tr AS (SELECT id, CAST(log_si >= log10(8) AS INTEGER) AS label, {', '.join(SMOTE_FEATS)} FROM logged "
+        f"WHERE NOT ({S.hash_u('id')} < 0.2))",
+        f"q AS (SELECT {qs} FROM tr)",
+        f"sc AS (SELECT t.id, t.label, {z} FROM tr t, q)",
+        "cls AS (SELECT label, count(*) AS n FROM sc GROUP BY label)",
+        "mn AS (SELECT label AS minority, n AS n_min, (SELECT max(n) FROM cls) AS n_maj FROM cls "
+        "ORDER BY n, label LIMIT 1)",
+        "mins AS (SELECT sc.* FROM sc, mn WHERE sc.label = mn.minority)",
+        f"pairs AS (SELECT a.id, b.id AS nb_id, {dist} AS dist FROM mins a JOIN mins b ON a.id <> b.id)",
+        f"nbrs AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist, nb_id) AS nb_rank "
+        f"FROM pairs) WHERE nb_rank <= (SELECT least({SMOTE_K}, n_min - 1) FROM mn))",
+        *more)
+
+
+@query("smote_neighbors", _smote_sql() +
+       "SELECT id, CAST(nb_rank AS INTEGER) AS nb_rank, nb_id, round(dist, 6) AS dist FROM nbrs")
+def q_smote_neighbors(spark, sf):
+    from tabmill.operators.balance import knn_self
+    df = _smote_input(spark, sf)
+    counts = {r["label"]: r["count"] for r in df.groupBy("label").count().collect()}
+    minority = min(counts, key=lambda c: (counts[c], c))
+    mins = df.where(F.col("label") == minority)
+    nb = knn_self(mins, "id", SMOTE_FEATS, min(SMOTE_K, counts[minority] - 1))
+    return nb.select("id", F.col("nb_rank").cast("int").alias("nb_rank"), "nb_id", rnd("dist", 6).alias("dist"))
+
+
+_SYN = ", ".join(
+    f"round(m.{c} + g.gap * (n.{c} - m.{c}), 6) AS {c}" for c in SMOTE_FEATS)
+
+
+@query("smote_rows", _smote_sql(
+    "plan AS (SELECT (n_maj - n_min) // n_min AS base, (n_maj - n_min) % n_min AS extra, "
+    f"least({SMOTE_K}, n_min - 1) AS k FROM mn)",
+    f"ranked AS (SELECT id, row_number() OVER (ORDER BY {S.hash_u('id', 42, 'smote')}) AS r FROM mins)",
+    "cp AS (SELECT r.id, plan.base + CASE WHEN r.r <= plan.extra THEN 1 ELSE 0 END AS n, plan.k FROM ranked r, plan)",
+    "g AS (SELECT id, copy, k, "
+    "CAST(floor((CAST(CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || ':42:nb:' || CAST(copy AS VARCHAR)), 1, 15)) "
+    "AS BIGINT) AS DOUBLE) / CAST(1152921504606846976 AS DOUBLE)) * k) + 1 AS INTEGER) AS pick, "
+    "CAST(CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || ':42:gap:' || CAST(copy AS VARCHAR)), 1, 15)) "
+    "AS BIGINT) AS DOUBLE) / CAST(1152921504606846976 AS DOUBLE) AS gap "
+    "FROM (SELECT id, k, unnest(range(n)) AS copy FROM cp WHERE n > 0))") +
+    "SELECT g.id AS source_id, CAST(g.copy AS INTEGER) AS copy, b.nb_id AS neighbor_id, round(g.gap, 9) AS gap, "
+    + ", ".join(f"round(m.{c} + g.gap * (n.{c} - m.{c}), 6) AS {c}" for c in SMOTE_FEATS) +
+    " FROM g JOIN nbrs b ON b.id = g.id AND b.nb_rank = g.pick JOIN mins m ON m.id = g.id "
+    "JOIN mins n ON n.id = b.nb_id")
+def q_smote_rows(spark, sf):
+    from tabmill.operators.balance import smote
+    syn, _ = smote(_smote_input(spark, sf), "id", SMOTE_FEATS, "label", k=SMOTE_K)
+    return syn.select("source_id", F.col("copy").cast("int").alias("copy"), "neighbor_id",
+                      rnd("gap", 9).alias("gap"), *[rnd(c, 6).alias(c) for c in SMOTE_FEATS])
