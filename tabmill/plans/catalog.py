@@ -731,3 +731,94 @@ def q_smote_rows(spark, sf):
     syn, _ = smote(_smote_input(spark, sf), "id", SMOTE_FEATS, "label", k=SMOTE_K)
     return syn.select("source_id", F.col("copy").cast("int").alias("copy"), "neighbor_id",
                       rnd("gap", 9).alias("gap"), *[rnd(c, 6).alias(c) for c in SMOTE_FEATS])
+
+
+# ---- H / I: Spark ML models and tuning (rows-only checks) -----------------------
+
+def _prepared(spark, sf, task_name: str, resample: bool = False):
+    from tabmill.plans import study
+    pre = P.preprocess(P.assay_raw(spark, sf), ASSAY_SPEC, cut_lineage=True)
+    return pre, study.prepare(pre, TASK_BY_NAME[task_name], n_folds=3, resample=resample)
+
+
+def _fit_query(model: str, task_name: str):
+    def run(spark, sf):
+        from tabmill.plans import models as M
+        task = TASK_BY_NAME[task_name]
+        _, prep = _prepared(spark, sf, task_name)
+        est = M.build(model, task.kind, M.LIGHT[model], prep.n_train)
+        fitted = est.fit(prep.train)
+        out = M.predict(fitted, prep.test, task.kind)
+        cols = ["id", "y", F.col("prediction").cast("double").alias("prediction")]
+        if task.kind == "classification":
+            cols.append(F.col("p").alias("probability"))
+        return out.select(*cols)
+    return run
+
+
+for _m, _key in [("RF", "fit_rf_reg"), ("XGB", "fit_xgb_reg"), ("LGB", "fit_lgb_reg"),
+                 ("GB", "fit_gb_reg")]:
+    query(_key)(_fit_query(_m, "regression_log_ic50"))
+for _m, _key in [("RF", "fit_rf_clf"), ("XGB", "fit_xgb_clf"), ("LGB", "fit_lgb_clf"),
+                 ("GB", "fit_gb_clf"), ("LR", "fit_logistic")]:
+    query(_key)(_fit_query(_m, "classification_ic50_median"))
+
+
+@query("fit_linear", _preds_sql(["regression_log_ic50"]) +
+       "SELECT round(regr_slope(y, n_lines), 6) + 0.0 AS slope, "
+       "round(regr_intercept(y, n_lines), 6) + 0.0 AS intercept FROM t0 WHERE split = 'train'")
+def q_fit_linear(spark, sf):
+    """Ordinary least squares through Spark ML's normal-equation solver,
+    one feature so that SQL's regr_slope / regr_intercept check it."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    t = T.task_frame(_logged(spark, sf), TASK_BY_NAME["regression_log_ic50"]).where("split = 'train'")
+    v = VectorAssembler(inputCols=["n_lines"], outputCol="features").transform(t)
+    m = LinearRegression(featuresCol="features", labelCol="y", solver="normal", regParam=0.0).fit(v)
+    return spark.createDataFrame([(float(m.coefficients[0]), float(m.intercept))],
+                                 "slope double, intercept double").select(
+        rnd("slope", 6).alias("slope"), rnd("intercept", 6).alias("intercept"))
+
+
+def _vote_query(task_name: str):
+    def run(spark, sf):
+        from tabmill.plans import models as M
+        task = TASK_BY_NAME[task_name]
+        _, prep = _prepared(spark, sf, task_name)
+        members = M.fit_vote(prep.train, task.kind, params=M.LIGHT, n_train=prep.n_train)
+        out = M.predict_vote(members, prep.test, task.kind)
+        cols = ["id", "y", "p"] + [f"p_{m.lower()}" for m in M.VOTE_MEMBERS]
+        if task.kind == "classification":
+            cols.append("yhat")
+        return out.select(*cols)
+    return run
+
+
+query("vote_reg")(_vote_query("regression_log_ic50"))
+query("vote_clf")(_vote_query("classification_ic50_median"))
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf):
+    from tabmill.plans import models as M
+    _, prep = _prepared(spark, sf, "regression_log_ic50")
+    rf = M.build("RF", "regression", M.LIGHT["RF"]).fit(prep.train)
+    imp = spark.createDataFrame(M.importances(rf, prep.features), "feature string, importance double")
+    return evaluate.top_k(imp, "importance", 10, "feature")
+
+
+@query("tune_model")
+def q_tune_model(spark, sf):
+    from tabmill.plans import tune as TU
+    _, prep = _prepared(spark, sf, "regression_log_ic50")
+    draws = TU.search_space(TU.space_for("RF", "regression", light=True), 4)
+    _, _, trials = TU.tune(prep.train, "RF", "regression", draws, 3, "mse", prep.n_train)
+    return spark.createDataFrame(trials, "trial int, params string, score double")
+
+
+@query("smote_train")
+def q_smote_train(spark, sf):
+    """Class counts of a classification train split after SMOTE (the
+    classes come out equal)."""
+    _, prep = _prepared(spark, sf, "classification_si_8", resample=True)
+    return prep.train.groupBy("y").agg(F.count(F.lit(1)).alias("n"))
