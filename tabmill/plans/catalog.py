@@ -822,3 +822,100 @@ def q_smote_train(spark, sf):
     classes come out equal)."""
     _, prep = _prepared(spark, sf, "classification_si_8", resample=True)
     return prep.train.groupBy("y").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- C6 / C7 / B10 / L7 / A2: two-stage profile and the processed table ----------
+
+_ALL_DTYPES = ["bigint", "double", "int"]
+
+
+def _stages(spark, sf):
+    raw = P.stage_dedup(P.assay_raw(spark, sf))
+    pre = P.preprocess(P.assay_raw(spark, sf), ASSAY_SPEC, cut_lineage=True)
+    return raw, pre
+
+
+def _profile_compare_df(spark, sf) -> DataFrame:
+    raw, pre = _stages(spark, sf)
+    before = profile.profile_info(raw, "before", TARGETS, _ALL_DTYPES)
+    after = profile.profile_info(pre.table, "after", TARGETS + S.LOGS, _ALL_DTYPES)
+    return profile.profile_compare(before, after)
+
+
+def _after_info_sql() -> str:
+    outl = ", ".join(f"(SELECT count(*) FROM logged, af WHERE {c} < {c}_lo OR {c} > {c}_hi) AS outliers_{c}"
+                     for c in TARGETS + S.LOGS)
+    tmiss = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in ["id"] + TARGETS + S.LOGS)
+    return ("SELECT 'after' AS stage, count(*) AS rows, CAST(7 + (SELECT count(*) FROM kept) AS BIGINT) AS columns, "
+            f"{tmiss} + (SELECT count(*) FROM long WHERE v IS NULL AND feature IN (SELECT feature FROM kept)) "
+            "AS missing_values, CAST(1 AS BIGINT) AS dtype_bigint, "
+            "CAST(6 + (SELECT count(*) FROM kept) AS BIGINT) AS dtype_double, CAST(0 AS BIGINT) AS dtype_int, "
+            f"{outl} FROM logged")
+
+
+def _before_info_sql() -> str:
+    nulls = ", ".join(f"CAST(NULL AS BIGINT) AS outliers_{c}" for c in S.LOGS)
+    head, _, tail = _info_sql("dedup", "before", S.ASSAY_COLS, TARGETS, _RAW_DTYPES,
+                              _ALL_DTYPES).rpartition(" FROM dedup")
+    return f"{head}, {nulls} FROM dedup{tail}"
+
+
+_COMPARE_CTES = (*S.selected_ctes(), S.fences_cte("dedup", TARGETS, "before_f"),
+                 S.fences_cte("logged", TARGETS + S.LOGS, "af"))
+
+
+@query("profile_compare", S.with_ctes(*_COMPARE_CTES) + _before_info_sql() + " UNION ALL " + _after_info_sql())
+def q_profile_compare(spark, sf):
+    return _profile_compare_df(spark, sf)
+
+
+@query("profile_filter", S.with_ctes(*_COMPARE_CTES, "info AS (" + _before_info_sql() + " UNION ALL "
+                                     + _after_info_sql() + ")") + "SELECT * FROM info WHERE stage = 'before'")
+def q_profile_filter(spark, sf):
+    return _profile_compare_df(spark, sf).where(F.col("stage") == "before")
+
+
+@query("dataset_summary", S.with_ctes(*_COMPARE_CTES, "info AS (" + _before_info_sql() + " UNION ALL "
+                                      + _after_info_sql() + ")") +
+       "SELECT stage, printf('%d rows, %d columns, %d missing cells', rows, columns, missing_values) AS line "
+       "FROM info WHERE stage = 'before'")
+def q_dataset_summary(spark, sf):
+    return findings.dataset_summary(_profile_compare_df(spark, sf), "before")
+
+
+def _after_describe_sql() -> str:
+    parts = []
+    for c in ["id"] + FEATURES + TARGETS + S.LOGS:
+        q = _describe_sql("logged", [c], "'after' AS stage, ")
+        if c in FEATURES:
+            q += f" HAVING '{c}' IN (SELECT feature FROM kept)"
+        parts.append(q)
+    return " UNION ALL ".join(parts)
+
+
+@query("profile_compare_stats", S.with_ctes(*S.selected_ctes()) +
+       _describe_sql("dedup", S.ASSAY_COLS, "'before' AS stage, ") + " UNION ALL " + _after_describe_sql())
+def q_profile_compare_stats(spark, sf):
+    raw, pre = _stages(spark, sf)
+    return profile.profile_compare_stats(profile.describe_table(raw), profile.describe_table(pre.table))
+
+
+@query("load_processed", S.with_ctes(
+    *S.selected_ctes(),
+    "pl AS (UNPIVOT (SELECT id, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in FEATURES + TARGETS + S.LOGS)
+    + " FROM logged) ON " + ", ".join(FEATURES + TARGETS + S.LOGS) + " INTO NAME feature VALUE value)") +
+    "SELECT id, feature, round(value, 6) + 0.0 AS value FROM pl WHERE feature IN (SELECT feature FROM kept) "
+    "OR feature IN (" + ", ".join(f"'{c}'" for c in TARGETS + S.LOGS) + ")")
+def q_load_processed(spark, sf):
+    """Write the processed table as CSV with a header, read it back with its
+    schema (no inference pass), and list its cells."""
+    import uuid
+    from tabmill.session import ensure_checkpoint_dir
+    from tabmill.sources.tables import load_table, write_table
+    pre = P.preprocess(P.assay_raw(spark, sf), ASSAY_SPEC, cut_lineage=True)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tabmill/processed-{uuid.uuid4().hex}"
+    write_table(pre.table, path, fmt="csv")
+    back = load_table(spark, path, fmt="csv", schema=pre.table.schema)
+    cols = [c for c in back.columns if c != "id"]
+    long = back.unpivot(["id"], cols, "feature", "value")
+    return long.select("id", "feature", rnd("value", 6).alias("value"))
