@@ -265,11 +265,7 @@ def q_log_targets(spark, sf):
 # ---- E: selection ---------------------------------------------------------
 
 def _logged(spark, sf) -> DataFrame:
-    df = P.stage_dedup(P.assay_raw(spark, sf))
-    df, _ = P.stage_clip(df, ASSAY_SPEC)
-    df, _ = P.stage_impute(df, ASSAY_SPEC)
-    df, _ = P.stage_floor(df, ASSAY_SPEC)
-    return P.stage_log(df, ASSAY_SPEC)
+    return P.logged_stage(P.assay_raw(spark, sf), ASSAY_SPEC)[0]
 
 
 @query("corr_matrix", S.with_ctes(*S.logged_ctes()) +
@@ -381,12 +377,7 @@ def q_standardize(spark, sf):
 
 def _preds(spark, sf, task_names: list[str] | None = None) -> DataFrame:
     tasks = [t for t in TASKS if task_names is None or t.name in task_names]
-    logged = materialize(_logged(spark, sf), "logged")
-    out = None
-    for t in tasks:
-        p = T.rule_predictions(T.task_frame(logged, t), t)
-        out = p if out is None else out.unionByName(p)
-    return out
+    return T.all_rule_predictions(_logged(spark, sf), tasks)
 
 
 def _preds_sql(task_names: list[str], *more: str) -> str:

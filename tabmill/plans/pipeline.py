@@ -60,10 +60,10 @@ def stage_log(df: DataFrame, spec: TableSpec) -> DataFrame:
     return clean.log_targets(df, spec.targets)
 
 
-def preprocess(df: DataFrame, spec: TableSpec, corr_threshold: float = CORR_THRESHOLD,
-               var_threshold: float = VARIANCE_THRESHOLD, cut_lineage: bool = True) -> Preprocessed:
-    """dedup -> clip targets -> impute -> floor -> log -> correlation drop
-    -> variance filter. Returns the cleaned table and every fitted value."""
+def logged_stage(df: DataFrame, spec: TableSpec, cut_lineage: bool = True):
+    """dedup -> clip targets -> impute -> floor -> log. The deduplicated
+    table is written once (every fit below re-reads it, not the sources);
+    the logged table too, as selection and the tasks read it many times."""
     df = stage_dedup(df)
     if cut_lineage:
         df = materialize(df, "dedup")
@@ -71,10 +71,18 @@ def preprocess(df: DataFrame, spec: TableSpec, corr_threshold: float = CORR_THRE
     df, medians = stage_impute(df, spec)
     df, floors = stage_floor(df, spec)
     df = stage_log(df, spec)
+    if cut_lineage:
+        df = materialize(df, "logged")
+    return df, fences, medians, floors
+
+
+def preprocess(df: DataFrame, spec: TableSpec, corr_threshold: float = CORR_THRESHOLD,
+               var_threshold: float = VARIANCE_THRESHOLD, cut_lineage: bool = True) -> Preprocessed:
+    """dedup -> clip targets -> impute -> floor -> log -> correlation drop
+    -> variance filter. Returns the cleaned table and every fitted value."""
+    df, fences, medians, floors = logged_stage(df, spec, cut_lineage)
     logs = [f"log_{t}" for t in spec.targets]
     feats = [c for c in spec.features if c in df.columns]
-    if cut_lineage:
-        df = materialize(df, "imputed")
     dropped = select.corr_drop_list(df, feats, corr_threshold)
     kept_corr = [c for c in feats if c not in set(dropped)]
     kept = select.variance_keep(df, kept_corr, var_threshold)

@@ -154,3 +154,100 @@ def results_for(preds: DataFrame, tasks: list[Task], digits: int = 3) -> DataFra
     return out.select("task", "kind", "model", "model_order", "n",
                       *[rnd(c, digits).alias(c) for c in cols],
                       order[F.col("task")].alias("task_order"))
+
+
+def all_task_frames(logged: DataFrame, tasks: list[Task], id_col: str = ASSAY_SPEC.id) -> DataFrame:
+    """(task, id, y, split, rule features) for every task at once.
+
+    The label medians of all median tasks are one exact-quantile fit, and
+    the stratified cuts of all stratified tasks one keyed order-statistic
+    fit (keys: task, class), instead of a pair of jobs per task."""
+    from tabmill.functions.exprs import hash_uniform
+    from tabmill.functions.quantiles import column_medians, group_sizes, kth_smallest
+    import math as _math
+
+    med_cols = sorted({t.target for t in tasks if t.rule in ("median_ge", "median_gt")})
+    meds = column_medians(logged, med_cols) if med_cols else {}
+    frames = []
+    for t in tasks:
+        c = F.col(t.target)
+        if t.kind == "regression":
+            y = c.cast("double")
+        elif t.rule == "median_ge":
+            y = (c >= F.lit(meds[t.target])).cast("double")
+        elif t.rule == "median_gt":
+            y = (c > F.lit(meds[t.target])).cast("double")
+        else:
+            y = (c >= F.lit(labels.threshold_value(t.threshold, t.scale))).cast("double")
+        frames.append(logged.select(F.lit(t.name).alias("task"), id_col, y.alias("y"),
+                                    *[F.col(f).cast("double").alias(f) for f in RULE_FEATURES]))
+    allf = frames[0]
+    for f in frames[1:]:
+        allf = allf.unionByName(f)
+    u = hash_uniform(id_col, split.SEED)
+    strat = [t.name for t in tasks if t.stratify]
+    cond = F.lit(False)
+    if strat:
+        h = allf.where(F.col("task").isin(strat)).select("task", "y", u.alias("__u"))
+        sizes = group_sizes(h, ["task", "y"], "__u")
+        ranks = {}
+        for g, n in sizes.items():
+            k = int(_math.floor(split.TEST_FRACTION * n + 0.5))
+            if k > 0:
+                ranks[g] = [k - 1]
+        kth = kth_smallest(h, ["task", "y"], "__u", ranks, sizes=sizes)
+        for (task, cls), ks in ranks.items():
+            cond = cond | ((F.col("task") == task) & (F.col("y") == F.lit(cls))
+                           & (u <= F.lit(kth[(task, cls)][ks[0]])))
+    rand = F.col("task").isin(strat or [""]) == F.lit(False)
+    test = (rand & (u < F.lit(split.TEST_FRACTION))) | cond
+    return allf.withColumn("split", F.when(test, "test").otherwise("train"))
+
+
+def all_rule_predictions(logged: DataFrame, tasks: list[Task], id_col: str = ASSAY_SPEC.id) -> DataFrame:
+    """Rule predictions for every task; the train-split statistics of all
+    tasks come from one keyed exact-quantile fit and one grouped mean."""
+    from tabmill.functions.quantiles import exact_quantiles
+    frame = all_task_frames(logged, tasks, id_col)
+    train = frame.where(F.col("split") == "train")
+    reg = [t.name for t in tasks if t.kind == "regression"]
+    clf = [t.name for t in tasks if t.kind == "classification"]
+    rule_feats = [f for _, f in CLF_RULES]
+    parts = []
+    if reg:
+        parts.append(train.where(F.col("task").isin(reg)).select("task", F.lit("y").alias("__f"),
+                                                                 F.col("y").alias("__v")))
+    if clf:
+        parts.append(train.where(F.col("task").isin(clf)).select(
+            "task", *rule_feats).unpivot(["task"], rule_feats, "__f", "__v"))
+    long = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    qs = exact_quantiles(long, ["task", "__f"], "__v", [0.25, 0.5, 0.75])
+    means = {}
+    if reg:
+        means = {r["task"]: r["m"] for r in train.where(F.col("task").isin(reg))
+                 .groupBy("task").agg(F.avg("y").alias("m")).collect()}
+    out = []
+    for t in tasks:
+        ft = frame.where(F.col("task") == t.name)
+        head = [F.lit(t.name).alias("task")]
+        if t.kind == "regression":
+            preds = {
+                "rule_price": F.log(F.lit(1.0) + F.col("sum_price") * (F.lit(1.0) - F.col("avg_disc"))),
+                "train_median": F.lit(qs[(t.name, "y")][0.5]),
+                "train_mean": F.lit(means[t.name]),
+            }
+            for i, name in enumerate(REG_RULES):
+                out.append(ft.select(*head, F.lit(name).alias("model"), F.lit(i).alias("model_order"),
+                                     "split", id_col, "y", preds[name].cast("double").alias("p"),
+                                     F.lit(None).cast("int").alias("yhat")))
+        else:
+            for i, (name, f) in enumerate(CLF_RULES):
+                q = qs[(t.name, f)]
+                p = softsign_score(f, q[0.5], q[0.75] - q[0.25])
+                out.append(ft.select(*head, F.lit(name).alias("model"), F.lit(i).alias("model_order"),
+                                     "split", id_col, "y", p.alias("p"),
+                                     (p >= F.lit(0.5)).cast("int").alias("yhat")))
+    res = out[0]
+    for o in out[1:]:
+        res = res.unionByName(o)
+    return res
