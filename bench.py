@@ -37,15 +37,14 @@ def main() -> None:
     from tabmill.plans import study
     from tabmill.plans.tasks import TASK_BY_NAME
     from tabmill.operators import profile
-    from tabmill.sources.assay import ASSAY_SPEC, TARGETS
+    from tabmill.sources.assay import ASSAY_SPEC
 
     times: dict[str, float] = {}
 
     t0 = time.time()
     raw = P.assay_raw(spark, sf_dir)
-    before = profile.profile_info(P.stage_dedup(raw), "before", TARGETS)
-    run(before)
-    pre = P.preprocess(raw, ASSAY_SPEC, cut_lineage=True)
+    pre = P.preprocess(raw, ASSAY_SPEC, cut_lineage=True, profile_before=True)
+    run(pre.info_before)
     after = profile.profile_info(pre.table, "after", pre.spec.targets)
     run(after)
     run(pre.table)

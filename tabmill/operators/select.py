@@ -11,12 +11,20 @@ from pyspark.sql import functions as F
 PAIRWISE_SQL_MAX_WIDTH = 64
 
 
-def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
+def corr_matrix(df: DataFrame, cols: list[str], complete: bool | None = None) -> DataFrame:
     """(a, b, pos_a, pos_b, r) for every pair pos_a < pos_b, r = |Pearson|.
 
     Rows with a NULL in either column are skipped pair by pair, as pandas
-    does; a constant column gives r = NULL (undefined), never an error."""
-    if len(cols) > PAIRWISE_SQL_MAX_WIDTH:
+    does; a constant column gives r = NULL (undefined), never an error.
+    Columns without NULLs (checked by one count unless ``complete`` says so)
+    go through ``ml.stat.Correlation``: one treeAggregate of a d x d Gram
+    matrix, far cheaper than d^2/2 pairwise aggregates. Columns with NULLs
+    need the pairwise-complete aggregate."""
+    if complete is None:
+        row = df.agg(*[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(c)
+                       for c in cols]).collect()[0]
+        complete = all(row[c] == 0 for c in cols)
+    if complete or len(cols) > PAIRWISE_SQL_MAX_WIDTH:
         return _corr_matrix_ml(df, cols)
     pairs, exprs = [], []
     for i, a in enumerate(cols):
@@ -44,6 +52,7 @@ def _corr_matrix_ml(df: DataFrame, cols: list[str]) -> DataFrame:
     from pyspark.ml.stat import Correlation
     vec = VectorAssembler(inputCols=cols, outputCol="__f", handleInvalid="skip").transform(
         df.select(*cols))
+    # a d x d matrix: bounded by the schema width, not the data
     m = Correlation.corr(vec, "__f", "pearson").collect()[0][0].toArray()
     rows = []
     for i in range(len(cols)):
@@ -61,8 +70,9 @@ def corr_drop(corr: DataFrame, threshold: float) -> DataFrame:
             .select(F.col("b").alias("feature"), "position"))
 
 
-def corr_drop_list(df: DataFrame, cols: list[str], threshold: float) -> list[str]:
-    rows = corr_drop(corr_matrix(df, cols), threshold).collect()
+def corr_drop_list(df: DataFrame, cols: list[str], threshold: float,
+                   complete: bool | None = None) -> list[str]:
+    rows = corr_drop(corr_matrix(df, cols, complete), threshold).collect()
     return [r["feature"] for r in sorted(rows, key=lambda r: r["position"])]
 
 

@@ -820,15 +820,9 @@ def q_smote_train(spark, sf):
 _ALL_DTYPES = ["bigint", "double", "int"]
 
 
-def _stages(spark, sf):
-    raw = P.stage_dedup(P.assay_raw(spark, sf))
-    pre = P.preprocess(P.assay_raw(spark, sf), ASSAY_SPEC, cut_lineage=True)
-    return raw, pre
-
-
 def _profile_compare_df(spark, sf) -> DataFrame:
-    raw, pre = _stages(spark, sf)
-    before = profile.profile_info(raw, "before", TARGETS, _ALL_DTYPES)
+    pre = P.preprocess(P.assay_raw(spark, sf), ASSAY_SPEC, cut_lineage=True, profile_before=True)
+    before = pre.info_before
     after = profile.profile_info(pre.table, "after", TARGETS + S.LOGS, _ALL_DTYPES)
     return profile.profile_compare(before, after)
 
@@ -887,8 +881,9 @@ def _after_describe_sql() -> str:
 @query("profile_compare_stats", S.with_ctes(*S.selected_ctes()) +
        _describe_sql("dedup", S.ASSAY_COLS, "'before' AS stage, ") + " UNION ALL " + _after_describe_sql())
 def q_profile_compare_stats(spark, sf):
-    raw, pre = _stages(spark, sf)
-    return profile.profile_compare_stats(profile.describe_table(raw), profile.describe_table(pre.table))
+    pre = P.preprocess(P.assay_raw(spark, sf), ASSAY_SPEC, cut_lineage=True, profile_before=True)
+    return profile.profile_compare_stats(profile.describe_table(pre.deduped),
+                                         profile.describe_table(pre.table))
 
 
 @query("load_processed", S.with_ctes(

@@ -33,6 +33,8 @@ class Preprocessed:
     corr_dropped: list[str]
     kept: list[str]
     log_targets: list[str] = field(default_factory=list)
+    info_before: DataFrame | None = None
+    deduped: DataFrame | None = None
 
 
 def stage_dedup(df: DataFrame) -> DataFrame:
@@ -60,37 +62,49 @@ def stage_log(df: DataFrame, spec: TableSpec) -> DataFrame:
     return clean.log_targets(df, spec.targets)
 
 
-def logged_stage(df: DataFrame, spec: TableSpec, cut_lineage: bool = True):
+def logged_stage(df: DataFrame, spec: TableSpec, cut_lineage: bool = True,
+                 profile_before: bool = False):
     """dedup -> clip targets -> impute -> floor -> log. The deduplicated
     table is written once (every fit below re-reads it, not the sources);
-    the logged table too, as selection and the tasks read it many times."""
+    the logged table too, as selection and the tasks read it many times.
+    With ``profile_before`` the returned tuple ends with the "before"
+    profile row, computed on the written deduplicated table."""
     df = stage_dedup(df)
     if cut_lineage:
         df = materialize(df, "dedup")
+    info = (profile.profile_info(df, "before", spec.targets), df) if profile_before else None
     df, fences = stage_clip(df, spec)
     df, medians = stage_impute(df, spec)
     df, floors = stage_floor(df, spec)
     df = stage_log(df, spec)
     if cut_lineage:
         df = materialize(df, "logged")
+    if profile_before:
+        return df, fences, medians, floors, info
     return df, fences, medians, floors
 
 
 def preprocess(df: DataFrame, spec: TableSpec, corr_threshold: float = CORR_THRESHOLD,
-               var_threshold: float = VARIANCE_THRESHOLD, cut_lineage: bool = True) -> Preprocessed:
+               var_threshold: float = VARIANCE_THRESHOLD, cut_lineage: bool = True,
+               profile_before: bool = False) -> Preprocessed:
     """dedup -> clip targets -> impute -> floor -> log -> correlation drop
-    -> variance filter. Returns the cleaned table and every fitted value."""
-    df, fences, medians, floors = logged_stage(df, spec, cut_lineage)
+    -> variance filter. Returns the cleaned table and every fitted value
+    (and, with ``profile_before``, the profile row of the deduplicated
+    input)."""
+    staged = logged_stage(df, spec, cut_lineage, profile_before)
+    df, fences, medians, floors = staged[:4]
+    info, deduped = staged[4] if profile_before else (None, None)
     logs = [f"log_{t}" for t in spec.targets]
     feats = [c for c in spec.features if c in df.columns]
-    dropped = select.corr_drop_list(df, feats, corr_threshold)
+    # every numeric column was median-filled above, so the features are complete
+    dropped = select.corr_drop_list(df, feats, corr_threshold, complete=True)
     kept_corr = [c for c in feats if c not in set(dropped)]
     kept = select.variance_keep(df, kept_corr, var_threshold)
     if not kept:
         raise ValueError("no features left after variance filtering")
     out = df.select(spec.id, *kept, *spec.targets, *logs)
     return Preprocessed(out, TableSpec(spec.id, spec.targets + logs, kept), fences,
-                        medians, floors, dropped, kept, logs)
+                        medians, floors, dropped, kept, logs, info, deduped)
 
 
 def assay_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
