@@ -93,20 +93,27 @@ def _score_against(bc, k: int):
                     dist += diff * diff
                 dist[ib[:, None] == ref_ids[None, :]] = np.inf   # not its own neighbour
                 kk = min(k, n_ref)
-                for r in range(len(qb)):
+                # k smallest per row, ordered by (distance, id); rows whose k-th
+                # distance is tied beyond k take the exact per-row path so ids
+                # break the tie
+                part = np.argpartition(dist, kk - 1, axis=1)[:, :kk] if kk < n_ref else \
+                    np.tile(np.arange(n_ref), (len(qb), 1))
+                pd_ = np.take_along_axis(dist, part, axis=1)
+                kth = pd_.max(axis=1)
+                tied = (dist <= kth[:, None]).sum(axis=1) > kk
+                order = np.lexsort((ref_ids[part], pd_), axis=1)
+                part = np.take_along_axis(part, order, axis=1)
+                for r in np.nonzero(tied)[0]:
                     row = dist[r]
-                    idx = np.argpartition(row, kk - 1)[:kk] if kk < n_ref else np.arange(n_ref)
-                    # widen to every value tied with the k-th so ids break ties
-                    kth = row[idx].max()
-                    idx = np.nonzero(row <= kth)[0]
-                    order = np.lexsort((ref_ids[idx], row[idx]))[:kk]
-                    for t in idx[order]:
-                        if np.isinf(row[t]):
-                            continue
-                        out_id.append(ib[r])
-                        out_nb.append(ref_ids[t])
-                        out_d.append(row[t])
-                        out_v.append(ref[t].tolist())
+                    idx = np.nonzero(row <= kth[r])[0]
+                    part[r] = idx[np.lexsort((ref_ids[idx], row[idx]))[:kk]]
+                rows_d = np.take_along_axis(dist, part, axis=1)
+                ok = np.isfinite(rows_d)
+                rr, cc = np.nonzero(ok)
+                out_id.extend(ib[rr].tolist())
+                out_nb.extend(ref_ids[part[rr, cc]].tolist())
+                out_d.extend(rows_d[rr, cc].tolist())
+                out_v.extend(ref[part[rr, cc]].tolist())
             yield pd.DataFrame({"id": out_id, "nb_id": out_nb, "dist": out_d, "nb_vec": out_v})
     return fn
 

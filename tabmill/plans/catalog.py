@@ -905,3 +905,15 @@ def q_load_processed(spark, sf):
     cols = [c for c in back.columns if c != "id"]
     long = back.unpivot(["id"], cols, "feature", "value")
     return long.select("id", "feature", rnd("value", 6).alias("value"))
+
+
+@query("vote_averaging", _preds_sql(["classification_ic50_median"]) +
+       "SELECT id, split, y, round(avg(p), 9) AS p, CAST(avg(p) > 0.5 AS INTEGER) AS yhat "
+       "FROM preds GROUP BY id, split, y")
+def q_vote_averaging(spark, sf):
+    """Soft vote of the rule scorers: mean positive score per row, class 1
+    above 0.5 (the averaging step of the voting ensembles)."""
+    from tabmill.plans import models as M
+    p = _preds(spark, sf, ["classification_ic50_median"])
+    v = M.vote_long(p, ["id", "split", "y"], "classification")
+    return v.select("id", "split", "y", rnd("p", 9).alias("p"), "yhat")

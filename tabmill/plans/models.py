@@ -136,3 +136,12 @@ def importances(model, features: list[str]) -> list[tuple[str, float]]:
     """(feature, importance) from a tree model (sums to 1)."""
     v = model.featureImportances.toArray()
     return [(f, float(x)) for f, x in zip(features, v)]
+
+
+def vote_long(preds: DataFrame, keys: list[str], kind: str) -> DataFrame:
+    """The same vote over a long prediction table (one row per model and
+    row): a grouped mean of p per row key, class 1 above 0.5."""
+    out = preds.groupBy(*keys).agg(F.avg("p").alias("p"))
+    if kind == "classification":
+        out = out.withColumn("yhat", (F.col("p") > F.lit(0.5)).cast("int"))
+    return out

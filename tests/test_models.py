@@ -33,3 +33,20 @@ def test_linear_fit_matches_sql_definition(spark, sf_small):
 def test_classifier_probabilities_in_unit_interval(spark, sf_small):
     p = E.queries()["fit_logistic"](spark, sf_small)
     assert p.where((F.col("probability") < 0) | (F.col("probability") > 1)).count() == 0
+
+
+def test_failing_draw_scores_worst(spark):
+    """A draw Spark rejects (depth above its cap) scores as the worst value
+    and the search goes on with the others."""
+    import math
+    from pyspark.ml.feature import VectorAssembler
+    from tabmill.operators import split
+    from tabmill.plans import tune as TU
+    rows = [(i, float(i % 13), float((i * 7) % 5), float(i % 13) * 2.0 + 1.0) for i in range(1, 301)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, y double")
+    df = split.kfold_assign(df, "id", 3)
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    draws = [{"numTrees": 3, "maxDepth": 31}, {"numTrees": 3, "maxDepth": 3}]
+    model, best, trials = TU.tune(df, "RF", "regression", draws, 3, "mse", 300, parallelism=1)
+    assert best == draws[1]
+    assert math.isinf(trials[0][2]) and math.isfinite(trials[1][2])
