@@ -35,6 +35,12 @@ def query(key: str, sql: str | None = None):
     return deco
 
 
+def _assay_written(spark, sf) -> DataFrame:
+    """The fixture written once to the checkpoint folder, for queries that
+    run several fit jobs over it (each would otherwise redo the joins)."""
+    return materialize(P.assay_raw(spark, sf), "assay")
+
+
 def round_all(df: DataFrame, digits: int, skip: tuple[str, ...] = ()) -> DataFrame:
     """Round every double column (same arithmetic as DuckDB's round)."""
     out = []
@@ -135,14 +141,14 @@ def q_project_numeric(spark, sf):
     f"WHERE {c} < {c}_lo OR {c} > {c}_hi) AS n_outliers, round({c}_lo, 4) AS lower, "
     f"round({c}_hi, 4) AS upper FROM fences" for c in TARGETS))
 def q_outlier_counts(spark, sf):
-    return profile.outlier_counts(P.assay_raw(spark, sf), TARGETS)
+    return profile.outlier_counts(_assay_written(spark, sf), TARGETS)
 
 
 @query("quantiles", S.with_ctes() + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, {q} AS q, round(quantile_cont({c}, {q}), 4) AS value FROM assay"
     for c in TARGETS + ["acctbal", "n_lines"] for q in ("0.25", "0.5", "0.75")))
 def q_quantiles(spark, sf):
-    return profile.quantiles_table(P.assay_raw(spark, sf), TARGETS + ["acctbal", "n_lines"],
+    return profile.quantiles_table(_assay_written(spark, sf), TARGETS + ["acctbal", "n_lines"],
                                    [0.25, 0.5, 0.75])
 
 
@@ -157,7 +163,7 @@ def _describe_sql(src: str, cols: list[str], extra: str = "") -> str:
 
 @query("describe_table", S.with_ctes() + _describe_sql("assay", S.ASSAY_COLS))
 def q_describe(spark, sf):
-    return profile.describe_table(P.assay_raw(spark, sf))
+    return profile.describe_table(_assay_written(spark, sf))
 
 
 def _info_sql(src: str, stage: str, cols: list[str], outlier_cols: list[str],
@@ -177,7 +183,7 @@ _RAW_DTYPES = {"bigint": 3, "double": 13, "int": 2}
 @query("profile_info", S.with_ctes(S.fences_cte("assay", TARGETS, "before_f")) +
        _info_sql("assay", "before", S.ASSAY_COLS, TARGETS, _RAW_DTYPES, sorted(_RAW_DTYPES)))
 def q_profile_info(spark, sf):
-    return profile.profile_info(P.assay_raw(spark, sf), "before", TARGETS)
+    return profile.profile_info(_assay_written(spark, sf), "before", TARGETS)
 
 
 # ---- D: cleaning ----------------------------------------------------------
