@@ -41,6 +41,11 @@ def _assay_written(spark, sf) -> DataFrame:
     return materialize(P.assay_raw(spark, sf), "assay")
 
 
+def _dedup_written(spark, sf) -> DataFrame:
+    """The deduplicated fixture written once, as the pipeline does."""
+    return materialize(P.stage_dedup(P.assay_raw(spark, sf)), "dedup")
+
+
 def round_all(df: DataFrame, digits: int, skip: tuple[str, ...] = ()) -> DataFrame:
     """Round every double column (same arithmetic as DuckDB's round)."""
     out = []
@@ -194,7 +199,7 @@ _CLEAN_COLS = ["id", *TARGETS, *FEATURES]
 @query("clip_iqr", S.with_ctes(*S.clipped_ctes()) + "SELECT id, " +
        S.rounded(TARGETS, 4) + " FROM clipped")
 def q_clip(spark, sf):
-    df = P.stage_dedup(P.assay_raw(spark, sf))
+    df = _dedup_written(spark, sf)
     out, _ = P.stage_clip(df, ASSAY_SPEC)
     return round_all(out.select("id", *TARGETS), 4)
 
@@ -204,14 +209,14 @@ def q_clip(spark, sf):
     f"AS n_outliers, round({c}_lo, 4) AS lower, round({c}_hi, 4) AS upper FROM fences"
     for c in TARGETS))
 def q_clip_report(spark, sf):
-    df = P.stage_dedup(P.assay_raw(spark, sf))
+    df = _dedup_written(spark, sf)
     return profile.outlier_counts(df, TARGETS)
 
 
 @query("impute_median", S.with_ctes(*S.imputed_ctes()) + "SELECT id, " +
        S.rounded(S.NUMERIC_NO_ID, 6) + " FROM imputed")
 def q_impute_median(spark, sf):
-    df = P.stage_dedup(P.assay_raw(spark, sf))
+    df = _dedup_written(spark, sf)
     df, _ = P.stage_clip(df, ASSAY_SPEC)
     df, _ = P.stage_impute(df, ASSAY_SPEC)
     return round_all(df, 6)
@@ -260,12 +265,7 @@ def q_floor_counts(spark, sf):
 @query("log_targets", S.with_ctes(*S.logged_ctes()) + "SELECT id, " +
        S.rounded(S.LOGS, 6) + " FROM logged")
 def q_log_targets(spark, sf):
-    df = P.stage_dedup(P.assay_raw(spark, sf))
-    df, _ = P.stage_clip(df, ASSAY_SPEC)
-    df, _ = P.stage_impute(df, ASSAY_SPEC)
-    df, _ = P.stage_floor(df, ASSAY_SPEC)
-    df = P.stage_log(df, ASSAY_SPEC)
-    return round_all(df.select("id", *S.LOGS), 6)
+    return round_all(_logged(spark, sf).select("id", *S.LOGS), 6)
 
 
 # ---- E: selection ---------------------------------------------------------
