@@ -111,15 +111,15 @@ def kth_smallest(df: DataFrame, keys: list[str], value: str,
             seen.add((g, k))
             targets.append(_Target(group=g, k=int(k), size=int(sizes[g])))
 
-    data = data.cache() if len(targets) and max(t.size for t in targets) > max_bracket else data
+    # Each narrowing round re-reads the (column-pruned) input rather than
+    # caching it: the rounds are few, and persisting a table-sized long frame
+    # would cost more disk than the extra scans.
     while True:
         big = [t for t in targets if t.value is None and t.size > max_bracket]
         if not big:
             break
         _narrow(data, jkeys, big, accuracy)
     _finish(data, jkeys, [t for t in targets if t.value is None])
-    if data.is_cached:
-        data.unpersist()
 
     out: dict[tuple, dict[int, float]] = {}
     for t in targets:
@@ -249,17 +249,30 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
 
 def column_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                      max_bracket: int = DEFAULT_MAX_BRACKET,
-                     accuracy: int = DEFAULT_ACCURACY) -> dict[str, dict[float, float | None]]:
+                     accuracy: int = DEFAULT_ACCURACY, with_sizes: bool = False):
     """Exact quantiles of several columns at once, through one long
-    (feature, v) frame so each job is one aggregate whatever the width."""
+    (feature, v) frame so each job is one aggregate whatever the width.
+    With ``with_sizes`` also returns the non-null count per column."""
     if not cols:
-        return {}
+        return ({}, {}) if with_sizes else {}
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [], cols, "__feature", "__val")
-    res = exact_quantiles(long, ["__feature"], "__val", probs, max_bracket, accuracy)
+    sizes = group_sizes(long, ["__feature"], "__val")
+    ranks: dict[tuple, list[int]] = {}
+    for g, n in sizes.items():
+        if n:
+            for q in probs:
+                k0, k1, _ = quantile_ranks(n, q)
+                ranks.setdefault(g, []).extend([k0, k1])
+    kth = kth_smallest(long, ["__feature"], "__val", ranks, max_bracket, accuracy, sizes=sizes)
     out = {c: {q: None for q in probs} for c in cols}
-    for (feat,), qs in res.items():
-        out[feat] = qs
+    for (feat,), n in sizes.items():
+        if n:
+            for q in probs:
+                k0, k1, frac = quantile_ranks(n, q)
+                out[feat][q] = interpolate(kth[(feat,)][k0], kth[(feat,)][k1], frac)
+    if with_sizes:
+        return out, {c: sizes.get((c,), 0) for c in cols}
     return out
 
 

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tabmill.functions.quantiles import column_medians, column_quantiles
 from tabmill.operators import clean, profile, select
 from tabmill.session import materialize
 from tabmill.sources.assay import ASSAY_SPEC, assay
@@ -54,6 +55,37 @@ def stage_impute(df: DataFrame, spec: TableSpec):
     return out, med
 
 
+def stage_clip_impute(df: DataFrame, spec: TableSpec):
+    """Clip the targets to IQR fences, then fill NULLs with medians of the
+    clipped table, with one exact-quantile fit for both.
+
+    Clipping is monotone and leaves values inside the fences alone. For
+    n >= 3 the two order statistics the median interpolates between lie in
+    [Q1, Q3], inside the fences, so the median of the clipped column equals
+    the median of the unclipped one; only columns with fewer than 3 values
+    need a second fit on the clipped table."""
+    num = [c for c in clean.numeric_columns(df) if c != spec.id]
+    qs, sizes = column_quantiles(df, num, [0.25, 0.5, 0.75], with_sizes=True)
+    bounds = {}
+    for t in spec.targets:
+        q1, q3 = qs[t][0.25], qs[t][0.75]
+        if q1 is not None:
+            iqr = q3 - q1
+            bounds[t] = (q1, q3, q1 - profile.IQR_FACTOR * iqr, q3 + profile.IQR_FACTOR * iqr)
+    fences = profile.Fences(bounds)
+    clipped = clean.apply_clip(df, fences)
+    med = {c: qs[c][0.5] for c in num}
+    few = [t for t in spec.targets if t in med and 0 < sizes[t] < 3]
+    if few:
+        med.update(column_medians(clipped, few))
+    medians = clean.Medians(med)
+    out = clean.apply_medians(clipped, medians)
+    strings = [c for c in clean.string_columns(out) if c != spec.id]
+    if strings:
+        out, _ = clean.impute_mode(out, strings)
+    return out, fences, medians
+
+
 def stage_floor(df: DataFrame, spec: TableSpec):
     return clean.floor_positive(df, spec.targets)
 
@@ -73,8 +105,7 @@ def logged_stage(df: DataFrame, spec: TableSpec, cut_lineage: bool = True,
     if cut_lineage:
         df = materialize(df, "dedup")
     info = (profile.profile_info(df, "before", spec.targets), df) if profile_before else None
-    df, fences = stage_clip(df, spec)
-    df, medians = stage_impute(df, spec)
+    df, fences, medians = stage_clip_impute(df, spec)
     df, floors = stage_floor(df, spec)
     df = stage_log(df, spec)
     if cut_lineage:

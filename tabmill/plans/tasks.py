@@ -208,7 +208,9 @@ def all_rule_predictions(logged: DataFrame, tasks: list[Task], id_col: str = ASS
     """Rule predictions for every task; the train-split statistics of all
     tasks come from one keyed exact-quantile fit and one grouped mean."""
     from tabmill.functions.quantiles import exact_quantiles
-    frame = all_task_frames(logged, tasks, id_col)
+    from tabmill.session import materialize
+    # every fit below and every metric job reads this frame: write it once
+    frame = materialize(all_task_frames(logged, tasks, id_col), "task_frames")
     train = frame.where(F.col("split") == "train")
     reg = [t.name for t in tasks if t.kind == "regression"]
     clf = [t.name for t in tasks if t.kind == "classification"]
