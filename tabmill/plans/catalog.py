@@ -923,3 +923,19 @@ def q_vote_averaging(spark, sf):
     p = _preds(spark, sf, ["classification_ic50_median"])
     v = M.vote_long(p, ["id", "split", "y"], "classification")
     return v.select("id", "split", "y", rnd("p", 9).alias("p"), "yhat")
+
+
+# ---- one study task end to end (rows-only) -------------------------------------
+
+def _task_query(task_name: str, resample: bool):
+    def run(spark, sf):
+        from tabmill.plans import study
+        pre = P.preprocess(P.assay_raw(spark, sf), ASSAY_SPEC, cut_lineage=True)
+        tr = study.run_task(pre, TASK_BY_NAME[task_name], n_draws=3, n_folds=3, light=True,
+                            resample=resample)
+        return tr.results
+    return run
+
+
+query("task_results_regression")(_task_query("regression_log_ic50", False))
+query("task_results_classification")(_task_query("classification_ic50_median", True))

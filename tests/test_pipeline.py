@@ -20,7 +20,8 @@ def test_every_key_has_sql_or_is_a_model_key():
     q, s = E.queries(), E.oracle_sql()
     rows_only = {k for k in q if k not in s}
     assert set(s) <= set(q)
-    assert all(k.startswith(("fit_", "vote_", "tune_", "feature_", "smote_train")) for k in rows_only), rows_only
+    assert all(k.startswith(("fit_", "vote_", "tune_", "feature_", "smote_train", "task_results"))
+               for k in rows_only), rows_only
 
 
 def test_split_is_partition_independent(spark, sf_small):
