@@ -74,12 +74,14 @@ def dtype_counts(df: DataFrame) -> dict[str, int]:
 
 
 def profile_info(df: DataFrame, stage: str, outlier_cols: list[str],
-                 dtypes: list[str] | None = None) -> DataFrame:
+                 dtypes: list[str] | None = None, fences: Fences | None = None) -> DataFrame:
     """One row: stage, rows, columns, missing cells, columns per type and
     outliers per given column. Rows, missing cells and outliers come from
-    one aggregate (after one quartile fit)."""
+    one aggregate (after one quartile fit, skipped when ``fences`` already
+    fitted on this same table are given)."""
     cols = [c for c in outlier_cols if c in df.columns]
-    fences = fit_fences(df, cols) if cols else Fences({})
+    if fences is None or any(c not in fences.bounds for c in cols):
+        fences = fit_fences(df, cols) if cols else Fences({})
     missing = [F.sum(F.col(c).isNull().cast("bigint")) for c in df.columns]
     total_missing = missing[0]
     for m in missing[1:]:

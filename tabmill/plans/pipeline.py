@@ -104,8 +104,11 @@ def logged_stage(df: DataFrame, spec: TableSpec, cut_lineage: bool = True,
     df = stage_dedup(df)
     if cut_lineage:
         df = materialize(df, "dedup")
-    info = (profile.profile_info(df, "before", spec.targets), df) if profile_before else None
+    deduped = df
     df, fences, medians = stage_clip_impute(df, spec)
+    # the before profile's fences are the clip fences: same table, same fit
+    info = (profile.profile_info(deduped, "before", spec.targets, fences=fences), deduped) \
+        if profile_before else None
     df, floors = stage_floor(df, spec)
     df = stage_log(df, spec)
     if cut_lineage:
