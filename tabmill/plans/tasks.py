@@ -14,7 +14,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabmill.functions.quantiles import column_quantiles
 from tabmill.operators import evaluate, labels, split
 from tabmill.sources.assay import ASSAY_SPEC
 
@@ -31,10 +30,6 @@ class Task:
     curves: bool = True       # ROC AUC / average precision reported
     metric: str = "r2"        # metric that picks the best model
 
-    @property
-    def y(self) -> str:
-        return "y"
-
 
 # fixed values: the study's tasks, in report order
 TASKS = [
@@ -83,40 +78,6 @@ def softsign_score(c: str, center: float, spread: float):
     return F.lit(0.5) + F.lit(0.5) * z / (F.lit(1.0) + F.abs(z))
 
 
-def rule_predictions(frame: DataFrame, task: Task, id_col: str = ASSAY_SPEC.id) -> DataFrame:
-    """(task, model, model_order, split, id, y, p, yhat) for every rule."""
-    train = frame.where(F.col("split") == "train")
-    parts = []
-    if task.kind == "regression":
-        q = column_quantiles(train, ["y"], [0.5])["y"][0.5]
-        mean = train.agg(F.avg("y")).collect()[0][0]
-        preds = {
-            "rule_price": F.log(F.lit(1.0) + F.col("sum_price") * (F.lit(1.0) - F.col("avg_disc"))),
-            "train_median": F.lit(q),
-            "train_mean": F.lit(mean),
-        }
-        for i, name in enumerate(REG_RULES):
-            parts.append(frame.select(F.lit(task.name).alias("task"), F.lit(name).alias("model"),
-                                      F.lit(i).alias("model_order"), "split", id_col,
-                                      F.col("y").cast("double").alias("y"),
-                                      preds[name].cast("double").alias("p"),
-                                      F.lit(None).cast("int").alias("yhat")))
-    else:
-        feats = [f for _, f in CLF_RULES]
-        qs = column_quantiles(train, feats, [0.25, 0.5, 0.75])
-        for i, (name, f) in enumerate(CLF_RULES):
-            med, iqr = qs[f][0.5], qs[f][0.75] - qs[f][0.25]
-            p = softsign_score(f, med, iqr)
-            parts.append(frame.select(F.lit(task.name).alias("task"), F.lit(name).alias("model"),
-                                      F.lit(i).alias("model_order"), "split", id_col,
-                                      F.col("y").cast("double").alias("y"), p.alias("p"),
-                                      (p >= F.lit(0.5)).cast("int").alias("yhat")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def results_for(preds: DataFrame, tasks: list[Task], digits: int = 3) -> DataFrame:
     """Results table (task, kind, model, model_order, n, mse, r2, mae,
     accuracy, precision, recall, f1, roc_auc, pr_auc) on the test split,
@@ -124,7 +85,6 @@ def results_for(preds: DataFrame, tasks: list[Task], digits: int = 3) -> DataFra
     the other way round."""
     from tabmill.functions.exprs import rnd
     test = preds.where(F.col("split") == "test")
-    kinds = {t.name: t for t in tasks}
     reg_names = [t.name for t in tasks if t.kind == "regression"]
     clf_names = [t.name for t in tasks if t.kind == "classification"]
     curve_names = [t.name for t in tasks if t.kind == "classification" and t.curves]
@@ -148,9 +108,8 @@ def results_for(preds: DataFrame, tasks: list[Task], digits: int = 3) -> DataFra
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
-    order = F.create_map(*[x for t in tasks for x in (F.lit(t.name), F.lit(TASKS.index(t)
-                                                                            if t in TASKS else 0))])
-    del kinds
+    order = F.create_map(*[x for t in tasks
+                           for x in (F.lit(t.name), F.lit(TASKS.index(t) if t in TASKS else 0))])
     return out.select("task", "kind", "model", "model_order", "n",
                       *[rnd(c, digits).alias(c) for c in cols],
                       order[F.col("task")].alias("task_order"))
