@@ -50,3 +50,15 @@ def test_failing_draw_scores_worst(spark):
     model, best, trials = TU.tune(df, "RF", "regression", draws, 3, "mse", 300, parallelism=1)
     assert best == draws[1]
     assert math.isinf(trials[0][2]) and math.isfinite(trials[1][2])
+
+
+def test_holdout_mode(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from tabmill.operators import split
+    from tabmill.plans import tune as TU
+    rows = [(i, float(i % 13), float((i * 7) % 5), float(i % 13) * 2.0 + 1.0) for i in range(1, 301)]
+    df = split.kfold_assign(spark.createDataFrame(rows, "id long, a double, b double, y double"), "id", 3)
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    draws = TU.search_space(TU.space_for("RF", "regression", light=True), 3)
+    model, best, trials = TU.tune(df, "RF", "regression", draws, 3, "mse", 300, mode="holdout")
+    assert best in draws and len(trials) == 3 and model is not None
