@@ -88,16 +88,17 @@ def run_task(pre: Preprocessed, task: Task, n_draws: int = 50, n_folds: int = 5,
             best, params, tr = TU.tune(prep.train, name, task.kind, draws, n_folds, objective,
                                        prep.n_train, parallelism, fixed)
         except Exception as e:  # one failing model is reported, the rest go on
-            status.append((task.name, name, order, f"failed: {type(e).__name__}"))
+            status.append((task.name, name, order, f"failed: {type(e).__name__}", None))
             continue
         trials += [(task.name, name, *t) for t in tr]
+        train_score = _train_score(best, prep.train, task)
         p = M.predict(best, prep.test, task.kind)
         preds.append(p.select(F.lit(task.name).alias("task"), F.lit(name).alias("model"),
                               F.lit(order).alias("model_order"), F.col(pre.spec.id).alias("id"), "y",
                               F.col("p").cast("double").alias("p"),
                               (F.col("yhat") if task.kind == "classification"
                                else F.lit(None).cast("int")).alias("yhat")))
-        status.append((task.name, name, order, "ok"))
+        status.append((task.name, name, order, "ok", train_score))
         if hasattr(best, "featureImportances"):
             imps += [(task.name, name, f, v) for f, v in M.importances(best, prep.features)]
     # the vote: untuned default members, as in the study
@@ -108,13 +109,14 @@ def run_task(pre: Preprocessed, task: Task, n_draws: int = 50, n_folds: int = 5,
                           F.lit(len(models)).alias("model_order"), F.col(pre.spec.id).alias("id"), "y", "p",
                           (F.col("yhat") if task.kind == "classification"
                            else F.lit(None).cast("int")).alias("yhat")))
-    status.append((task.name, "Voting", len(models), "ok"))
+    status.append((task.name, "Voting", len(models), "ok", None))
     allp = preds[0]
     for p in preds[1:]:
         allp = allp.unionByName(p)
     allp = allp.withColumn("split", F.lit("test"))
     results = _results(allp, task)
-    st = spark.createDataFrame(status, "task string, model string, model_order int, status string")
+    st = spark.createDataFrame(
+        status, "task string, model string, model_order int, status string, train_score double")
     results = results.join(st, ["task", "model", "model_order"], "right")
     imp = spark.createDataFrame(imps or [], "task string, model string, feature string, importance double")
     imp = evaluate.top_k(imp, "importance", 10, "feature", ["task", "model"])
@@ -123,6 +125,21 @@ def run_task(pre: Preprocessed, task: Task, n_draws: int = 50, n_folds: int = 5,
     return TaskRun(results, allp, imp, tr)
 
 
+def _train_score(model, train: DataFrame, task: Task) -> float:
+    """The overfit check: R2 (regression), accuracy (threshold task) or F1
+    of class 1 on the train split the model was fit on."""
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+    if task.kind == "regression":
+        ev = RegressionEvaluator(labelCol="y", predictionCol="prediction", metricName="r2")
+    elif task.rule == "threshold":
+        ev = MulticlassClassificationEvaluator(labelCol="y", predictionCol="prediction",
+                                               metricName="accuracy")
+    else:
+        ev = MulticlassClassificationEvaluator(labelCol="y", predictionCol="prediction",
+                                               metricName="fMeasureByLabel", metricLabel=1.0)
+    return float(ev.evaluate(model.transform(train)))
+
+
 def _results(preds: DataFrame, task: Task) -> DataFrame:
     from tabmill.plans.tasks import results_for
     # an audit of the predictions: a model with non-finite output is dropped
