@@ -23,7 +23,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one Parquet table; a missing file names the table."""
     try:
         return spark.read.parquet(table_path(sf_dir, name))
-    except AnalysisException as e:  # path does not exist
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # e.g. an unreadable column type
+            raise
         raise MissingInput(f"input table {name!r} not found under {sf_dir}") from e
 
 
