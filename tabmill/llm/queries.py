@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabmill.llm import line_frequency as lf
 from tabmill.llm import line_runs
+from tabmill.llm import minhash_icws as mh
 from tabmill.llm.common import read
 
 QUERIES: dict = {}
@@ -85,3 +86,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     return out.select("doc_id", (F.size(F.split(text, "\n")) + F.size(gone) - ((text == "") & (F.size(gone) > 0)).cast("int")).alias("n_lines"),
                       F.size(gone).alias("n_gone"), gone.alias("gone"), F.md5(text).alias("text_md5"))
+
+
+@query("op6_near_duplicates")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mh.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "class_id")
