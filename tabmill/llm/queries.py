@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabmill.llm import line_frequency as lf
-from tabmill.llm import line_runs
+from tabmill.llm import bpe_bitmap, line_runs, token_counts
 from tabmill.llm import minhash_icws as mh
 from tabmill.llm.common import read
 
@@ -91,3 +92,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_near_duplicates")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mh.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
+@query("op8_token_counts")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op10_byte_bpe")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_bitmap.round_trip(read(spark, sf_dir, "documents"),
+                                 public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
