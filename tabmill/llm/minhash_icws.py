@@ -306,3 +306,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     least = classed.where(F.col("key") != empty).groupBy(group.alias("g")).agg(F.min("doc_id").alias("class_id"))
     return classed.withColumn("own", group).join(least, F.col("own") == F.col("g"), "left").select(
         "doc_id", "key", F.when(F.col("key") == empty, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+
+
+def one_per_class(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Of each class the row with its smallest doc_id; where rows share that doc_id, the first in (key) order. Texts without a
+    word are no copies of each other and stay; of rows repeated in full one stays."""
+    classes = near_duplicates(docs.select("doc_id", "text"), threshold).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    chosen = classes.groupBy(F.col("doc_id").alias("_id"), (F.col("key") == F.unhex(F.md5(F.lit("")))).alias("_none")).agg(F.min("key").alias("_key"))
+    key = F.unhex(F.md5(F.coalesce(normal_line(F.col("text")), F.lit(""))))
+    kept = docs.withColumn("_own", key).join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_own"]).drop("_own")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabmill.llm import line_frequency as lf
-from tabmill.llm import bpe_bitmap, line_runs, token_counts
+from tabmill.llm import bpe_bitmap, line_runs, mix_hierarchy, token_counts
 from tabmill.llm import minhash_icws as mh
 from tabmill.llm.common import read
 
@@ -103,3 +103,51 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_bitmap.round_trip(read(spark, sf_dir, "documents"),
                                  public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+#: Targets of the mix: domains, languages within a domain; sources share alike.
+MIX_WEIGHTS = {1: {("domain0",): 4.0, ("domain1",): 3.0, ("domain2",): 2.0, ("domain3",): 1.0},
+               2: {("en",): 5.0, ("fr",): 2.0, ("de",): 2.0, ("es",): 1.0}}
+MIX_SHARE, MIX_EPOCHS = 0.8, 2
+
+
+def mix_levels() -> dict:
+    """domain: the number at the end of the source's name, modulo 4; a source without one is in domain0."""
+    number = F.coalesce(F.regexp_extract("source", "([0-9]{1,9})$", 1).try_cast("long"), F.lit(0))
+    return {"domain": F.concat(F.lit("domain"), (number % 4).cast("string")), "lang": F.col("lang"), "source": F.col("source")}
+
+
+def _mix_sql() -> str:
+    case = lambda c, d: f"case {c} " + " ".join(f"when '{k[0]}' then {w}::double" for k, w in MIX_WEIGHTS[d].items()) + " else 1.0::double end"
+    levels, family, steps = ["domain", "lang", "source"], "", []
+    for i, name in enumerate(levels):
+        path, up = ", ".join(levels[:i + 1]), ", ".join(["0", *levels[:i]])
+        w = case(name, i + 1) if i < 2 else "1.0::double"
+        parent = "cross join b0" if i == 0 else f"join b{i} using ({family})"
+        steps.append(f"""
+n{i} as (select {path}, cap, w, pb, cap / w ratio from (select {path}, sum(cap) cap, {w} w from leaf group by {path})
+  join (select {family + ', ' if i else ''}budget pb from b{i}) using ({family}))""".replace("using ()", "on true") + f""",
+l{i} as (select *, (pb - coalesce(sum(cap) over (partition by {up} order by ratio, {name} rows between unbounded preceding and 1 preceding), 0))
+  / sum(w) over (partition by {up} order by ratio, {name} rows between current row and unbounded following) lvl from n{i}),
+b{i + 1} as (select {path}, case when cap <= w * lvl then cap::double else greatest(w * max(case when cap > w * lvl then lvl end)
+  over (partition by {up}), 0.0) end budget from l{i})""")
+        family = path
+    return f"""
+with d as (select doc_id, coalesce(lang, '') lang, coalesce(source, '') source,
+  'domain' || (coalesce(try_cast(regexp_extract(source, '([0-9]{{1,9}})$', 1) as bigint), 0) % 4) as domain,
+  len(list_filter(string_split_regex(coalesce(text, ''), '{WS_SQL}'), lambda x: x <> ''))::bigint n_tokens from documents),
+leaf as (select domain, lang, source, sum(n_tokens)::bigint t, sum(n_tokens)::bigint * {MIX_EPOCHS} cap from d group by all),
+b0 as (select least(sum(t) * {MIX_SHARE}::double, sum(cap)::double) budget from leaf), {','.join(steps)},
+p as (select domain, lang, source, floor(budget / t + 1e-9)::bigint f, floor(budget - floor(budget / t + 1e-9) * t + 1e-6)::bigint rest
+  from leaf join b3 using (domain, lang, source) where t > 0),
+o as (select d.*, f, rest, ('0x' || substr(md5(doc_id || ':{mix_hierarchy.SEED}:' || f), 1, 15))::bigint h from d join p using (domain, lang, source)),
+c as (select *, sum(n_tokens) over (partition by domain, lang, source order by h, doc_id) upto from o)
+select doc_id, domain, lang, source, n_tokens, unnest(range(0, f + (case when rest > 0 and upto <= rest then 1 else 0 end)))::int epoch from c
+"""
+
+
+@query("op2_mix_hierarchy", _mix_sql())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mix_hierarchy.mix(read(spark, sf_dir, "documents"), mix_levels(), MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS)
+    return out.select("doc_id", F.col("_domain").alias("domain"), F.col("_lang").alias("lang"), F.col("_source").alias("source"),
+                      F.col("_tokens").alias("n_tokens"), F.col("_epoch").alias("epoch"))
