@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabmill.llm import line_frequency as lf
-from tabmill.llm import arc_convert, bpe_bitmap, line_runs, mix_hierarchy, token_counts
+from tabmill.llm import arc_convert, bpe_bitmap, html_consensus, line_runs, mix_hierarchy, prefix_forest, token_counts
 from tabmill.llm import chat_parts as cp
 from tabmill.llm import minhash_icws as mh
 from tabmill.llm.common import read
@@ -182,3 +182,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_arc_convert")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arc_convert.pages_through_warc(read(spark, sf_dir, "pages"))
+
+
+@query("op3_html_consensus")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_consensus.main_text(read(spark, sf_dir, "pages"))
+
+
+@query("op1_prefix_forest")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_forest.neighbours(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
