@@ -200,7 +200,7 @@ def archive_pages(pages: DataFrame) -> DataFrame:
     digest = F.sha1(F.coalesce("html", F.lit("")))
     first = pages.select(digest.alias("sha"), F.struct("page_id", F.col("url")).alias("page")).groupBy("sha").agg(F.max("page").alias("page"), F.count("*").alias("n")).where("n > 1")
     first = stages.write(first.select("sha", F.col("page.page_id").alias("first_id"), F.col("page.url").alias("first_url")), "first")
-    rows = pages.withColumn("own", digest).join(first, F.col("own") == F.col("sha"), "left")
+    rows = pages.withColumn("own", digest).join(first.hint("merge"), F.col("own") == F.col("sha"), "left")
     later = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     rows = rows.select("page_id", "url", "html", F.when(later, F.col("first_id")).alias("r"), F.when(later, F.col("first_url")).alias("ru"), "own")
     return stages.write(rows.mapInArrow(_archive, "archive string, segment int, data binary"), "segments")
