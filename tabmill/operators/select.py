@@ -6,60 +6,59 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Above this width the pairwise aggregate (d^2/2 expressions) gives way to
-# ml.stat.Correlation, one treeAggregate of a d x d Gram matrix.
-PAIRWISE_SQL_MAX_WIDTH = 64
-
-
-def corr_matrix(df: DataFrame, cols: list[str], complete: bool | None = None) -> DataFrame:
+_PARTIAL = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+
+
+def _pair_sums(width: int):
+    """Per task: for every pair of columns, the sums over the rows in which both are present, from
+    Gram matrices of the values (absent: 0) and of the masks."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        n, sx, sxx, sxy = (np.zeros((width, width)) for _ in range(4))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns])
+            here = ~np.isnan(x)
+            x[~here] = 0.0
+            m = here.astype(np.float64)
+            n += m.T @ m
+            sx += x.T @ m
+            sxx += (x * x).T @ m
+            sxy += x.T @ x
+        i, j = np.triu_indices(width, 1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(n[i, j]), pa.array(sx[i, j]),
+             pa.array(sx[j, i]), pa.array(sxx[i, j]), pa.array(sxx[j, i]), pa.array(sxy[i, j])],
+            ["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+    return run
+
+
+def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """(a, b, pos_a, pos_b, r) for every pair pos_a < pos_b, r = |Pearson|.
 
-    Rows with a NULL in either column are skipped pair by pair, as pandas
-    does; a constant column gives r = NULL (undefined), never an error.
-    Columns without NULLs (checked by one count unless ``complete`` says so)
-    go through ``ml.stat.Correlation``: one treeAggregate of a d x d Gram
-    matrix, far cheaper than d^2/2 pairwise aggregates. Columns with NULLs
-    need the pairwise-complete aggregate."""
-    if complete is None:
-        row = df.agg(*[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(c)
-                       for c in cols]).collect()[0]
-        complete = all(row[c] == 0 for c in cols)
-    if complete or len(cols) > PAIRWISE_SQL_MAX_WIDTH:
-        return _corr_matrix_ml(df, cols)
-    pairs, exprs = [], []
-    for i, a in enumerate(cols):
-        for j in range(i + 1, len(cols)):
-            b = cols[j]
-            x, y = F.col(a).cast("double"), F.col(b).cast("double")
-            # pairwise-complete: both non-null
-            both = x.isNotNull() & y.isNotNull()
-            xa, ya = F.when(both, x), F.when(both, y)
-            r = F.try_divide(F.covar_pop(xa, ya), F.stddev_pop(xa) * F.stddev_pop(ya))
-            exprs.append(r.alias(f"r{len(pairs)}"))
-            pairs.append((a, b, i, j))
-    if not pairs:
-        return df.sparkSession.createDataFrame(
-            [], "a string, b string, pos_a int, pos_b int, r double")
-    row = df.agg(*exprs)
-    stacks = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(i).alias("pos_a"),
-                       F.lit(j).alias("pos_b"), F.abs(F.col(f"r{k}")).alias("r"))
-              for k, (a, b, i, j) in enumerate(pairs)]
-    return row.select(F.explode(F.array(*stacks)).alias("s")).select("s.*")
-
-
-def _corr_matrix_ml(df: DataFrame, cols: list[str]) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-    vec = VectorAssembler(inputCols=cols, outputCol="__f", handleInvalid="skip").transform(
-        df.select(*cols))
-    # a d x d matrix: bounded by the schema width, not the data
-    m = Correlation.corr(vec, "__f", "pearson").collect()[0][0].toArray()
-    rows = []
-    for i in range(len(cols)):
-        for j in range(i + 1, len(cols)):
-            v = float(m[i, j])
-            rows.append((cols[i], cols[j], i, j, None if v != v else abs(v)))
-    return df.sparkSession.createDataFrame(rows, "a string, b string, pos_a int, pos_b int, r double")
+    Rows with a NULL (or NaN) in either column are skipped pair by pair, as pandas does, at any
+    width; a constant column, or one without values, gives r = NULL (undefined), never an error.
+    Every task reduces its rows to six sums per pair, so the shuffle carries pairs x tasks rows
+    whatever the table's length. Columns are first shifted by their mean and scaled by their
+    deviation (correlation does not change), which keeps the sums well conditioned."""
+    schema = "a string, b string, pos_a int, pos_b int, r double"
+    spark = df.sparkSession
+    if len(cols) < 2:
+        return spark.createDataFrame([], schema)
+    x = [F.col(c).cast("double") for c in cols]
+    x = [F.when(~F.isnan(c), c) for c in x]
+    fit = df.agg(*[f(c).alias(f"{k}{i}") for i, c in enumerate(x) for k, f in (("m", F.avg), ("s", F.stddev_pop))]).collect()[0]
+    scaled = [((c - F.lit(fit[f"m{i}"])) / F.lit(fit[f"s{i}"] or 1.0)).cast("double").alias(f"c{i}") for i, c in enumerate(x)]
+    sums = df.select(*scaled).mapInArrow(_pair_sums(len(cols)), _PARTIAL)
+    sums = sums.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    n = F.col("n")
+    vx, vy = n * F.col("sxx") - F.col("sx") * F.col("sx"), n * F.col("syy") - F.col("sy") * F.col("sy")
+    # a column without spread has only rounding left of its sums
+    flat = (vx <= 1e-12 * n * F.col("sxx")) | (vy <= 1e-12 * n * F.col("syy"))
+    r = F.when(~flat, F.try_divide(n * F.col("sxy") - F.col("sx") * F.col("sy"), F.sqrt(vx) * F.sqrt(vy)))
+    names = F.array(*map(F.lit, cols))
+    return sums.select(names[F.col("i")].alias("a"), names[F.col("j")].alias("b"), F.col("i").alias("pos_a"),
+                       F.col("j").alias("pos_b"), F.when(r.isNotNull(), F.least(F.abs(r), F.lit(1.0))).alias("r"))
 
 
 def corr_drop(corr: DataFrame, threshold: float) -> DataFrame:
@@ -70,9 +69,8 @@ def corr_drop(corr: DataFrame, threshold: float) -> DataFrame:
             .select(F.col("b").alias("feature"), "position"))
 
 
-def corr_drop_list(df: DataFrame, cols: list[str], threshold: float,
-                   complete: bool | None = None) -> list[str]:
-    rows = corr_drop(corr_matrix(df, cols, complete), threshold).collect()
+def corr_drop_list(df: DataFrame, cols: list[str], threshold: float) -> list[str]:
+    rows = corr_drop(corr_matrix(df, cols), threshold).collect()
     return [r["feature"] for r in sorted(rows, key=lambda r: r["position"])]
 
 
