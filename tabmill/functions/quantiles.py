@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 DEFAULT_MAX_BRACKET = 200_000
 DEFAULT_ACCURACY = 10_000
 GRID = 256
+MAX_BROADCAST_TARGETS = 100_000  # beyond so many (group, rank) rows the join is left to Spark
 
 
 @dataclass
@@ -57,14 +58,15 @@ def _targets_frame(data: DataFrame, keys: list[str], rows: list[tuple],
                    extra: list[T.StructField]) -> DataFrame:
     schema = T.StructType([T.StructField("__t", T.LongType(), False)]
                           + _key_fields(data, keys) + extra)
-    return data.sparkSession.createDataFrame(rows, schema)
+    frame = data.sparkSession.createDataFrame(rows, schema)
+    return F.broadcast(frame) if len(rows) <= MAX_BROADCAST_TARGETS else frame
 
 
 def _join_targets(data: DataFrame, keys: list[str], targets: DataFrame) -> DataFrame:
-    # The target table has one row per (group, rank) and was built on the
-    # driver, so broadcasting it is bounded by construction.
-    cond = [data[k].eqNullSafe(targets[k]) for k in keys]
-    return data.join(F.broadcast(targets), cond, "inner").drop(*[targets[k] for k in keys])
+    # null-safe equality on the typed keys: any key type, NULL groups included
+    targets = targets.withColumnsRenamed({k: f"__k_{k}" for k in keys})
+    cond = [data[k].eqNullSafe(F.col(f"__k_{k}")) for k in keys]
+    return data.join(targets, cond, "inner").drop(*[f"__k_{k}" for k in keys])
 
 
 def _in_bracket():
@@ -192,9 +194,6 @@ def _finish(data: DataFrame, keys: list[str], small: list[_Target]) -> None:
     wanted: dict[int, set[int]] = {}
     for t in small:
         wanted.setdefault(brackets[(t.group, t.lo, t.hi)], set()).add(t.k - t.below)
-    if all(lo is None and hi is None for (_, lo, hi) in brackets):
-        _finish_whole_groups(data, keys, small, brackets, wanted)
-        return
     rows = [(bid, *_gkey(keys, g), lo, hi, sorted(wanted[bid]))
             for (g, lo, hi), bid in brackets.items()]
     fields = [T.StructField("__lo", T.DoubleType()), T.StructField("__hi", T.DoubleType()),
@@ -214,32 +213,6 @@ def _finish(data: DataFrame, keys: list[str], small: list[_Target]) -> None:
         t.value = got.get((brackets[(t.group, t.lo, t.hi)], t.k - t.below))
 
 
-def _finish_whole_groups(data: DataFrame, keys: list[str], small: list[_Target],
-                         brackets: dict, wanted: dict) -> None:
-    """Every bracket is a whole group (at most max_bracket values): sort
-    each group in one task; the wanted positions come from a literal map
-    keyed by group, so no target table has to be built and broadcast."""
-    def gk(g):
-        return "\u0001".join("" if x is None else str(x) for x in g)
-    key = F.concat_ws("\u0001", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
-    pos_map = F.create_map(*[x for (g, _, _), bid in brackets.items()
-                             for x in (F.lit(gk(_gkey(keys, g))),
-                                       F.array(*[F.lit(int(p)) for p in sorted(wanted[bid])]))])
-    picked = (data.groupBy(*keys).agg(F.array_sort(F.collect_list("__v")).alias("__a"))
-              .select(*keys, pos_map[key].alias("__pos"), "__a")
-              .where(F.col("__pos").isNotNull())
-              .select(*keys, "__pos",
-                      F.transform("__pos", lambda p: F.element_at("__a", p + 1)).alias("__vals"))
-              .collect())
-    got = {}
-    for r in picked:
-        g = tuple(r[k] for k in keys)
-        for p, val in zip(r["__pos"], r["__vals"]):
-            got[(g, p)] = val
-    for t in small:
-        t.value = got.get((_gkey(keys, t.group), t.k - t.below))
-
-
 def interpolate(lo: float, hi: float, frac: float) -> float:
     return lo if frac == 0 else lo + (hi - lo) * frac
 

@@ -48,12 +48,25 @@ def split_stratified(df: DataFrame, id_col: str, label: str,
     u = hash_uniform(id_col, seed)
     cond = F.lit(False)
     for cls, tau in cuts.items():
-        cond = cond | ((F.col(label) == F.lit(cls)) & (u <= F.lit(tau)))
+        cond = cond | (F.col(label).eqNullSafe(F.lit(cls)) & (u <= F.lit(tau)))
     return df.withColumn(out, F.when(cond, "test").otherwise("train"))
 
 
 def kfold_assign(df: DataFrame, id_col: str, k: int = N_FOLDS, seed: int = SEED,
-                 out: str = "fold") -> DataFrame:
-    """fold = floor(k * u) with a hash salted apart from the holdout's."""
+                 out: str = "fold", label: str | None = None) -> DataFrame:
+    """fold = floor(k * u) with a hash salted apart from the holdout's. With ``label`` the folds are stratified: within
+    every class the rows in hash order are cut into k parts whose sizes differ by one at most; the cuts are exact
+    order statistics."""
     u = hash_uniform(id_col, seed, "fold")
-    return df.withColumn(out, F.floor(u * F.lit(float(k))).cast("int"))
+    if label is None:
+        return df.withColumn(out, F.floor(u * F.lit(float(k))).cast("int"))
+    h = df.select(label, u.alias("__u"))
+    sizes = group_sizes(h, [label], "__u")
+    ranks = {g: sorted({n * f // k - 1 for f in range(1, k)} - {-1}) for g, n in sizes.items()}
+    kth = kth_smallest(h, [label], "__u", ranks, sizes=sizes)
+    fold = F.lit(0)
+    for g, n in sizes.items():
+        cuts = [kth[g][n * f // k - 1] if n * f // k else -1.0 for f in range(1, k)]
+        after = sum((u > F.lit(c)).cast("int") for c in cuts) if cuts else F.lit(0)
+        fold = F.when(F.col(label).eqNullSafe(F.lit(g[0])), after).otherwise(fold)
+    return df.withColumn(out, fold.cast("int"))
