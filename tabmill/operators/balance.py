@@ -2,13 +2,15 @@
 minority row and one of its k nearest minority neighbours, until the
 classes are equal.
 
-Neighbours are exact. The minority rows are cut into chunks of at most
-``chunk_rows`` rows by a hash of the key; each chunk (its size checked by a
-count before it moves) is broadcast, and every task scores its own query
-rows against it with NumPy in small blocks, keeping k candidates per row.
-The per-chunk candidates (k per row per chunk) are then reduced to the final
-k per row. Work is O(m^2 / tasks) for m minority rows, which is what exact
-neighbours cost; nothing holds all pairs, and no join emits them.
+Neighbours are exact and found on the executors. Points go to the cell of
+their nearest pivot (at most ``MAX_PIVOTS`` points with the smallest key hashes,
+the only rows the driver sees). Two cells are compared unless the triangle
+inequality excludes it: every point of a cell with more than k points has k others
+within twice the cell's radius, so a cell further off than that, radius to radius,
+holds none of its neighbours. Cells are packed into chunks of at most about ``CHUNK_ROWS`` rows; a
+task scores one chunk against another in NumPy blocks and keeps k candidates per
+row, which are then reduced to k. No join emits pairs of rows, no points are broadcast.
+In many dimensions fewer cells are excluded and the work tends to O(m^2 / tasks), the cost of exact neighbours.
 
 Synthesis is deterministic: row i makes floor(n_new / m) rows, plus one
 for the (n_new mod m) rows with the smallest key hash; neighbour and gap of
@@ -21,15 +23,16 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tabmill.functions.exprs import HASH_SPACE
 from tabmill.functions.quantiles import kth_smallest
+from tabmill.session import materialize
 
-CHUNK_ROWS = 100_000
+CHUNK_ROWS = 8192
+MAX_PIVOTS = 1024
 BLOCK_CELLS = 4_000_000      # query rows x chunk rows scored at once per task
 SEED = 42
 
@@ -39,87 +42,87 @@ def _hash_u(parts: list) -> F.Column:
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint").cast("double") / F.lit(HASH_SPACE)
 
 
+def _assign(pivots: np.ndarray):
+    """Nearest pivot of every point, and the distance to it."""
+    def run(batches):
+        for batch in batches:
+            vec = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, pivots.shape[1])
+            cell, far = np.zeros(len(vec), np.int32), np.zeros(len(vec))
+            step = max(1, BLOCK_CELLS // (len(pivots) * max(1, pivots.shape[1])))
+            for s in range(0, len(vec), step):
+                d = ((vec[s:s + step, None, :] - pivots[None, :, :]) ** 2).sum(axis=2)
+                cell[s:s + step] = d.argmin(axis=1)
+                far[s:s + step] = np.sqrt(d.min(axis=1))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(far)], ["id", "vec", "cell", "far"])
+    return run
+
+
 def knn_self(points: DataFrame, id_col: str, feats: list[str], k: int,
-             chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+             chunk_rows: int = CHUNK_ROWS, max_pivots: int = MAX_PIVOTS) -> DataFrame:
     """(id, nb_rank, nb_id, dist, nb_vec) for the k nearest other rows of
-    ``points`` by squared Euclidean distance; ties go to the smaller id."""
+    ``points`` by squared Euclidean distance; ties go to the smaller id. ``id_col`` is of any type."""
     spark = points.sparkSession
-    pts = points.select(F.col(id_col).cast("long").alias("id"),
-                        F.array(*[F.col(c).cast("double") for c in feats]).alias("vec"))
+    pts = materialize(points.select(F.col(id_col).alias("id"), F.array(*[F.col(c).cast("double") for c in feats]).alias("vec")), "points")
+    id_type = pts.schema["id"].dataType.simpleString()
     m = pts.count()
-    chunks = max(1, math.ceil(m / chunk_rows))
-    pts = pts.withColumn("__c", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int"))
-    schema = T.StructType([
-        T.StructField("id", T.LongType()), T.StructField("nb_id", T.LongType()),
-        T.StructField("dist", T.DoubleType()),
-        T.StructField("nb_vec", T.ArrayType(T.DoubleType()))])
-    parts = []
-    for c in range(chunks):
-        ref = pts.where(F.col("__c") == c).select("id", "vec")
-        n_ref = ref.count()
-        if n_ref > 4 * chunk_rows:
-            raise RuntimeError(f"chunk {c} holds {n_ref} rows; the hash split is too uneven")
-        rows = ref.collect()  # at most ~chunk_rows x d doubles, checked above
-        ref_ids = np.array([r["id"] for r in rows], dtype=np.int64)
-        ref_mat = np.array([r["vec"] for r in rows], dtype=np.float64).reshape(len(rows), len(feats))
-        bc = spark.sparkContext.broadcast((ref_ids, ref_mat))
-        parts.append(pts.select("id", "vec").mapInPandas(_score_against(bc, k), schema))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    # at most chunks x k candidates per row: a bounded window
+    n_pivots = max(1, min(max_pivots, math.ceil(m / chunk_rows)))
+    pivots = np.array([r["vec"] for r in pts.orderBy(F.xxhash64("id"), "id").limit(n_pivots).collect()]).reshape(-1, len(feats))
+    if not len(pivots):
+        return spark.createDataFrame([], f"id {id_type}, nb_rank int, nb_id {id_type}, dist double, nb_vec array<double>")
+    celled = materialize(pts.mapInArrow(_assign(pivots), f"id {id_type}, vec array<double>, cell int, far double"), "cells")
+    cells = {r["cell"]: (r["n"], r["radius"]) for r in celled.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("radius")).collect()}
+    pairs = []
+    for q, (n, radius) in cells.items():
+        reach = 2 * radius if n > k else math.inf
+        gap = np.sqrt(((pivots[list(cells)] - pivots[q]) ** 2).sum(axis=1))
+        pairs += [(q, r) for r, g in zip(cells, gap) if g - radius - cells[r][1] <= reach * (1 + 1e-9) + 1e-9]
+    chunks = spark.createDataFrame([(c, max(1, math.ceil(n / chunk_rows))) for c, (n, _) in cells.items()], "cell int, subs int")
+    packed = (celled.join(chunks, "cell").withColumn("sub", F.pmod(F.xxhash64("id"), F.col("subs")))
+              .groupBy("cell", "sub").agg(F.collect_list("id").alias("ids"), F.flatten(F.collect_list("vec")).alias("vecs")))
+    packed = materialize(packed, "chunks")
+    meet = spark.createDataFrame(pairs, "cell int, other int")
+    refs = packed.select(F.col("cell").alias("other"), F.col("ids").alias("ref_ids"), F.col("vecs").alias("ref_vecs"))
+    met = packed.join(meet, "cell").join(refs, "other").select("ids", "vecs", "ref_ids", "ref_vecs")
+    cand = met.mapInArrow(_score_chunks(k, len(feats)), f"id {id_type}, nb_id {id_type}, dist double, nb_vec array<double>")
+    # at most k candidates per chunk that a row's chunk meets
     w = Window.partitionBy("id").orderBy("dist", "nb_id")
     return (cand.withColumn("nb_rank", F.row_number().over(w)).where(F.col("nb_rank") <= k)
             .select("id", "nb_rank", "nb_id", "dist", "nb_vec"))
 
 
-def _score_against(bc, k: int):
-    def fn(batches):
-        ref_ids, ref = bc.value
-        n_ref, d = ref.shape
-        step = max(1, BLOCK_CELLS // max(n_ref, 1))
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            q_ids = pdf["id"].to_numpy(dtype=np.int64)
-            q = np.stack(pdf["vec"].to_numpy()).astype(np.float64).reshape(len(pdf), d)
-            out_id, out_nb, out_d, out_v = [], [], [], []
-            for s in range(0, len(q), step):
-                qb, ib = q[s:s + step], q_ids[s:s + step]
-                # feature by feature, left to right: the same sum SQL writes
-                dist = np.zeros((len(qb), n_ref))
-                for j in range(d):
-                    diff = qb[:, j:j + 1] - ref[None, :, j][0]
-                    dist += diff * diff
-                dist[ib[:, None] == ref_ids[None, :]] = np.inf   # not its own neighbour
-                kk = min(k, n_ref)
-                # k smallest per row, ordered by (distance, id); rows whose k-th
-                # distance is tied beyond k take the exact per-row path so ids
-                # break the tie
-                part = np.argpartition(dist, kk - 1, axis=1)[:, :kk] if kk < n_ref else \
-                    np.tile(np.arange(n_ref), (len(qb), 1))
-                pd_ = np.take_along_axis(dist, part, axis=1)
-                kth = pd_.max(axis=1)
-                tied = (dist <= kth[:, None]).sum(axis=1) > kk
-                order = np.lexsort((ref_ids[part], pd_), axis=1)
-                part = np.take_along_axis(part, order, axis=1)
-                for r in np.nonzero(tied)[0]:
-                    row = dist[r]
-                    idx = np.nonzero(row <= kth[r])[0]
-                    part[r] = idx[np.lexsort((ref_ids[idx], row[idx]))[:kk]]
-                rows_d = np.take_along_axis(dist, part, axis=1)
-                ok = np.isfinite(rows_d)
-                rr, cc = np.nonzero(ok)
-                out_id.extend(ib[rr].tolist())
-                out_nb.extend(ref_ids[part[rr, cc]].tolist())
-                out_d.extend(rows_d[rr, cc].tolist())
-                out_v.extend(ref[part[rr, cc]].tolist())
-            yield pd.DataFrame({"id": out_id, "nb_id": out_nb, "dist": out_d, "nb_vec": out_v})
-    return fn
+def _score_chunks(k: int, d: int):
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, ref_ids = (np.array(batch.column(c)[i].values.to_pylist()) for c in (0, 2))
+                q_all, ref = (batch.column(c)[i].values.to_numpy().reshape(-1, d) for c in (1, 3))
+                n_ref = len(ref)
+                step = max(1, BLOCK_CELLS // max(n_ref, 1))
+                for s in range(0, len(q_all), step):
+                    q, own = q_all[s:s + step], ids[s:s + step]
+                    dist = np.zeros((len(q), n_ref))
+                    for j in range(d):  # feature by feature, left to right: the same sum SQL writes
+                        diff = q[:, j:j + 1] - ref[:, j]
+                        dist += diff * diff
+                    dist[own[:, None] == ref_ids[None, :]] = np.inf   # not its own neighbour
+                    kk = min(k, n_ref)
+                    kth = np.partition(dist, kk - 1, axis=1)[:, kk - 1]
+                    rows, cols = np.nonzero((dist <= kth[:, None]) & np.isfinite(dist))
+                    near = dist[rows, cols]
+                    order = np.lexsort((ref_ids[cols], near, rows))  # ids break ties
+                    rows, cols, near = rows[order], cols[order], near[order]
+                    first = np.r_[0, np.flatnonzero(np.diff(rows)) + 1] if len(rows) else np.empty(0, int)
+                    nth = np.arange(len(rows)) - np.repeat(first, np.diff(np.r_[first, len(rows)]))
+                    keep = nth < kk
+                    rows, cols, near = rows[keep], cols[keep], near[keep]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(own[rows].tolist(), batch.schema.field(0).type.value_type), pa.array(ref_ids[cols].tolist(), batch.schema.field(0).type.value_type),
+                         pa.array(near), pa.array(list(ref[cols]), pa.list_(pa.float64()))], ["id", "nb_id", "dist", "nb_vec"])
+    return run
 
 
 def smote(df: DataFrame, id_col: str, feats: list[str], label: str, k: int = 5,
-          seed: int = SEED, chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, DataFrame]:
+          seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """Oversample the minority class of ``df`` (binary ``label``) to the
     majority's size. Returns (synthetic rows, neighbours). Synthetic rows
     carry the minority label, ``source_id`` / ``copy`` (which row and which
@@ -132,7 +135,7 @@ def smote(df: DataFrame, id_col: str, feats: list[str], label: str, k: int = 5,
     n_new = n_maj - n_min
     k_eff = min(k, n_min - 1)
     mins = df.where(F.col(label) == F.lit(minority)).select(id_col, *feats)
-    nbrs = knn_self(mins, id_col, feats, k_eff, chunk_rows)
+    nbrs = knn_self(mins, id_col, feats, k_eff)
     syn = synthesize(mins, nbrs, id_col, feats, n_new, n_min, k_eff, seed)
     return syn.withColumn(label, F.lit(minority).cast(df.schema[label].dataType)), nbrs
 
@@ -149,7 +152,7 @@ def synthesize(mins: DataFrame, nbrs: DataFrame, id_col: str, feats: list[str],
     # k neighbour structs per row, in rank order: bounded arrays
     nb = (nbrs.groupBy("id")
           .agg(F.array_sort(F.collect_list(F.struct("nb_rank", "nb_id", "nb_vec"))).alias("__nbs")))
-    rows = (mins.select(F.col(id_col).cast("long").alias("__id"),
+    rows = (mins.select(F.col(id_col).alias("__id"),
                         F.array(*[F.col(c).cast("double") for c in feats]).alias("__x"),
                         copies.alias("__n"))
             .where(F.col("__n") > 0)
@@ -159,7 +162,7 @@ def synthesize(mins: DataFrame, nbrs: DataFrame, id_col: str, feats: list[str],
     gap = _hash_u([F.col("__id"), F.lit(seed), F.lit("gap"), F.col("copy")])
     chosen = F.element_at("__nbs", pick.cast("int"))
     new = F.zip_with("__x", chosen["nb_vec"], lambda a, b: a + gap * (b - a))
-    out = rows.select(F.lit(None).cast("long").alias(id_col), F.col("__id").alias("source_id"), "copy",
+    out = rows.select(F.lit(None).cast(mins.schema[id_col].dataType).alias(id_col), F.col("__id").alias("source_id"), "copy",
                       chosen["nb_id"].alias("neighbor_id"), gap.alias("gap"), new.alias("__v"))
     return out.select(id_col, "source_id", "copy", "neighbor_id", "gap",
                       *[F.col("__v")[i].alias(c) for i, c in enumerate(feats)])
