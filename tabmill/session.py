@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -15,38 +17,40 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
     On a cluster the master, memory and checkpoint folder come from the
     submitter; this helper only fills in what is unset.
     """
-    builder = (
-        SparkSession.builder.master(master)
-        .appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
-    )
+    wanted = {
+        "spark.master": master,
+        "spark.app.name": app,
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.driver.memory": "8g",
+    }
+    submitted = SparkConf()  # what spark-submit or spark-defaults gave
+    builder = SparkSession.builder
+    for key, value in wanted.items():
+        if not submitted.contains(key):
+            builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset (local runs, tests) make
-    a private one."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
+    """The folder for stage tables that driver and executors share:
+    ``spark.checkpoint.dir``, else the folder given to
+    ``setCheckpointDir``. A local master may go without (one temporary folder
+    per session); anywhere else a missing folder is an error, as
+    executors would each write to a disk of their own."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if path:
+        return path
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = getattr(spark.sparkContext, "_tabmill_dir", None)
+    if path is None:
         path = tempfile.mkdtemp(prefix="tabmill-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", path)
-        except Exception:  # a core conf some deployments lock at runtime
-            pass
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+        spark.sparkContext._tabmill_dir = path
     return path
 
 
