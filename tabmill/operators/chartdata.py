@@ -93,18 +93,9 @@ def box_fliers(df: DataFrame, id_col: str, cols: list[str]) -> DataFrame:
     return long.where(cond)
 
 
-def scatter_points(df: DataFrame, id_col: str, y: str, p: str, max_points: int | None = None,
-                   seed: int = 42) -> DataFrame:
-    """(id, y, p) pairs for a predicted-against-true plot. Above
-    ``max_points`` rows a hash sample of the ids keeps the plot readable;
-    sampling is the point of this table, not a way around its size."""
-    pts = df.select(id_col, F.col(y).alias("y"), F.col(p).alias("p"))
-    if max_points is None:
-        return pts
-    n = pts.count()
-    if n <= max_points:
-        return pts
-    return pts.where(hash_uniform(id_col, seed, "scatter") < F.lit(max_points / n))
+def scatter_points(df: DataFrame, id_col: str, y: str, p: str) -> DataFrame:
+    """(id, y, p) pairs for a predicted-against-true plot: every row."""
+    return df.select(id_col, F.col(y).alias("y"), F.col(p).alias("p"))
 
 
 def identity_range(df: DataFrame, y: str, p: str) -> DataFrame:

@@ -185,10 +185,12 @@ def roc_curve(df: DataFrame, y: str, score: str, group: list[str] | None = None)
 
 def best_by(df: DataFrame, metric: str, partition: list[str] | None = None,
             order_col: str = "model_order") -> DataFrame:
-    """First row by metric (descending), ties to the earlier model; one row
-    per partition. The window's partitions are tasks x models, tiny."""
+    """First row by metric (descending; NULL and NaN last, as they are no
+    score), ties to the earlier model; one row per partition. The window's
+    partitions are tasks x models, tiny."""
     partition = partition or []
-    w = Window.partitionBy(*partition).orderBy(F.desc(metric), F.asc(order_col))
+    score = F.when(~F.isnan(F.col(metric).cast("double")), F.col(metric))
+    w = Window.partitionBy(*partition).orderBy(score.desc_nulls_last(), F.asc(order_col))
     return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
