@@ -10,7 +10,7 @@ feature standardisation (the features are standardised beforehand).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
@@ -51,7 +51,7 @@ class Prepared:
     test: DataFrame
     features: list[str]
     n_train: int
-    extra: dict = field(default_factory=dict)
+    folds: list[tuple[DataFrame, DataFrame]]  # (fit rows, validation rows)
 
 
 def assemble(df: DataFrame, features: list[str], out: str = "features") -> DataFrame:

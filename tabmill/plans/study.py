@@ -7,15 +7,18 @@ scorers, so every metric has one definition."""
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabmill.functions.exprs import is_nonfinite
 from tabmill.operators import balance, clean, evaluate, labels, scale, split
 from tabmill.plans import models as M
 from tabmill.plans import tune as TU
 from tabmill.plans.pipeline import Preprocessed
 from tabmill.plans.tasks import Task
+from tabmill.session import materialize
 
 
 @dataclass
@@ -53,75 +56,82 @@ def prepare(pre: Preprocessed, task: Task, n_folds: int = 5, resample: bool = Fa
     test = df.where(F.col("split") == "test").drop("split")
     sc = scale.fit_scaler(train, feats)
     train, test = scale.apply_scaler(train, sc), scale.apply_scaler(test, sc)
-    train = split.kfold_assign(train, idc, n_folds)
-    extra = {}
-    if resample and task.kind == "classification":
+    train = split.kfold_assign(train, idc, n_folds, label="y" if task.kind == "classification" else None)
+    train = materialize(train.select(idc, *feats, "y", "fold"), "train")
+    resample = resample and task.kind == "classification"
+    if resample:
         bal = labels.class_balance(train, "y").collect()
-        if bal and bal[0]["resample"]:
-            syn, _ = balance.smote(train, idc, feats, "y", k=k)
-            # a synthetic row takes the fold of the row it was made from,
-            # so it never validates the fold that trained on its source
-            folds = train.select(F.col(idc).alias("source_id"), "fold")
-            syn = syn.join(folds, "source_id").select(idc, *feats, "y", "fold")
-            extra["synthetic_rows"] = syn.count()
-            train = train.select(idc, *feats, "y", "fold").unionByName(syn)
-    n_train = train.count()
-    train = M.assemble(train, feats).cache()
-    test = M.assemble(test, feats)
-    return M.Prepared(train, test, feats, n_train, extra)
-
-
-def run_task(pre: Preprocessed, task: Task, n_draws: int = 50, n_folds: int = 5,
+        resample = bool(bal) and bool(bal[0]["resample"])
+
+    def fit_part(rows: DataFrame) -> DataFrame:
+        """The rows a model is fit on: with synthetic minority rows made from these rows alone, so
+        neither a source nor a neighbour comes from a validation fold."""
+        rows = rows.select(idc, *feats, "y")
+        if resample:
+            syn, _ = balance.smote(rows, idc, feats, "y", k=k)
+            rows = materialize(rows.unionByName(syn.select(*rows.columns)), "resampled")
+        return M.assemble(rows, feats)
+
+    folds = [(fit_part(train.where(F.col("fold") != f)), M.assemble(train.where(F.col("fold") == f), feats)) for f in range(n_folds)]
+    whole = fit_part(train)
+    return M.Prepared(whole, M.assemble(test, feats), feats, whole.count(), folds)
+
+
+def run_task(pre: Preprocessed, task: Task, n_draws: int | None = None, n_folds: int = 5,
              light: bool = False, models: list[str] | None = None, resample: bool = False,
-             parallelism: int = 4) -> TaskRun:
+             parallelism: int = 4, vote_tuned: bool = False) -> TaskRun:
+    """``n_draws``: search budget, the task's own by default. ``vote_tuned``: vote with the tuned
+    models instead of default members. A model that fails, or the vote, is reported in ``status``
+    and the rest goes on."""
     spark = pre.table.sparkSession
     prep = prepare(pre, task, n_folds, resample)
     models = models or M.MODEL_ORDER
+    n_draws = n_draws or task.n_draws
     objective = "mse" if task.kind == "regression" else ("accuracy" if task.rule == "threshold" else "f1")
-    preds, trials, imps, status = [], [], [], []
+    preds, trials, imps, status, tuned = [], [], [], [], {}
+
+    def add(name: str, order: int, frame: DataFrame) -> None:
+        preds.append(frame.select(
+            F.lit(task.name).alias("task"), F.lit(name).alias("model"), F.lit(order).alias("model_order"),
+            F.col(pre.spec.id).alias("id"), "y", F.col("p").cast("double").alias("p"),
+            (F.col("yhat") if task.kind == "classification" else F.lit(None).cast("int")).alias("yhat")))
+
     for order, name in enumerate(models):
-        space = TU.space_for(name, task.kind, task.rule == "threshold", light)
-        draws = TU.search_space(space, n_draws if name != "LR" or task.kind != "regression" else 2)
+        draws = TU.draws_for(name, task.kind, task.rule == "threshold", n_draws, light)
         fixed = {"maxIter": 2000 if task.rule != "threshold" else 1000} \
             if name == "LR" and task.kind == "classification" else {}
         try:
-            best, params, tr = TU.tune(prep.train, name, task.kind, draws, n_folds, objective,
+            best, params, tr = TU.tune(prep.train, name, task.kind, draws, prep.folds, objective,
                                        prep.n_train, parallelism, fixed)
+            add(name, order, M.predict(best, prep.test, task.kind))
+            score = _train_score(best, prep.train, task)
         except Exception as e:  # one failing model is reported, the rest go on
-            status.append((task.name, name, order, f"failed: {type(e).__name__}", None))
+            status.append((task.name, name, order, f"failed: {type(e).__name__}: {str(e)[:200]}", None))
             continue
+        tuned[name] = params
         trials += [(task.name, name, *t) for t in tr]
-        train_score = _train_score(best, prep.train, task)
-        p = M.predict(best, prep.test, task.kind)
-        preds.append(p.select(F.lit(task.name).alias("task"), F.lit(name).alias("model"),
-                              F.lit(order).alias("model_order"), F.col(pre.spec.id).alias("id"), "y",
-                              F.col("p").cast("double").alias("p"),
-                              (F.col("yhat") if task.kind == "classification"
-                               else F.lit(None).cast("int")).alias("yhat")))
-        status.append((task.name, name, order, "ok", train_score))
+        status.append((task.name, name, order, "ok", score))
         if hasattr(best, "featureImportances"):
             imps += [(task.name, name, f, v) for f, v in M.importances(best, prep.features)]
-    # the vote: untuned default members, as in the study
-    vote_params = M.LIGHT if light else M.DEFAULTS
-    members = M.fit_vote(prep.train, task.kind, params=vote_params, n_train=prep.n_train)
-    v = M.predict_vote(members, prep.test, task.kind)
-    preds.append(v.select(F.lit(task.name).alias("task"), F.lit("Voting").alias("model"),
-                          F.lit(len(models)).alias("model_order"), F.col(pre.spec.id).alias("id"), "y", "p",
-                          (F.col("yhat") if task.kind == "classification"
-                           else F.lit(None).cast("int")).alias("yhat")))
-    status.append((task.name, "Voting", len(models), "ok", None))
-    allp = preds[0]
-    for p in preds[1:]:
-        allp = allp.unionByName(p)
-    allp = allp.withColumn("split", F.lit("test"))
-    results = _results(allp, task)
+    try:
+        base = M.LIGHT if light else M.DEFAULTS
+        params = {m: {**base.get(m, {}), **(tuned.get(m, {}) if vote_tuned else {})} for m in M.VOTE_MEMBERS}
+        members = M.fit_vote(prep.train, task.kind, params=params, n_train=prep.n_train)
+        add("Voting", len(models), M.predict_vote(members, prep.test, task.kind))
+        status.append((task.name, "Voting", len(models), "ok", None))
+    except Exception as e:
+        status.append((task.name, "Voting", len(models), f"failed: {type(e).__name__}: {str(e)[:200]}", None))
     st = spark.createDataFrame(
         status, "task string, model string, model_order int, status string, train_score double")
-    results = results.join(st, ["task", "model", "model_order"], "right")
+    empty = "task string, model string, model_order int, id bigint, y double, p double, yhat int"
+    allp = reduce(DataFrame.unionByName, preds) if preds else spark.createDataFrame([], empty)
+    allp = allp.withColumn("split", F.lit("test"))
+    results, dropped = _results(allp, task)
+    results = results.join(st, ["task", "model", "model_order"], "right").withColumn(
+        "status", F.when(F.col("model").isin(dropped or [""]), "dropped: predictions that are not finite").otherwise(F.col("status")))
     imp = spark.createDataFrame(imps or [], "task string, model string, feature string, importance double")
     imp = evaluate.top_k(imp, "importance", 10, "feature", ["task", "model"])
     tr = spark.createDataFrame(trials or [], "task string, model string, trial int, params string, score double")
-    prep.train.unpersist()
     return TaskRun(results, allp, imp, tr)
 
 
@@ -140,10 +150,11 @@ def _train_score(model, train: DataFrame, task: Task) -> float:
     return float(ev.evaluate(model.transform(train)))
 
 
-def _results(preds: DataFrame, task: Task) -> DataFrame:
+def _results(preds: DataFrame, task: Task) -> tuple[DataFrame, list[str]]:
+    """Metrics of the models whose predictions are all finite, and the names of the others."""
     from tabmill.plans.tasks import results_for
-    # an audit of the predictions: a model with non-finite output is dropped
-    bad = (preds.groupBy("model").agg(F.count_if(F.col("p").isNull() | F.isnan("p")).alias("bad"))
+    bad = (preds.groupBy("model").agg(F.count_if(is_nonfinite("p")).alias("bad"))
            .where("bad > 0").collect())
-    keep = preds.where(~F.col("model").isin([r["model"] for r in bad] or [""]))
-    return results_for(keep, [task]).drop("task_order")
+    dropped = [r["model"] for r in bad]
+    keep = preds.where(~F.col("model").isin(dropped or [""]))
+    return results_for(keep, [task]).drop("task_order"), dropped
