@@ -495,17 +495,40 @@ def q_results(spark, sf):
     return _results(spark, sf)
 
 
-@query("best_single_model", _results_sql() +
-       "SELECT task, model, CASE WHEN kind = 'regression' THEN r2 ELSE f1 END AS score FROM ("
-       "SELECT *, row_number() OVER (PARTITION BY task ORDER BY "
-       "CASE WHEN kind = 'regression' THEN r2 ELSE f1 END DESC, model_order) AS rn FROM results "
-       "WHERE model <> 'voting') WHERE rn = 1")
+def _with_vote(preds: DataFrame) -> DataFrame:
+    """Adds the mean of each task's scorers as the model Voting, in the last place."""
+    vote = preds.groupBy("task", "split", "id", "y").agg(F.avg("p").alias("p"), F.max("model_order").alias("o"))
+    kind = F.col("task").startswith("classification")
+    return preds.unionByName(vote.select(
+        "task", F.lit("Voting").alias("model"), (F.col("o") + 1).alias("model_order"), "split", "id", "y", "p",
+        F.when(kind, (F.col("p") > 0.5).cast("int")).alias("yhat")))
+
+
+_METRIC_SQL = ("CASE WHEN kind = 'regression' THEN r2 WHEN task IN ("
+               + ", ".join(f"'{t.name}'" for t in TASKS if t.metric == "accuracy") + ") THEN accuracy ELSE f1 END")
+_VOTE_RESULTS = _results_sql().replace(
+    "preds AS (", "preds0 AS (", 1).replace(
+    "reg AS (", "preds AS (SELECT * FROM preds0 UNION ALL SELECT task, 'Voting', max(model_order) + 1, split, id, y, avg(p), "
+    "CASE WHEN task LIKE 'classification%' THEN CAST(avg(p) > 0.5 AS INTEGER) END FROM preds0 GROUP BY task, split, id, y), reg AS (", 1)
+
+
+@query("best_single_model", _VOTE_RESULTS +
+       f"SELECT task, model, {_METRIC_SQL} AS score FROM ("
+       f"SELECT *, row_number() OVER (PARTITION BY task ORDER BY {_METRIC_SQL} DESC NULLS LAST, model_order) AS rn FROM results "
+       "WHERE model <> 'Voting') WHERE rn = 1")
 def q_best_single(spark, sf):
-    r = _results(spark, sf).where(F.col("model") != "voting")
-    r = r.withColumn("score", F.when(F.col("kind") == "regression", F.col("r2")).otherwise(F.col("f1")))
+    """Best single model per task by the task's own metric: the vote is in the table and is left out."""
+    r = T.results_for(_with_vote(_preds(spark, sf)), TASKS).where(F.col("model") != "Voting")
+    by_accuracy = F.col("task").isin([t.name for t in TASKS if t.metric == "accuracy"])
+    r = r.withColumn("score", F.when(F.col("kind") == "regression", F.col("r2")).when(by_accuracy, F.col("accuracy")).otherwise(F.col("f1")))
     return evaluate.best_by(r, "score", ["task"]).select("task", "model", "score")
 
 
+@query("results_with_vote", _VOTE_RESULTS + "SELECT * FROM results")
+def q_results_with_vote(spark, sf):
+    return T.results_for(_with_vote(_preds(spark, sf)), TASKS)
+
+
 # ---- L: leaderboard and findings ------------------------------------------
 
 _BOARD_SQL = ("board AS (SELECT * EXCLUDE (rn) FROM (SELECT *, CASE WHEN kind = 'regression' THEN r2 "
@@ -649,9 +672,78 @@ def q_scatter_range(spark, sf):
     return round_all(chartdata.identity_range(p, "y", "p"), 6)
 
 
+@query("corr_matrix_wide", "WITH e AS (SELECT vec_id, " + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(64)) +
+       " FROM embeddings), w AS (SELECT e.*, CAST(s_acctbal AS DOUBLE) AS e64, CAST(c_acctbal AS DOUBLE) AS e65 FROM e "
+       "LEFT JOIN supplier ON s_suppkey = vec_id LEFT JOIN customer ON c_custkey = vec_id * 4), "
+       "l AS (UNPIVOT w ON " + ", ".join(f"e{i}" for i in range(66)) + " INTO NAME feature VALUE v), "
+       "p AS (SELECT vec_id, feature, CAST(substr(feature, 2) AS INTEGER) AS pos, v FROM l) "
+       "SELECT x.feature AS a, y.feature AS b, x.pos AS pos_a, y.pos AS pos_b, round(abs(corr(x.v, y.v)), 6) AS r "
+       "FROM p x JOIN p y ON x.vec_id = y.vec_id AND x.pos < y.pos GROUP BY ALL")
+def q_corr_matrix_wide(spark, sf):
+    """66 columns, two of them with NULLs in different rows: the components of the embeddings and two joined balances."""
+    e = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)])
+    s = spark.read.parquet(f"{sf}/supplier.parquet").select(F.col("s_suppkey").alias("sk"), F.col("s_acctbal").cast("double").alias("e64"))
+    c = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias("ck"), F.col("c_acctbal").cast("double").alias("e65"))
+    wide = e.join(s, F.col("sk") == F.col("vec_id"), "left").join(c, F.col("ck") == F.col("vec_id") * 4, "left")
+    return select.corr_matrix(wide, [f"e{i}" for i in range(66)]).withColumn("r", rnd("r", 6))
+
+
+_KEYED = ("WITH k AS (SELECT o_orderkey, CASE WHEN o_custkey % 7 = 0 THEN NULL WHEN o_custkey % 7 = 1 THEN '' ELSE o_orderpriority END AS k, "
+          "o_totalprice > 150000 AS big, CAST(o_totalprice AS DOUBLE) AS v FROM orders) ")
+
+
+def _keyed_orders(spark, sf) -> DataFrame:
+    o, m = spark.read.parquet(f"{sf}/orders.parquet"), F.col("o_custkey") % 7
+    return o.select("o_orderkey", F.when(m == 0, F.lit(None)).when(m == 1, F.lit("")).otherwise(F.col("o_orderpriority")).alias("k"),
+                    (F.col("o_totalprice") > 150000).alias("big"), F.col("o_totalprice").cast("double").alias("v"))
+
+
+@query("quantile_by_string_key", _KEYED + "SELECT k, round(quantile_cont(v, 0.25), 6) AS q1, round(quantile_cont(v, 0.5), 6) AS q2, "
+       "round(quantile_cont(v, 0.75), 6) AS q3 FROM k GROUP BY k")
+def q_quantile_by_string_key(spark, sf):
+    """Exact quartiles per string key, NULL and '' being keys of their own."""
+    from tabmill.functions.quantiles import exact_quantiles
+    qs = exact_quantiles(_keyed_orders(spark, sf), ["k"], "v", [0.25, 0.5, 0.75])
+    rows = [(g[0], q[0.25], q[0.5], q[0.75]) for g, q in qs.items()]
+    return round_all(spark.createDataFrame(rows, "k string, q1 double, q2 double, q3 double"), 6)
+
+
+@query("split_stratified_bool", _KEYED +
+       f", u AS (SELECT o_orderkey, big, {S.hash_u('o_orderkey')} AS u FROM k), "
+       "n AS (SELECT big, round(0.2 * count(*)) AS t FROM u GROUP BY big), "
+       "r AS (SELECT *, row_number() OVER (PARTITION BY big ORDER BY u) AS rn FROM u) "
+       "SELECT o_orderkey, big, CASE WHEN rn <= t THEN 'test' ELSE 'train' END AS split FROM r JOIN n USING (big)")
+def q_split_stratified_bool(spark, sf):
+    return split.split_stratified(_keyed_orders(spark, sf).select("o_orderkey", "big"), "o_orderkey", "big")
+
+
+_F1_SQL = ("SELECT task, model, split, round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + fn) END, 6) AS f1 FROM ("
+           "SELECT task, model, split, count(*) FILTER (WHERE y = 1 AND yhat = 1) AS tp, count(*) FILTER (WHERE y = 0 AND yhat = 1) AS fp, "
+           "count(*) FILTER (WHERE y = 1 AND yhat = 0) AS fn FROM preds GROUP BY task, model, split)")
+
+
+@query("f1_by_split", _preds_sql(["classification_ic50_median", "classification_si_8"]) + _F1_SQL)
+def q_f1_by_split(spark, sf):
+    """F1 of class 1 on the train and the test split: the overfit check of the classification tasks."""
+    p = _preds(spark, sf, ["classification_ic50_median", "classification_si_8"])
+    m = evaluate.metrics_classification(p, "y", "yhat", ["task", "model", "split"])
+    return round_all(m.select("task", "model", "split", "f1"), 6)
+
+
+@query("rename_map", S.with_ctes() + " UNION ALL ".join(
+    f"SELECT '{c}' AS original, '{_RENAMED[c]}' AS new, {i} AS position, count({c}) AS n_values FROM assay"
+    for i, c in enumerate(S.ASSAY_COLS) if c not in TARGETS))
+def q_rename_map(spark, sf):
+    """The positional rename's map, with the values found under each new name."""
+    df, names = clean.rename_features(P.assay_raw(spark, sf), keep=TARGETS)
+    new = [c for c in df.columns if c not in TARGETS]
+    counts = df.agg(*[F.count(c).alias(c) for c in new]).unpivot([], new, "new", "n_values")
+    return names.join(counts, "new").select("original", "new", "position", "n_values")
+
+
 # ---- G5: SMOTE ------------------------------------------------------------------
 
-SMOTE_FEATS = ["acctbal", "n_lines", "avg_price", "max_price", "avg_retail", "share_ret"]
+SMOTE_FEATS = list(FEATURES)
 SMOTE_K = 5
 
 
@@ -743,9 +835,8 @@ def _fit_query(model: str, task_name: str):
         from tabmill.plans import models as M
         task = TASK_BY_NAME[task_name]
         _, prep = _prepared(spark, sf, task_name)
-        est = M.build(model, task.kind, M.LIGHT[model], prep.n_train)
+        est = M.build(model, task.kind, M.DEFAULTS[model], prep.n_train)
         fitted = est.fit(prep.train)
-        prep.train.unpersist()
         out = M.predict(fitted, prep.test, task.kind)
         cols = ["id", "y", F.col("prediction").cast("double").alias("prediction")]
         if task.kind == "classification":
@@ -783,8 +874,7 @@ def _vote_query(task_name: str):
         from tabmill.plans import models as M
         task = TASK_BY_NAME[task_name]
         _, prep = _prepared(spark, sf, task_name)
-        members = M.fit_vote(prep.train, task.kind, params=M.LIGHT, n_train=prep.n_train)
-        prep.train.unpersist()
+        members = M.fit_vote(prep.train, task.kind, params=M.DEFAULTS, n_train=prep.n_train)
         out = M.predict_vote(members, prep.test, task.kind)
         cols = ["id", "y", "p"] + [f"p_{m.lower()}" for m in M.VOTE_MEMBERS]
         if task.kind == "classification":
@@ -801,8 +891,7 @@ query("vote_clf")(_vote_query("classification_ic50_median"))
 def q_feature_importance(spark, sf):
     from tabmill.plans import models as M
     _, prep = _prepared(spark, sf, "regression_log_ic50")
-    rf = M.build("RF", "regression", M.LIGHT["RF"]).fit(prep.train)
-    prep.train.unpersist()
+    rf = M.build("RF", "regression", M.DEFAULTS["RF"]).fit(prep.train)
     imp = spark.createDataFrame(M.importances(rf, prep.features), "feature string, importance double")
     return evaluate.top_k(imp, "importance", 10, "feature")
 
@@ -811,13 +900,13 @@ def q_feature_importance(spark, sf):
 def q_tune_model(spark, sf):
     from tabmill.plans import tune as TU
     _, prep = _prepared(spark, sf, "regression_log_ic50")
-    draws = TU.search_space(TU.space_for("RF", "regression", light=True), 4)
-    _, _, trials = TU.tune(prep.train, "RF", "regression", draws, 3, "mse", prep.n_train)
-    prep.train.unpersist()
+    # two draws of the study's own space over three folds; the study's budget is 50 draws over five
+    draws = TU.draws_for("RF", "regression", False, 2)
+    _, _, trials = TU.tune(prep.train, "RF", "regression", draws, prep.folds, "mse", prep.n_train)
     return spark.createDataFrame(trials, "trial int, params string, score double")
 
 
-@query("smote_train")
+@query("smote_train", _smote_sql() + "SELECT CAST(label AS DOUBLE) AS y, (SELECT n_maj FROM mn) AS n FROM cls")
 def q_smote_train(spark, sf):
     """Class counts of a classification train split after SMOTE (the
     classes come out equal)."""
