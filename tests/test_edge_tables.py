@@ -9,12 +9,75 @@ from tabmill.functions.quantiles import column_medians, column_quantiles, kth_sm
 from tabmill.operators import clean, evaluate, select
 
 
-def test_constant_column_correlation_is_undefined(spark):
-    df = spark.createDataFrame([(0.0, 1.0), (1.0, 1.0), (2.0, 1.0), (3.0, 1.0)], "x double, c double")
-    for complete in (False, True):
-        r = select.corr_matrix(df, ["x", "c"], complete=complete).collect()
-        assert len(r) == 1 and r[0]["r"] is None
-        assert select.corr_drop_list(df, ["x", "c"], 0.8, complete=complete) == []
+def test_constant_and_empty_columns_have_no_correlation(spark):
+    from tabmill.operators import select
+    df = spark.createDataFrame([(1.0, 5.0, None), (2.0, 5.0, None), (4.0, 5.0, None)], "x double, c double, n double")
+    assert [r["r"] for r in select.corr_matrix(df, ["x", "c", "n"]).collect()] == [None] * 3
+    assert select.corr_drop_list(df, ["x", "c", "n"], 0.8) == []
+
+
+def test_correlation_is_pairwise_complete_at_any_width(spark):
+    """The same pair gives the same value in a table of 3 and of 70 columns, and equals pandas."""
+    import numpy as np
+    import pandas as pd
+    from tabmill.operators import select
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(200, 70))
+    x[:, 2] = x[:, 0] * 2 + rng.normal(size=200)
+    x[::3, 0], x[1::3, 1] = np.nan, np.nan
+    names = [f"c{i}" for i in range(70)]
+    pdf = pd.DataFrame(x, columns=names)
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), ", ".join(f"{n} double" for n in names))
+    wide = {(r["a"], r["b"]): r["r"] for r in select.corr_matrix(df, names).collect()}
+    want = pdf.corr().abs()
+    assert len(wide) == 70 * 69 // 2
+    assert max(abs(v - want.loc[a, b]) for (a, b), v in wide.items()) < 1e-9
+    for r in select.corr_matrix(df, names[:3]).collect():
+        assert abs(r["r"] - wide[r["a"], r["b"]]) < 1e-12
+
+
+def test_preprocess_drops_an_all_null_feature(spark, sf_small):
+    from pyspark.sql import functions as F
+    from tabmill.plans import pipeline as P
+    from tabmill.sources.assay import ASSAY_SPEC
+    raw = P.assay_raw(spark, sf_small).withColumn("acctbal", F.lit(None).cast("double"))
+    pre = P.preprocess(raw, ASSAY_SPEC)
+    assert "acctbal" not in pre.kept and pre.kept
+
+
+def test_keyed_order_statistics_on_any_key_type(spark):
+    """The same answer whether brackets are sorted at once or narrowed, for boolean, large double, NULL beside '' and date keys."""
+    import datetime
+    from tabmill.functions.quantiles import exact_quantiles
+    keys = {"boolean": [True, False, None], "double": [1e7, 0.5, None], "string": ["", None, "x"], "date": [datetime.date(2020, 1, 1), None, datetime.date(1999, 9, 9)]}
+    for kind, values in keys.items():
+        rows = [(values[i % 3], float((i * 37) % 101)) for i in range(300)]
+        df = spark.createDataFrame(rows, f"k {kind}, v double")
+        a = exact_quantiles(df, ["k"], "v", [0.25, 0.5])
+        b = exact_quantiles(df, ["k"], "v", [0.25, 0.5], max_bracket=1)
+        assert a == b and len(a) == 3 and all(x is not None for q in a.values() for x in q.values())
+
+
+def test_stages_need_a_shared_folder_off_local_masters():
+    import pytest
+    from tabmill.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())
 
 
 def test_even_count_median(spark):
