@@ -15,8 +15,10 @@ Candidates within a bucket of a band, without all pairs: texts equal after norma
 bucket's hub, its member with the most candidates overall, is compared with every member, in one join over the distinct
 (member, hub) pairs of all bands. Buckets whose members are still in more than one component are then compared fully
 between components: everything outside the bucket's largest component against the members of other components. Those
-already connected need no comparison, so no link between classes is lost, and a group of near copies costs rows in
-proportion to its size.
+already connected need no comparison, so no link between classes is lost. That comparison runs inside tasks, in blocks of
+``CELL`` rows by ``CELL`` rows, and emits no pair but the links it finds, one per text and component. A pair is looked at in the
+first bucket it shares; first by its samples, of which at least ``MIN_AGREE`` must agree (a pair at similarity 0.8 fails that with a
+probability of 5e-5), and only texts with such a partner are sent on to be verified on their whole shingle sets.
 
 With 16 bands of 3 samples a pair at similarity 0.8 shares no band with probability (1 - 0.8^3)^16 = 1e-5, at 0.9 with 5e-10.
 
@@ -44,6 +46,8 @@ from tabmill.llm.common import Stages, normal_line
 SHINGLE, THRESHOLD = 5, 0.8
 N_BANDS, ROWS = 16, 3
 DF_BITS, CHUNK_BITS, DAMP = 22, 16, 0.25
+MIN_AGREE = 27  # of N_BANDS * ROWS samples
+CELL = 256
 BLOCK = 1 << 15  # shingles sampled at once, so that the arrays stay in a core's cache
 
 _U = np.uint64
@@ -183,12 +187,14 @@ def _signatures(idf):
         table = idf.value
         for batch in batches:
             keys = np.zeros((batch.num_rows, N_BANDS), np.int64)
+            sampled = np.zeros((batch.num_rows, N_BANDS * ROWS), np.uint32)
             hs, ws, rows, size = [], [], [], 0
 
             def flush() -> None:
                 if rows:
                     lens = np.fromiter(map(len, hs), np.int64, len(hs))
-                    keys[rows] = band_keys(samples(np.concatenate(hs), np.concatenate(ws), np.cumsum(lens) - lens))
+                    sampled[rows] = samples(np.concatenate(hs), np.concatenate(ws), np.cumsum(lens) - lens)
+                    keys[rows] = band_keys(sampled[rows])
 
             for i, text in enumerate(batch.column(2).to_pylist()):
                 if not text:
@@ -203,7 +209,8 @@ def _signatures(idf):
                     hs, ws, rows, size = [], [], [], 0
             flush()
             bands = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, N_BANDS, dtype=np.int32), pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), bands], ["doc_id", "key", "bands"])
+            packed = pa.array([x.tobytes() for x in sampled], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), bands, packed], ["doc_id", "key", "bands", "samples"])
     return run
 
 
@@ -234,10 +241,80 @@ def _verified(idf, threshold: float):
 def _verify(pairs: DataFrame, nodes: DataFrame, idf, threshold: float) -> DataFrame:
     """Of the pairs (a, b) of node keys, those at the threshold or above."""
     left, right = (nodes.select(F.col("key").alias(k), F.col("t").alias(t)) for k, t in (("a", "ta"), ("b", "tb")))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
+    # merge at every size: a plan that moves the texts must not hinge on how many pairs there happen to be
+    joined = pairs.hint("merge").join(left, "a").hint("merge").join(right, "b").select("a", "b", "ta", "tb")
     return joined.mapInArrow(_verified(idf, threshold), "a binary, b binary")
 
 
+def _side(column, with_text: bool) -> tuple:
+    """keys, parts, samples (rows, bands, rows of a band) and texts of one side of a block."""
+    rows = column.values
+    sampled = np.frombuffer(b"".join(rows.field("samples").to_pylist()), np.uint32).reshape(len(rows), N_BANDS, ROWS)
+    return rows.field("key").to_pylist(), np.array(rows.field("part").to_pylist(), object), sampled, rows.field("t").to_pylist() if with_text else None
+
+
+def _possible(band: int, x: np.ndarray, parts: np.ndarray, part: bytes, members: np.ndarray) -> np.ndarray:
+    """Members of other parts that share this band with x as their first, and enough samples."""
+    same = members == x
+    bands = same.all(axis=2)
+    return np.flatnonzero((bands.argmax(axis=1) == band) & bands[:, band] & (same.sum(axis=(1, 2)) >= MIN_AGREE) & (parts != part))
+
+
+def _promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, key) of the rows of a block that have a possible partner in it."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            band = batch.column(1)[i].as_py()
+            (qk, qp, qs, _), (mk, mp, ms, _) = (_side(batch.column(c)[i], False) for c in (2, 3))
+            found = set()
+            for key, part, x in zip(qk, qp, qs, strict=True):
+                near = _possible(band, x, mp, part, ms)
+                if len(near):
+                    found.add(key)
+                    found.update(mk[j] for j in near)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[i].as_py()] * len(found), pa.int64()), pa.array(sorted(found), pa.binary())], ["bucket", "key"])
+
+
+def _linked(idf, threshold: float):
+    """The links of a block: of each row on its left at most one to every part."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = idf.value
+        for batch in batches:
+            for i in range(batch.num_rows):
+                band = batch.column(1)[i].as_py()
+                (qk, qp, qs, qt), (mk, mp, ms, mt) = (_side(batch.column(c)[i], True) for c in (2, 3))
+                vectors = [(h, weights(h, tf, table)) for h, tf in map(shingles, mt)]
+                totals = np.array([w.sum() for _, w in vectors])
+                links = []
+                for key, part, x, text in zip(qk, qp, qs, qt, strict=True):
+                    near = _possible(band, x, mp, part, ms)
+                    if not len(near):
+                        continue
+                    h, tf = shingles(text)
+                    w = weights(h, tf, table)
+                    lens = np.array([len(vectors[j][0]) for j in near])
+                    other, weight = (np.concatenate([vectors[j][k] for j in near]) for k in (0, 1))
+                    at = np.minimum(np.searchsorted(h, other), len(h) - 1)
+                    low = np.add.reduceat(np.where(h[at] == other, np.minimum(w[at], weight), 0.0), np.cumsum(lens) - lens)
+                    alike = low / (w.sum() + totals[near] - low) >= threshold - 1e-9
+                    links += {mp[j]: (key, mk[j]) for j in near[alike]}.values()
+                if links:
+                    yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], ["a", "b"])
+    return run
+
+
+def _blocks(rows: DataFrame, payload: list[str]) -> DataFrame:
+    """bucket, band, and lists q (outside the largest part) and m (all) of the blocks of each bucket."""
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("cells") - 1))
+    entry = F.struct("key", "part", *payload)
+    q = rows.where(F.col("part") != F.col("main")).withColumn("qc", F.pmod(F.xxhash64("key"), F.col("cells"))).withColumn("mc", every)
+    m = rows.withColumn("mc", F.pmod(F.xxhash64("key"), F.col("cells"))).withColumn("qc", every)
+    place = ["bucket", "band", "qc", "mc"]
+    left, right = (x.groupBy(*place).agg(F.collect_list(entry).alias(n)) for x, n in ((q, "q"), (m, "m")))
+    return left.join(right, place).select("bucket", "band", "q", "m")
+
+
 def components(stages: Stages, links: DataFrame, name: str) -> DataFrame:
     """(node, label) of all nodes with a link; the label is the smallest node of the component. Alternating large-star
     and small-star (Kiveris et al. 2014) until the written edges stay the same."""
@@ -271,34 +348,33 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     texts = docs.select("doc_id", t.alias("t")).select("doc_id", F.unhex(F.md5("t")).alias("key"), "t")
     idf = spark.sparkContext.broadcast(idf_table(texts, docs.count()))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    sig = stages.write(texts.mapInArrow(_signatures(idf), f"doc_id {id_type}, key binary, bands array<bigint>"), "signatures")
+    sig = stages.write(texts.mapInArrow(_signatures(idf), f"doc_id {id_type}, key binary, bands array<bigint>, samples binary"), "signatures")
     empty = F.unhex(F.md5(F.lit("")))
 
-    nodes = sig.where(F.col("key") != empty).groupBy("key").agg(F.first("bands").alias("bands"))
-    rows = nodes.select("key", F.explode("bands").alias("bucket"))
+    nodes = sig.where(F.col("key") != empty).groupBy("key").agg(F.first("bands").alias("bands"), F.first("samples").alias("samples"))
+    rows = nodes.select("key", F.posexplode("bands").alias("band", "bucket"))
     full = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n >= 2")
     members = stages.write(rows.join(full, "bucket"), "members")
     reach = members.groupBy("key").agg(F.sum("n").alias("reach"))
     hubs = members.join(reach, "key").groupBy("bucket").agg(F.max(F.struct("reach", "key"))["key"].alias("hub"))
-    hubs = stages.write(members.select("bucket", "key").join(hubs, "bucket"), "hubs")
+    hubs = stages.write(members.select("bucket", "band", "key").join(hubs, "bucket"), "hubs")
     pairs = hubs.where(F.col("key") != F.col("hub")).select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct()
 
     wanted = members.select(F.col("key").alias("k")).distinct()
-    node_texts = stages.write(texts.join(wanted, F.col("key") == F.col("k"), "left_semi").groupBy("key").agg(F.first("t").alias("t")), "texts")
+    node_texts = stages.write(texts.join(wanted.hint("merge"), F.col("key") == F.col("k"), "left_semi").groupBy("key").agg(F.first("t").alias("t")), "texts")
     links = stages.write(_verify(pairs, node_texts, idf, threshold), "links")
     label = components(stages, links, "parts")
 
     # buckets still in several parts: all outside the largest part against the members of the other parts
-    parted = hubs.join(label, F.col("key") == F.col("node"), "left").select("bucket", "key", "hub", F.coalesce("label", "key").alias("part"))
+    parted = hubs.join(label, F.col("key") == F.col("node"), "left").select("bucket", "band", "key", F.coalesce("label", "key").alias("part"))
     sizes = parted.groupBy("bucket", "part").agg(F.count("*").alias("n"))
-    open_buckets = sizes.groupBy("bucket").agg(F.max(F.struct("n", "part"))["part"].alias("main"), F.count("*").alias("parts")).where("parts >= 2")
-    open_rows = stages.write(parted.join(open_buckets.drop("parts"), "bucket"), "open")
-    x, y = open_rows.where(F.col("part") != F.col("main")).alias("x"), open_rows.alias("y")
-    rest = (x.join(y, F.col("x.bucket") == F.col("y.bucket"))
-            .where((F.col("x.part") != F.col("y.part")) & (F.col("x.key") != F.col("x.hub")) & (F.col("y.key") != F.col("x.hub"))
-                   & ((F.col("y.part") == F.col("y.main")) | (F.col("x.key") < F.col("y.key"))))
-            .select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct())
-    more = stages.write(_verify(rest, node_texts, idf, threshold), "more")
+    in_parts = sizes.groupBy("bucket").agg(F.max(F.struct("n", "part"))["part"].alias("main"), F.count("*").alias("parts"),
+                                           F.ceil(F.sum("n") / CELL).alias("cells")).where("parts >= 2").drop("parts")
+    open_rows = stages.write(parted.join(in_parts, "bucket").join(nodes.select("key", "samples"), "key"), "open")
+    promising = _blocks(open_rows, ["samples"]).mapInArrow(_promising, "bucket bigint, key binary").distinct()
+    promising = stages.write(promising, "promising")
+    full_rows = open_rows.join(promising, ["bucket", "key"]).hint("merge").join(node_texts, "key")
+    more = stages.write(_blocks(full_rows, ["samples", "t"]).mapInArrow(_linked(idf, threshold), "a binary, b binary"), "more")
     label = components(stages, links.union(more), "classes")
 
     classed = sig.select("doc_id", "key").join(label, F.col("key") == F.col("node"), "left")
@@ -314,5 +390,5 @@ def one_per_class(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     classes = near_duplicates(docs.select("doc_id", "text"), threshold).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
     chosen = classes.groupBy(F.col("doc_id").alias("_id"), (F.col("key") == F.unhex(F.md5(F.lit("")))).alias("_none")).agg(F.min("key").alias("_key"))
     key = F.unhex(F.md5(F.coalesce(normal_line(F.col("text")), F.lit(""))))
-    kept = docs.withColumn("_own", key).join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key")), "left_semi")
+    kept = docs.withColumn("_own", key).join(chosen.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key")), "left_semi")
     return kept.dropDuplicates(["doc_id", "_own"]).drop("_own")
