@@ -101,7 +101,7 @@ def kept_documents(docs: DataFrame, host: str = "source", **limits) -> DataFrame
     v = verdicts.where("kept").groupBy("doc_id", "host", "text_hash").agg(F.first(F.col("left_words") < F.col("n_words")).alias("_cut")).select(
         F.col("doc_id").alias("_k"), F.col("host").alias("_kh"), F.col("text_hash").alias("_kt"), "_cut")
     rows = docs.withColumn("_host", F.coalesce(F.col(host), F.lit("")))
-    rows = rows.join(v, rows["doc_id"].eqNullSafe(F.col("_k")) & (F.col("_host") == F.col("_kh")) & (F.xxhash64(text) == F.col("_kt"))).drop("_k", "_kh", "_kt")
+    rows = rows.join(v.hint("merge"), rows["doc_id"].eqNullSafe(F.col("_k")) & (F.col("_host") == F.col("_kh")) & (F.xxhash64(text) == F.col("_kt"))).drop("_k", "_kh", "_kt")
     whole, cut = rows.where("not _cut"), rows.where("_cut")
     # the few documents that lose lines: number the lines, take the frequent ones out, join the rest again
     lost = (cut.select("doc_id", "_host", F.xxhash64(text).alias("_t"), F.posexplode(F.split(text, "\n")).alias("_i", "_line"))
@@ -111,6 +111,8 @@ def kept_documents(docs: DataFrame, host: str = "source", **limits) -> DataFrame
     cut = cut.join(lost, cut["doc_id"].eqNullSafe(F.col("_k")) & (F.col("_host") == F.col("_kh")) & (F.xxhash64(text) == F.col("_kt")))
     raw = F.split(text, "\n")
     left = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(raw) - 1), "_gone"), lambda i: F.get(raw, i)), "\n")
-    new = {"text": left, "n_chars": F.length(left)}
-    cut = cut.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
-    return whole.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(cut)
+    cut = cut.withColumn("text", left)
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    return whole.select(*own).unionByName(cut.select(*own))
