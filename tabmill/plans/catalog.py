@@ -824,9 +824,9 @@ def q_smote_rows(spark, sf):
 
 # ---- H / I: Spark ML models and tuning (rows-only checks) -----------------------
 
-def _prepared(spark, sf, task_name: str, resample: bool = False):
+def _prepared(spark, sf, task_name: str, resample: bool = False, fit_on: str = "train"):
     from tabmill.plans import study
-    pre = P.preprocess(P.assay_raw(spark, sf), ASSAY_SPEC, cut_lineage=True)
+    pre = P.preprocess(P.assay_raw(spark, sf), ASSAY_SPEC, cut_lineage=True, fit_on=fit_on)
     return pre, study.prepare(pre, TASK_BY_NAME[task_name], n_folds=3, resample=resample)
 
 
@@ -910,7 +910,7 @@ def q_tune_model(spark, sf):
 def q_smote_train(spark, sf):
     """Class counts of a classification train split after SMOTE (the
     classes come out equal)."""
-    _, prep = _prepared(spark, sf, "classification_si_8", resample=True)
+    _, prep = _prepared(spark, sf, "classification_si_8", resample=True, fit_on="all")
     return prep.train.groupBy("y").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -920,7 +920,7 @@ _ALL_DTYPES = ["bigint", "double", "int"]
 
 
 def _profile_compare_df(spark, sf) -> DataFrame:
-    pre = P.preprocess(P.assay_raw(spark, sf), ASSAY_SPEC, cut_lineage=True, profile_before=True)
+    pre = P.preprocess(P.assay_raw(spark, sf), ASSAY_SPEC, cut_lineage=True, profile_before=True, fit_on="all")
     before = pre.info_before
     after = profile.profile_info(pre.table, "after", TARGETS + S.LOGS, _ALL_DTYPES)
     return profile.profile_compare(before, after)
@@ -980,7 +980,7 @@ def _after_describe_sql() -> str:
 @query("profile_compare_stats", S.with_ctes(*S.selected_ctes()) +
        _describe_sql("dedup", S.ASSAY_COLS, "'before' AS stage, ") + " UNION ALL " + _after_describe_sql())
 def q_profile_compare_stats(spark, sf):
-    pre = P.preprocess(P.assay_raw(spark, sf), ASSAY_SPEC, cut_lineage=True, profile_before=True)
+    pre = P.preprocess(P.assay_raw(spark, sf), ASSAY_SPEC, cut_lineage=True, profile_before=True, fit_on="all")
     return profile.profile_compare_stats(profile.describe_table(pre.deduped),
                                          profile.describe_table(pre.table))
 
@@ -997,7 +997,7 @@ def q_load_processed(spark, sf):
     import uuid
     from tabmill.session import ensure_checkpoint_dir
     from tabmill.sources.tables import load_table, write_table
-    pre = P.preprocess(P.assay_raw(spark, sf), ASSAY_SPEC, cut_lineage=True)
+    pre = P.preprocess(P.assay_raw(spark, sf), ASSAY_SPEC, cut_lineage=True, fit_on="all")
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tabmill/processed-{uuid.uuid4().hex}"
     write_table(pre.table, path, fmt="csv")
     back = load_table(spark, path, fmt="csv", schema=pre.table.schema)

@@ -15,7 +15,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from tabmill.functions.quantiles import column_medians, column_quantiles
-from tabmill.operators import clean, profile, select
+from tabmill.functions.exprs import hash_uniform
+from tabmill.operators import clean, profile, select, split
 from tabmill.session import materialize
 from tabmill.sources.assay import ASSAY_SPEC, assay
 from tabmill.spec import TableSpec
@@ -55,7 +56,16 @@ def stage_impute(df: DataFrame, spec: TableSpec):
     return out, med
 
 
-def stage_clip_impute(df: DataFrame, spec: TableSpec):
+def fit_part(df: DataFrame, spec: TableSpec, fit_on: str) -> DataFrame:
+    """The rows that statistics are fit on: the train side of the hash holdout, or all."""
+    if fit_on == "all":
+        return df
+    if fit_on != "train":
+        raise ValueError("fit_on is 'train' or 'all'")
+    return df.where(hash_uniform(spec.id, split.SEED) >= split.TEST_FRACTION)
+
+
+def stage_clip_impute(df: DataFrame, spec: TableSpec, fit_on: str = "all"):
     """Clip the targets to IQR fences, then fill NULLs with medians of the
     clipped table, with one exact-quantile fit for both.
 
@@ -65,7 +75,7 @@ def stage_clip_impute(df: DataFrame, spec: TableSpec):
     the median of the unclipped one; only columns with fewer than 3 values
     need a second fit on the clipped table."""
     num = [c for c in clean.numeric_columns(df) if c != spec.id]
-    qs, sizes = column_quantiles(df, num, [0.25, 0.5, 0.75], with_sizes=True)
+    qs, sizes = column_quantiles(fit_part(df, spec, fit_on), num, [0.25, 0.5, 0.75], with_sizes=True)
     bounds = {}
     for t in spec.targets:
         q1, q3 = qs[t][0.25], qs[t][0.75]
@@ -77,7 +87,7 @@ def stage_clip_impute(df: DataFrame, spec: TableSpec):
     med = {c: qs[c][0.5] for c in num}
     few = [t for t in spec.targets if t in med and 0 < sizes[t] < 3]
     if few:
-        med.update(column_medians(clipped, few))
+        med.update(column_medians(fit_part(clipped, spec, fit_on), few))
     medians = clean.Medians(med)
     out = clean.apply_medians(clipped, medians)
     strings = [c for c in clean.string_columns(out) if c != spec.id]
@@ -95,7 +105,7 @@ def stage_log(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def logged_stage(df: DataFrame, spec: TableSpec, cut_lineage: bool = True,
-                 profile_before: bool = False):
+                 profile_before: bool = False, fit_on: str = "all"):
     """dedup -> clip targets -> impute -> floor -> log. The deduplicated
     table is written once (every fit below re-reads it, not the sources);
     the logged table too, as selection and the tasks read it many times.
@@ -105,9 +115,9 @@ def logged_stage(df: DataFrame, spec: TableSpec, cut_lineage: bool = True,
     if cut_lineage:
         df = materialize(df, "dedup")
     deduped = df
-    df, fences, medians = stage_clip_impute(df, spec)
+    df, fences, medians = stage_clip_impute(df, spec, fit_on)
     # the before profile's fences are the clip fences: same table, same fit
-    info = (profile.profile_info(deduped, "before", spec.targets, fences=fences), deduped) \
+    info = (profile.profile_info(deduped, "before", spec.targets, fences=fences if fit_on == "all" else None), deduped) \
         if profile_before else None
     df, floors = stage_floor(df, spec)
     df = stage_log(df, spec)
@@ -120,7 +130,7 @@ def logged_stage(df: DataFrame, spec: TableSpec, cut_lineage: bool = True,
 
 def preprocess(df: DataFrame, spec: TableSpec, corr_threshold: float = CORR_THRESHOLD,
                var_threshold: float = VARIANCE_THRESHOLD, cut_lineage: bool = True,
-               profile_before: bool = False) -> Preprocessed:
+               profile_before: bool = False, fit_on: str = "train") -> Preprocessed:
     """dedup -> clip targets -> impute -> floor -> log -> correlation drop
     -> variance filter. Returns the cleaned table and every fitted value
     (and, with ``profile_before``, the profile row of the deduplicated
@@ -130,9 +140,10 @@ def preprocess(df: DataFrame, spec: TableSpec, corr_threshold: float = CORR_THRE
     info, deduped = staged[4] if profile_before else (None, None)
     logs = [f"log_{t}" for t in spec.targets]
     feats = [c for c in spec.features if c in df.columns]
-    dropped = select.corr_drop_list(df, feats, corr_threshold)
+    fit = fit_part(df, spec, fit_on)
+    dropped = select.corr_drop_list(fit, feats, corr_threshold)
     kept_corr = [c for c in feats if c not in set(dropped)]
-    kept = select.variance_keep(df, kept_corr, var_threshold)
+    kept = select.variance_keep(fit, kept_corr, var_threshold)
     if not kept:
         raise ValueError("no features left after variance filtering")
     out = df.select(spec.id, *kept, *spec.targets, *logs)

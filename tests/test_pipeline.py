@@ -83,3 +83,14 @@ def test_knn_chunked_equals_single_chunk(spark):
     many = {(r["id"], r["nb_rank"]): (r["nb_id"], r["dist"]) for r in
             balance.knn_self(df, "id", ["a", "b"], 4, chunk_rows=10, max_pivots=7).collect()}
     assert one == many
+
+
+def test_fit_on_train_ignores_test_rows(spark, sf_small):
+    """Changing only the holdout's rows changes no fitted value, unless the fit is on all rows."""
+    from tabmill.functions.exprs import hash_uniform
+    raw = P.assay_raw(spark, sf_small)
+    test = hash_uniform("id", split.SEED) < split.TEST_FRACTION
+    moved = raw.withColumn("ic50", F.when(test, F.col("ic50") * 100).otherwise(F.col("ic50")))
+    a, b = P.logged_stage(raw, ASSAY_SPEC, fit_on="train"), P.logged_stage(moved, ASSAY_SPEC, fit_on="train")
+    assert a[1] == b[1] and a[2] == b[2]
+    assert P.logged_stage(raw, ASSAY_SPEC)[1] != P.logged_stage(moved, ASSAY_SPEC)[1]
