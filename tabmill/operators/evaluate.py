@@ -3,22 +3,21 @@ matrix, ROC AUC, average precision, ROC points, best model and top-k
 feature importances.
 
 Curves need cumulative counts over scores in descending order. Scores are
-first grouped (ties collapse, map-side), then the distinct scores are cut
-into ranges of at most ``max_rows_per_range`` rows; per-range totals (a
-handful of numbers) give each range its offset, and a window runs inside
-each range only. No window ever sees the whole input in one task.
+first grouped (ties collapse, map-side), then the distinct scores are
+range-partitioned; per-range totals give each range its offset, and a window
+runs inside each range only. No window ever sees the whole input in one task.
 """
 
 from __future__ import annotations
 
-import math
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabmill.functions.exprs import safe_div
-
-MAX_ROWS_PER_RANGE = 2_000_000
+from tabmill.session import materialize
 
 
 # ---- point metrics ---------------------------------------------------------
@@ -83,51 +82,24 @@ def score_counts(df: DataFrame, y: str, score: str, group: list[str] | None = No
             .agg(F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg")))
 
 
-def cumulative_desc(st: DataFrame, group: list[str] | None = None,
-                    max_rows_per_range: int = MAX_ROWS_PER_RANGE) -> DataFrame:
-    """Adds tp, fp: positives / negatives of the group with score >= this
-    score. Groups larger than ``max_rows_per_range`` distinct scores are cut
-    into score ranges (approximate cut points: they only balance the work);
-    exact per-range totals give each range its offset."""
+def cumulative_desc(st: DataFrame, group: list[str] | None = None) -> DataFrame:
+    """Adds tp, fp: positives / negatives of the group with score >= this score.
+
+    The scores are range-partitioned by (group, score descending) and written with the number of their
+    range, which fixes the ranges; totals of the ranges, a row each, give every range its offset, so each window
+    sees one range of one group, however many scores a group has. A NULL group is a group."""
     group = group or []
-    spark = st.sparkSession
-    sizes = st.groupBy(*group).agg(F.count(F.lit(1)).alias("__n")).collect()
-    ranges = max([1] + [math.ceil(r["__n"] / max_rows_per_range) for r in sizes])
-    if ranges == 1:
-        part = group
-        offsets = None
-    else:
-        st = st.cache()
-        grid = [i / ranges for i in range(1, ranges)]
-        cuts = st.groupBy(*group).agg(F.percentile_approx("score", grid, 10000).alias("__b"))
-        # one row per group (counted above): a bounded broadcast
-        st = st.join(F.broadcast(cuts), group)
-        st = st.withColumn("__r", F.size(F.filter("__b", lambda b: b <= F.col("score")))).drop("__b")
-        tot = st.groupBy(*group, "__r").agg(F.sum("pos").alias("p"), F.sum("neg").alias("q")).collect()
-        by_group: dict[tuple, list] = {}
-        for r in tot:
-            by_group.setdefault(tuple(r[g] for g in group), []).append(r)
-        rows = []
-        for g, rs in by_group.items():
-            acc_p = acc_q = 0
-            # higher ranges hold higher scores; a range's offset is the sum
-            # of every range above it
-            for r in sorted(rs, key=lambda r: -r["__r"]):
-                rows.append((*g, r["__r"], acc_p, acc_q))
-                acc_p += r["p"]
-                acc_q += r["q"]
-        schema = st.select(*group, "__r").schema.add("__op", "long").add("__oq", "long")
-        offsets = spark.createDataFrame(rows, schema)
-        part = group + ["__r"]
-    w = (Window.partitionBy(*part).orderBy(F.desc("score"))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = st.withColumns({"tp": F.sum("pos").over(w), "fp": F.sum("neg").over(w)})
-    if offsets is not None:
-        # groups x ranges rows, built on the driver: a bounded broadcast
-        out = (out.join(F.broadcast(offsets), part)
-               .withColumns({"tp": F.col("tp") + F.col("__op"), "fp": F.col("fp") + F.col("__oq")})
-               .drop("__op", "__oq", "__r"))
-    return out
+    ranged = materialize(st.repartitionByRange(*group, F.desc("score")).withColumn("__r", F.spark_partition_id()), "scores")
+    totals = ranged.groupBy(*group, "__r").agg(F.sum("pos").alias("__p"), F.sum("neg").alias("__q"))
+    before = Window.partitionBy(*group).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*[F.col(g).alias(f"__k_{g}") for g in group], F.col("__r").alias("__kr"),
+                            F.coalesce(F.sum("__p").over(before), F.lit(0)).alias("__op"),
+                            F.coalesce(F.sum("__q").over(before), F.lit(0)).alias("__oq"))
+    within = (Window.partitionBy(*group, "__r").orderBy(F.desc("score"))
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out = ranged.withColumns({"tp": F.sum("pos").over(within), "fp": F.sum("neg").over(within)})
+    same = reduce(and_, [F.col(g).eqNullSafe(F.col(f"__k_{g}")) for g in group], F.col("__r") == F.col("__kr"))
+    return out.join(offsets, same).select(*st.columns, (F.col("tp") + F.col("__op")).alias("tp"), (F.col("fp") + F.col("__oq")).alias("fp"))
 
 
 def _keyed(df: DataFrame, group: list[str] | None) -> tuple[DataFrame, list[str], list[str]]:
@@ -172,7 +144,9 @@ def roc_curve(df: DataFrame, y: str, score: str, group: list[str] | None = None)
     st = score_counts(df, y, score, keys)
     cum = cumulative_desc(st, keys)
     tot = st.groupBy(*keys).agg(F.sum("pos").alias("__P"), F.sum("neg").alias("__N"))
-    cum = cum.join(tot, keys)
+    # one row per group; the groups are models
+    named = tot.withColumnsRenamed({k: f"__t_{k}" for k in keys})
+    cum = cum.join(F.broadcast(named), reduce(and_, [F.col(k).eqNullSafe(F.col(f"__t_{k}")) for k in keys]))
     pts = cum.select(*group, F.col("score").alias("threshold"),
                      safe_div(F.col("fp").cast("double"), F.col("__N").cast("double"), 0.0).alias("fpr"),
                      safe_div(F.col("tp").cast("double"), F.col("__P").cast("double"), 0.0).alias("tpr"))

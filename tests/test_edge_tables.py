@@ -107,16 +107,19 @@ def test_tied_scores_auc_and_average_precision(spark):
     assert round(m["average_precision"], 4) == 0.5889
 
 
-def test_ranged_cumulative_matches_single_range(spark):
-    """Cutting the scores into ranges gives the same curve as one window."""
-    rows = [(i % 3 == 0 and 1 or 0, float((i * 7919) % 101)) for i in range(400)]
-    df2 = spark.createDataFrame(rows, "y int, p double").withColumn("__g", F.lit(0))
-    st = evaluate.score_counts(df2, "y", "p", ["__g"])
-    a = {r["score"]: (r["tp"], r["fp"]) for r in evaluate.cumulative_desc(st, ["__g"]).collect()}
-    b = {r["score"]: (r["tp"], r["fp"]) for r in
-         evaluate.cumulative_desc(st, ["__g"], max_rows_per_range=7).collect()}
-    assert a == b
-
+def test_curves_over_many_ranges_and_a_null_group(spark):
+    """Cumulative counts do not depend on how many ranges the scores are dealt to; a NULL group is kept."""
+    rows = [(g, float((i * 37) % 211), i % 3 == 0) for g in ("a", None) for i in range(211)]
+    df = spark.createDataFrame([(g, s, int(y)) for g, s, y in rows], "g string, score double, y int")
+    st = evaluate.score_counts(df, "y", "score", ["g"])
+    got = {(r["g"], r["score"]): (r["tp"], r["fp"]) for r in evaluate.cumulative_desc(st, ["g"]).collect()}
+    assert len(got) == 422
+    for g in ("a", None):
+        tp = fp = 0
+        for _, s, y in sorted((r for r in rows if r[0] == g), key=lambda r: -r[1]):
+            tp, fp = tp + y, fp + (not y)
+            assert got[g, s] == (tp, fp)
+    assert evaluate.roc_curve(df, "y", "score", ["g"]).count() == 424
 
 def test_no_positive_predictions(spark):
     df = spark.createDataFrame([(1, 0), (0, 0), (1, 0)], "y int, yhat int")
