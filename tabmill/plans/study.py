@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabmill.functions.exprs import is_nonfinite
-from tabmill.operators import balance, clean, evaluate, labels, scale, split
+from tabmill.operators import balance, clean, evaluate, findings, labels, scale, split
 from tabmill.plans import models as M
 from tabmill.plans import tune as TU
 from tabmill.plans.pipeline import Preprocessed
-from tabmill.plans.tasks import Task
+from tabmill.plans.tasks import TASKS, Task
 from tabmill.session import materialize
 
 
@@ -158,3 +158,33 @@ def _results(preds: DataFrame, task: Task) -> tuple[DataFrame, list[str]]:
     dropped = [r["model"] for r in bad]
     keep = preds.where(~F.col("model").isin(dropped or [""]))
     return results_for(keep, [task]).drop("task_order"), dropped
+
+
+@dataclass
+class StudyRun:
+    results: DataFrame         # every model of every task, votes included
+    best_single: DataFrame     # (task, model, score): by the task's metric, without the vote
+    board: DataFrame           # the best row of every task
+    regression: DataFrame
+    classification: DataFrame
+    overall: DataFrame
+
+
+def run_study(pre: Preprocessed, tasks: list[Task] = TASKS, **settings) -> StudyRun:
+    """All tasks, from trained models to the findings. Classification tasks are resampled where the classes call
+    for it; ``settings`` go to ``run_task``. Each task's results are written before the next begins."""
+    parts = []
+    for order, task in enumerate(tasks):
+        run = run_task(pre, task, resample=task.kind == "classification", **settings)
+        named = run.results.withColumn("kind", F.lit(task.kind)).withColumn("task_order", F.lit(order))
+        parts.append(materialize(named, f"results-{task.name}"))
+    results = reduce(DataFrame.unionByName, parts)
+    by_accuracy = F.col("task").isin([t.name for t in tasks if t.metric == "accuracy"] or [""])
+    single = results.where(F.col("model") != "Voting").withColumn(
+        "score", F.when(F.col("kind") == "regression", F.col("r2")).when(by_accuracy, F.col("accuracy")).otherwise(F.col("f1")))
+    board = findings.leaderboard(results)
+    return StudyRun(
+        results, evaluate.best_by(single, "score", ["task"]).select("task", "model", "score"), board,
+        findings.findings_regression(board),
+        findings.findings_classification(board, [t.name for t in tasks if t.rule == "threshold"]),
+        findings.findings_overall(board, "regression_log_si", "classification_si_8"))

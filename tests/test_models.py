@@ -144,3 +144,22 @@ def test_best_by_ignores_nan(spark):
     from tabmill.operators import evaluate
     df = spark.createDataFrame([("t", "a", 0, float("nan")), ("t", "b", 1, 0.5), ("t", "c", 2, None)], "task string, model string, model_order int, s double")
     assert evaluate.best_by(df, "s", ["task"]).collect()[0]["model"] == "b"
+
+
+def test_study_from_models_to_findings(spark, sf_small):
+    from tabmill.plans import pipeline as P
+    from tabmill.plans import study
+    from tabmill.plans.tasks import TASK_BY_NAME
+    from tabmill.sources.assay import ASSAY_SPEC
+    pre = P.preprocess(P.assay_raw(spark, sf_small), ASSAY_SPEC)
+    tasks = [TASK_BY_NAME["regression_log_ic50"], TASK_BY_NAME["classification_si_8"]]
+    run = study.run_study(pre, tasks, n_draws=1, n_folds=2, light=True, models=["LR"])
+    rows = run.results.collect()
+    assert [(r["task"], r["model"]) for r in sorted(rows, key=lambda r: (r["task_order"], r["model_order"]))] == [
+        (t.name, m) for t in tasks for m in ("LR", "Voting")]
+    assert {r["status"] for r in rows} == {"ok"}
+    assert {r["model"] for r in run.best_single.collect()} == {"LR"}
+    score = {r["task"]: r["score"] for r in run.best_single.collect()}
+    lr = {r["task"]: r for r in rows if r["model"] == "LR"}
+    assert score["classification_si_8"] == lr["classification_si_8"]["accuracy"] and score["regression_log_ic50"] == lr["regression_log_ic50"]["r2"]
+    assert run.overall.count() == 2 and run.regression.count() == 1 and run.classification.count() == 1
