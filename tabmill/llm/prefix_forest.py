@@ -212,15 +212,17 @@ def neighbours(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "v
     depths = sorted(r["depth"] for r in blocks.select("depth").distinct().collect())
     spread = coded.select("rep", "vec", F.posexplode("codes").alias("tree", "code"))
     place = ["tree", "depth", "prefix", "sub"]
-    index = stages.write(_placed(spread, blocks, depths, bits, "rep", False).groupBy(*place).agg(
+    # a few blocks per task: they go through tasks as whole rows
+    tasks = max(int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(blocks.agg(F.sum("subs")).first()[0] / 8))
+    index = stages.write(_placed(spread, blocks, depths, bits, "rep", False).repartition(tasks, *place).groupBy(*place).agg(
         F.array_sort(F.collect_list(F.struct("code", "rep", "vec"))).alias("rows")), "index")
 
     distinct = asked.select("rep").distinct()
     mine = spread.join(distinct, "rep", "left_semi")
     probes = stages.write(_placed(mine.select("rep", "tree", "code"), blocks, depths, bits, "rep", True), "probes")
     codes_only = index.select(*place, F.transform("rows", lambda x: F.struct(x["code"].alias("code"))).alias("rows"))
-    at_block = probes.groupBy(*place).agg(F.collect_list(F.struct("rep", "code")).alias("q"))
-    counts = codes_only.join(at_block, place).select("depth", "rows", "q").mapInArrow(_level_counts(bits), "rep bigint, level int, n bigint")
+    at_block = probes.repartition(tasks, *place).groupBy(*place).agg(F.collect_list(F.struct("rep", "code")).alias("q"))
+    counts = codes_only.repartition(tasks, *place).hint("merge").join(at_block, place).select("depth", "rows", "q").mapInArrow(_level_counts(bits), "rep bigint, level int, n bigint")
     wanted = min(TREES * BLOCK, max(TREES * PER_TREE, 2.75 * n**0.8))
     per_level = counts.groupBy("rep", "level").agg(F.sum("n").alias("n"))
     reached = F.sum("n").over(Window.partitionBy("rep").orderBy(F.desc("level")))
@@ -228,8 +230,8 @@ def neighbours(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "v
 
     probes = probes.join(stages.write(levels, "levels"), "rep", "left").withColumn("level", F.coalesce("level", F.lit(0)))
     probes = probes.join(entries.select("rep", F.col("vec")), "rep")
-    at_block = probes.groupBy(*place).agg(F.collect_list(F.struct("rep", "code", "level", "vec")).alias("q"))
-    found = index.join(at_block, place).select("depth", "rows", "q").mapInArrow(_best(bits, keep), "query bigint, rep bigint, score double")
+    at_block = probes.repartition(tasks, *place).groupBy(*place).agg(F.collect_list(F.struct("rep", "code", "level", "vec")).alias("q"))
+    found = index.repartition(tasks, *place).hint("merge").join(at_block, place).select("depth", "rows", "q").mapInArrow(_best(bits, keep), "query bigint, rep bigint, score double")
     best = stages.write(_top(found.distinct(), keep), "best")
 
     # queries with too few results meet all rows, a block at a time
