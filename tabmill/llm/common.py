@@ -75,3 +75,12 @@ def normal_line(line: Column) -> Column:
 def n_words(normal: Column) -> Column:
     """Words of a ``normal_line``."""
     return F.when(normal == "", 0).otherwise(F.length(normal) - F.length(F.replace(normal, F.lit(" "), F.lit(""))) + 1)
+
+
+def without_lines(df: DataFrame, gone: str) -> DataFrame:
+    """``text`` without the lines whose numbers are in the array column ``gone`` (null: unchanged). The lines are a column of
+    their own first: inside a lambda the text would be split again for every line."""
+    df = df.withColumn("__lines", F.when(F.col(gone).isNotNull(), F.split("text", "\n")))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col(gone))
+    left = F.array_join(F.transform(stay, lambda i: F.get("__lines", i)), "\n")
+    return df.withColumn("text", F.when(F.col(gone).isNull(), F.col("text")).otherwise(left)).drop("__lines")

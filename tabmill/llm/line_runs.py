@@ -31,7 +31,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabmill.llm.common import WS, Stages, n_words, normal_line
+from tabmill.llm.common import Stages, n_words, normal_line, without_lines
 
 MIN_WORDS = 50
 
@@ -126,11 +126,8 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with its later copies of repeated runs deleted from ``text``, and ``_gone``, the numbers of the
     deleted lines (null: none)."""
-    gone = later_copies(docs.select("doc_id", "text"), min_words).select(
+    # merge at every size: whether the list of deletions happens to be small enough to broadcast must not decide the plan
+    gone = later_copies(docs.select("doc_id", "text"), min_words).hint("merge").select(
         F.col("doc_id").alias("_k"), F.col("text_hash").alias("_h"), F.col("gone").alias("_gone"))
     out = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_k")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_h")), "left")
-    raw = F.split("text", "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(raw) - 1), F.col("_gone"))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(stay, lambda i: F.get(raw, i)), "\n"))
-    return out.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns], "_gone")
+    return without_lines(out, "_gone").select(*[F.col(f"`{c}`") for c in docs.columns], "_gone")
