@@ -18,10 +18,10 @@ Spark broadcasts it only when its written size is under the session's threshold.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabmill.llm.common import WS, WS_CHARS, Stages, n_words, normal_line, words
+from tabmill.llm.common import WS, WS_CHARS, Stages, n_words, normal_line, without_lines, words
 
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 MIN_DOCS, SHARE, MIN_LEFT, MIN_LEFT_SHARE = 100, 0.05, 10, 0.3
@@ -69,7 +69,7 @@ def profile(docs: DataFrame, host: str = "source") -> DataFrame:
 def line_frequency(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE,
                    min_left: int = MIN_LEFT, min_left_share: float = MIN_LEFT_SHARE) -> tuple[DataFrame, DataFrame]:
     """(verdicts, frequent): a verdict row per row of ``docs`` (doc_id, text_hash, the base counts, left_words,
-    base_failed, kept), and the removed lines per host (host, h, g)."""
+    base_failed, kept, gone: numbers of the removed lines among those with a word), and the removed lines per host (host, h, g)."""
     stages = Stages(docs.sparkSession, "line-frequency")
     p = stages.write(profile(docs, host), "profile")
     lines = p.select("doc_id", "host", "text_hash", F.posexplode("lines").alias("pos", "l")).select(
@@ -82,7 +82,7 @@ def line_frequency(docs: DataFrame, host: str = "source", min_docs: int = MIN_DO
     lost = (lines.join(frequent, ["host", "h", "g"])
             .groupBy("doc_id", "host", "text_hash", "pos").agg(F.first("w").alias("w"))
             .groupBy(F.col("doc_id").alias("k"), F.col("host").alias("kh"), F.col("text_hash").alias("kt"))
-            .agg(F.sum("w").alias("lost")))
+            .agg(F.sum("w").alias("lost"), F.collect_list("pos").alias("gone")))
     left = F.col("n_words") - F.coalesce("lost", F.lit(0))
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     out = p.drop("lines").join(lost, p.doc_id.eqNullSafe(F.col("k")) & (p.host == F.col("kh"))
@@ -90,29 +90,24 @@ def line_frequency(docs: DataFrame, host: str = "source", min_docs: int = MIN_DO
     out = out.select(
         "doc_id", "host", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         left.cast("long").alias("left_words"), base_failed.alias("base_failed"),
-        (~base_failed & (left >= min_left) & (left >= min_left_share * F.col("n_words"))).alias("kept"))
+        (~base_failed & (left >= min_left) & (left >= min_left_share * F.col("n_words"))).alias("kept"), "gone")
     return out, frequent
 
 
 def kept_documents(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
-    """The rows of ``docs`` that are not rejected, without the lines above their host's limit (``text`` and ``n_chars``)."""
-    verdicts, frequent = line_frequency(docs, host, **limits)
-    text = F.coalesce(F.col("text"), F.lit(""))
-    v = verdicts.where("kept").groupBy("doc_id", "host", "text_hash").agg(F.first(F.col("left_words") < F.col("n_words")).alias("_cut")).select(
-        F.col("doc_id").alias("_k"), F.col("host").alias("_kh"), F.col("text_hash").alias("_kt"), "_cut")
-    rows = docs.withColumn("_host", F.coalesce(F.col(host), F.lit("")))
-    rows = rows.join(v.hint("merge"), rows["doc_id"].eqNullSafe(F.col("_k")) & (F.col("_host") == F.col("_kh")) & (F.xxhash64(text) == F.col("_kt"))).drop("_k", "_kh", "_kt")
-    whole, cut = rows.where("not _cut"), rows.where("_cut")
-    # the few documents that lose lines: number the lines, take the frequent ones out, join the rest again
-    lost = (cut.select("doc_id", "_host", F.xxhash64(text).alias("_t"), F.posexplode(F.split(text, "\n")).alias("_i", "_line"))
-            .withColumn("_n", line_key(F.col("_line"))).withColumn("h", F.xxhash64("_n")).withColumn("g", F.hash("_n"))
-            .join(frequent.withColumnRenamed("host", "_host"), ["_host", "h", "g"])
-            .groupBy(F.col("doc_id").alias("_k"), F.col("_host").alias("_kh"), F.col("_t").alias("_kt")).agg(F.collect_set("_i").alias("_gone")))
-    cut = cut.join(lost, cut["doc_id"].eqNullSafe(F.col("_k")) & (F.col("_host") == F.col("_kh")) & (F.xxhash64(text) == F.col("_kt")))
-    raw = F.split(text, "\n")
-    left = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(raw) - 1), "_gone"), lambda i: F.get(raw, i)), "\n")
-    cut = cut.withColumn("text", left)
+    """The rows of ``docs`` that are not rejected, without the lines above their host's limit (``text`` and ``n_chars``). The
+    texts are shuffled once, to meet their verdicts."""
+    verdicts, _ = line_frequency(docs, host, **limits)
+    v = verdicts.where("kept").groupBy("doc_id", "host", "text_hash").agg(F.first("gone").alias("__gone")).select(
+        F.col("doc_id").alias("__k"), F.col("host").alias("__kh"), F.col("text_hash").alias("__kt"), "__gone")
+    rows = docs.withColumns({"__host": F.coalesce(F.col(host), F.lit("")), "__hash": F.xxhash64(F.coalesce("text", F.lit("")))})
+    rows = rows.join(v.hint("merge"), rows["doc_id"].eqNullSafe(F.col("__k")) & (F.col("__host") == F.col("__kh")) & (F.col("__hash") == F.col("__kt")))
+    # numbers among the lines with a word to numbers among all lines
+    rows = rows.withColumn("__all", F.when(F.col("__gone").isNotNull(), F.split("text", "\n")))
+    rows = rows.withColumn("__worded", F.filter(F.sequence(F.lit(0), F.size("__all") - 1), lambda i: F.get("__all", i).rlike(f"[^{WS}]")))
+    rows = rows.withColumn("__gone", F.transform("__gone", lambda p: F.get("__worded", p)))
+    out = without_lines(rows, "__gone")
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    return whole.select(*own).unionByName(cut.select(*own))
+        cut = F.length("text").cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.when(F.col("__gone").isNotNull(), cut).otherwise(F.col("n_chars")))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
