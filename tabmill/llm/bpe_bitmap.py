@@ -26,8 +26,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-CACHE = 300_000  # units in each of the two generations of a worker's cache
+CACHE = 800_000  # units in each of the two generations of a worker's cache, about 240 bytes each
 _UNITS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 _SEPARATORS = re.compile("[\x1c-\x1f]")  # white space to re, but not to the pattern
 
@@ -122,7 +123,12 @@ class BytePairEncoder:
         """Ids of a unit that the young cache lacks."""
         ids = self.old.get(unit)
         if ids is None:
-            ids = tuple(x for piece in self.pattern.findall(unit) for x in self.merge(piece.encode()))
+            pieces = self.pattern.findall(unit)
+            if len(pieces) == 1:
+                ids = tuple(self.merge(unit.encode()))
+            else:  # a word with a comma is often known without it
+                found = (self.young.get(p) or self.old.get(p) or self.merge(p.encode()) for p in pieces)
+                ids = tuple(x for known in found for x in known)
         if len(unit) <= 64:
             if len(self.young) >= CACHE:
                 self.old, self.young = self.young, {}
@@ -152,7 +158,7 @@ def encoder(path: str, pattern: str) -> BytePairEncoder:
 
 def encode_column(df: DataFrame, path: str, pattern: str, out: str = "ids") -> DataFrame:
     """``df`` with ``out``, the ids of ``text``; other columns are kept and may have any other name."""
-    schema = df.drop(out).schema.add(out, "array<int>")
+    schema = df.drop(out).schema.add(out, T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path, pattern)
