@@ -6,16 +6,17 @@ smallest angle. A tree is the array of its strings in sorted order, cut into blo
 ``BLOCK`` rows share, refined until that holds; rows of one whole string go on in numbered sub-blocks.
 
 A query descends in every tree to its longest matching prefix by binary search, then ascends in all trees at once, a bit at a time: the level
-at which the trees together hold the wanted number of candidates is found from the counts per level; then every tree scores the range of rows that share
-the prefix of that level (at most the block) and keeps its best; the best of all trees are the result, scored in double precision on the original vectors.
-Wanted: 2.75 N^0.8 candidates, at least ``PER_TREE`` per tree. A query with fewer results than asked is compared with all rows, in blocks.
+at which the trees together hold the wanted number of candidates is found from the counts per level, in the block and, above it, of all blocks under the
+shorter prefix; then every tree scores all rows that share the prefix of that level, in as many blocks as hold them, and each block keeps its best; the best
+of all are the result, scored in double precision on the original vectors. Wanted: 2.75 N^0.8 candidates, at least ``PER_TREE`` per tree. A query that
+ascends to the empty prefix meets all rows, in one tree. A query with fewer results than asked is compared with all rows, in blocks.
 
 Equal vectors are one entry with its smallest ids (one more than the results asked for; ties go to smaller ids, so no other can be in a result).
 
 Defined results: vectors that are null, zero, of another length than most, or hold a null or non-finite component take no part, nor do rows with
 a null vec_id; rows of one vec_id are one vector, the smallest in array order; a table without vectors gives an empty result; other columns are ignored.
 
-Scale: all groups (blocks) are bounded by ``BLOCK``; hot vectors are cut to their smallest ids before the shuffle; counts are pre-aggregated. The index
+Scale: all groups (blocks) are bounded by ``BLOCK``, the rows a query meets are not; hot vectors are cut to their smallest ids before the shuffle; counts are pre-aggregated. The index
 holds each vector once per tree, so that a block scores its own rows and no candidate pair is shuffled.
 """
 
@@ -85,7 +86,7 @@ def _prefix(code: Column, depth: Column | int, bits: int) -> Column:
 
 
 def _blocks(stages: Stages, codes: DataFrame, n: int, bits: int) -> DataFrame:
-    """(tree, depth, prefix, subs): prefixes that at most BLOCK rows share, disjoint and covering all rows."""
+    """(tree, depth, prefix, n, subs): prefixes that at most BLOCK rows share, disjoint and covering all rows."""
     depth = min(bits, max(0, math.ceil(math.log2(max(1, n) / BLOCK))))
     found, rest = [], codes
     while True:
@@ -103,13 +104,27 @@ def _blocks(stages: Stages, codes: DataFrame, n: int, bits: int) -> DataFrame:
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return stages.write(out.select("tree", "depth", "prefix", F.ceil(F.col("n") / BLOCK).cast("int").alias("subs")), "blocks")
+    return stages.write(out.select("tree", "depth", "prefix", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("subs")), "blocks")
+
+
+def _under(blocks: DataFrame) -> DataFrame:
+    """``blocks`` once for each of their prefixes, own included: (tree, at, above) name a prefix of ``at`` bits."""
+    rows = blocks.withColumn("at", F.explode(F.sequence(F.lit(0), "depth")))
+    return rows.withColumn("above", F.call_function("shiftright", F.col("prefix"), F.col("depth") - F.col("at")))
+
+
+def _counts_above(blocks: DataFrame) -> DataFrame:
+    """(tree, depth, prefix, up): per block the rows of its prefixes of 0, 1, ... and all its bits."""
+    under = _under(blocks)
+    totals = under.groupBy("tree", "at", "above").agg(F.sum("n").alias("total"))
+    up = under.join(totals, ["tree", "at", "above"]).groupBy("tree", "depth", "prefix").agg(F.array_sort(F.collect_list(F.struct("at", "total"))).alias("up"))
+    return up.withColumn("up", F.col("up.total"))
 
 
 def _placed(codes: DataFrame, blocks: DataFrame, depths: list[int], bits: int, key: str, everywhere: bool) -> DataFrame:
     """``codes`` (tree, code, key, ...) with its block; in one of its sub-blocks or in all."""
     rows = codes.withColumn("depth", F.explode(F.array(*map(F.lit, depths)))).withColumn("prefix", _prefix(F.col("code"), F.col("depth"), bits))
-    rows = rows.join(blocks, ["tree", "depth", "prefix"])
+    rows = rows.join(blocks.drop("n"), ["tree", "depth", "prefix"])
     sub = F.explode(F.sequence(F.lit(0), F.col("subs") - 1)) if everywhere else F.pmod(F.xxhash64(key), F.col("subs")).cast("int")
     return rows.withColumn("sub", sub).drop("subs")
 
@@ -140,7 +155,7 @@ def _level_counts(bits: int):
                     more = np.flatnonzero(hi - lo > held)
                     if len(more):
                         n = (hi - lo)[more]
-                        yield pa.RecordBatch.from_arrays([pa.array(reps[more]), pa.array(np.full(len(more), level if level > depth else 0, np.int32)),
+                        yield pa.RecordBatch.from_arrays([pa.array(reps[more]), pa.array(np.full(len(more), level, np.int32)),
                                                           pa.array(n - held[more])], ["rep", "level", "n"])
                         held[more] = n
     return run
@@ -223,13 +238,20 @@ def neighbours(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "v
     codes_only = index.select(*place, F.transform("rows", lambda x: F.struct(x["code"].alias("code"))).alias("rows"))
     at_block = probes.repartition(tasks, *place).groupBy(*place).agg(F.collect_list(F.struct("rep", "code")).alias("q"))
     counts = codes_only.repartition(tasks, *place).hint("merge").join(at_block, place).select("depth", "rows", "q").mapInArrow(_level_counts(bits), "rep bigint, level int, n bigint")
-    wanted = min(TREES * BLOCK, max(TREES * PER_TREE, 2.75 * n**0.8))
-    per_level = counts.groupBy("rep", "level").agg(F.sum("n").alias("n"))
+    own = probes.where("sub = 0").select("rep", "tree", "code", "depth", "prefix")
+    up = F.col("up")
+    above = own.where("depth > 0").join(_counts_above(blocks), ["tree", "depth", "prefix"]).select("rep", F.posexplode(
+        F.transform(F.slice(up, 1, F.size(up) - 1), lambda total, i: total - F.get(up, i + 1))).alias("level", "n"))
+    wanted = max(TREES * PER_TREE, 2.75 * n**0.8)
+    per_level = counts.unionByName(above).groupBy("rep", "level").agg(F.sum("n").alias("n"))
     reached = F.sum("n").over(Window.partitionBy("rep").orderBy(F.desc("level")))
     levels = per_level.withColumn("reached", reached).where(F.col("reached") >= wanted).groupBy("rep").agg(F.max("level").alias("level"))
 
-    probes = probes.join(stages.write(levels, "levels"), "rep", "left").withColumn("level", F.coalesce("level", F.lit(0)))
-    probes = probes.join(entries.select("rep", F.col("vec")), "rep")
+    # the blocks under the prefix of the level; the empty prefix holds all rows in any one tree
+    probes = own.drop("prefix").join(stages.write(levels, "levels"), "rep", "left").withColumn("level", F.coalesce("level", F.lit(0)))
+    probes = probes.where("level > 0 or tree = 0").withColumn("at", F.least("level", "depth")).withColumn("above", _prefix(F.col("code"), F.col("at"), bits))
+    probes = probes.drop("depth").join(_under(blocks), ["tree", "at", "above"]).withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)))
+    probes = probes.select("rep", "code", "level", *place).join(entries.select("rep", F.col("vec")), "rep")
     at_block = probes.repartition(tasks, *place).groupBy(*place).agg(F.collect_list(F.struct("rep", "code", "level", "vec")).alias("q"))
     found = index.repartition(tasks, *place).hint("merge").join(at_block, place).select("depth", "rows", "q").mapInArrow(_best(bits, keep), "query bigint, rep bigint, score double")
     best = stages.write(_top(found.distinct(), keep), "best")

@@ -47,6 +47,26 @@ def test_blocks_split_and_short_queries_meet_all_rows(spark, monkeypatch):
     assert got.groupBy("query_id").count().where("count = 20").count() == 6
 
 
+def test_queries_ascend_past_their_blocks(spark, monkeypatch):
+    """Unit vectors close to uniform on the sphere, as the given ones, in some dozens of blocks per tree."""
+    monkeypatch.setattr(prefix_forest, "BLOCK", 16)
+    monkeypatch.setattr(prefix_forest, "PER_TREE", 200)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(500, 64)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
+    asked = range(0, 500, 20)
+    found = {}
+    for r in prefix_forest.neighbours(df, F.col("vec_id") % 20 == 0, 20).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = 0
+    for q in asked:
+        scores = x.astype(np.float64) @ x[q].astype(np.float64)
+        scores[q] = -2
+        hits += len(found[q] & set(np.argsort(-scores)[:20].tolist()))
+    assert hits / (20 * len(asked)) >= 0.95
+
+
 def plain_mix(rows, weights, share, epochs, seed):
     """rows: (doc_id, a, b, tokens). Budgets by water-filling, level by level, then prefixes."""
     def fill(children, budget):
