@@ -38,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabmill.llm.common import Stages, normal_line
@@ -340,8 +340,14 @@ def components(stages: Stages, links: DataFrame, name: str) -> DataFrame:
         state = now
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, key (hash of the normalised text), class_id, in one row per row of ``docs``."""
+def _empty() -> Column:
+    """The key of texts without a word."""
+    return F.unhex(F.md5(F.lit("")))
+
+
+def labelled(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, key (hash of the normalised text), label (smallest key of the class; the own key for texts without a
+    word, which are no class), in one row per row of ``docs``."""
     spark: SparkSession = docs.sparkSession
     stages = Stages(spark, "near-duplicates")
     t = F.coalesce(normal_line(F.col("text")), F.lit(""))
@@ -349,9 +355,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     idf = spark.sparkContext.broadcast(idf_table(texts, docs.count()))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     sig = stages.write(texts.mapInArrow(_signatures(idf), f"doc_id {id_type}, key binary, bands array<bigint>, samples binary"), "signatures")
-    empty = F.unhex(F.md5(F.lit("")))
-
-    nodes = sig.where(F.col("key") != empty).groupBy("key").agg(F.first("bands").alias("bands"), F.first("samples").alias("samples"))
+    nodes = sig.where(F.col("key") != _empty()).groupBy("key").agg(F.first("bands").alias("bands"), F.first("samples").alias("samples"))
     rows = nodes.select("key", F.posexplode("bands").alias("band", "bucket"))
     full = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n >= 2")
     members = stages.write(rows.join(full, "bucket"), "members")
@@ -377,18 +381,26 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     more = stages.write(_blocks(full_rows, ["samples", "t"]).mapInArrow(_linked(idf, threshold), "a binary, b binary"), "more")
     label = components(stages, links.union(more), "classes")
 
-    classed = sig.select("doc_id", "key").join(label, F.col("key") == F.col("node"), "left")
-    group = F.coalesce("label", "key")
-    least = classed.where(F.col("key") != empty).groupBy(group.alias("g")).agg(F.min("doc_id").alias("class_id"))
-    return classed.withColumn("own", group).join(least, F.col("own") == F.col("g"), "left").select(
-        "doc_id", "key", F.when(F.col("key") == empty, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+    return sig.select("doc_id", "key").join(label, F.col("key") == F.col("node"), "left").select("doc_id", "key", F.coalesce("label", "key").alias("label"))
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, key (hash of the normalised text), class_id, in one row per row of ``docs``."""
+    classed = labelled(docs, threshold)
+    least = classed.where(F.col("key") != _empty()).groupBy(F.col("label").alias("g")).agg(F.min("doc_id").alias("class_id"))
+    return classed.join(least, F.col("label") == F.col("g"), "left").select(
+        "doc_id", "key", F.when(F.col("key") == _empty(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
 
 
 def one_per_class(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Of each class the row with its smallest doc_id; where rows share that doc_id, the first in (key) order. Texts without a
-    word are no copies of each other and stay; of rows repeated in full one stays."""
-    classes = near_duplicates(docs.select("doc_id", "text"), threshold).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    chosen = classes.groupBy(F.col("doc_id").alias("_id"), (F.col("key") == F.unhex(F.md5(F.lit("")))).alias("_none")).agg(F.min("key").alias("_key"))
+    """Of each class the row with its smallest doc_id, null last; where rows share that doc_id, the first in (key) order. Texts
+    without a word are no copies of each other and stay; of rows repeated in full one stays."""
+    classed = labelled(docs.select("doc_id", "text"), threshold)
+    none = F.col("key") == _empty()
+    # a doc_id names no class: it may be null, or be shared by unrelated texts
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key"))
+    chosen = classed.where(~none).groupBy("label").agg(least.alias("row")).select(F.col("row.doc_id").alias("_id"), F.col("row.key").alias("_key"))
+    chosen = chosen.unionByName(classed.where(none).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct())
     key = F.unhex(F.md5(F.coalesce(normal_line(F.col("text")), F.lit(""))))
     kept = docs.withColumn("_own", key).join(chosen.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key")), "left_semi")
     return kept.dropDuplicates(["doc_id", "_own"]).drop("_own")

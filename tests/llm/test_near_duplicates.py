@@ -84,3 +84,12 @@ def test_nulls_repeats_and_empty_table(spark):
     assert got == [(5, 5), (5, 5), (8, 8), (9, 9), (None, 5)]
     assert sorted(r["doc_id"] for r in mh.one_per_class(docs).collect()) == [5, 8, 9]
     assert mh.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_distinct_texts_under_null_and_repeated_ids_stay(spark):
+    rng = random.Random(9)
+    texts = [" ".join(f"v{rng.randrange(10**6)}" for _ in range(30)) for _ in range(7)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (None, texts[2].upper()), (7, texts[3]), (7, texts[4]), (8, texts[4]), (None, texts[5]), (3, texts[5]), (4, texts[6])]
+    kept = mh.one_per_class(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = sorted(((r["doc_id"], r["text"].lower()) for r in kept.collect()), key=str)
+    assert got == sorted([(None, texts[0]), (None, texts[1]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (3, texts[5]), (4, texts[6])], key=str)
