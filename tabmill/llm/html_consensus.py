@@ -8,7 +8,8 @@ page on which none has falls back to its own best container.
 
 Text: blocks of the container in page order, joined by a line break; character references decoded, white space within a block as one
 space. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, hidden elements and reader comments are left out, by
-tag and by the words of class and id. Markup may be broken: inline tags never nest, blocks close what HTML says they close, and an
+tag and by the words of class and id; one such word among the names of an article or of a content container (``tag-news``,
+``has-sidebar``) only costs it its bonus, and what holds more than half of the page's prose stays, comments and adverts excepted. Markup may be broken: inline tags never nest, blocks close what HTML says they close, and an
 end tag without its start is ignored.
 
 Defined results: null or empty html gives an empty text; a null url is a host of its own; repeated rows vote twice and are extracted
@@ -49,7 +50,11 @@ NOISE = re.compile(
     r"^(?:ad|ads|adv|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar|side|aside|nav\w*|menu\w*|breadcrumb\w*|footer|foot|masthead|header|topbar|toolbar|"
     r"cookie\w*|consent|gdpr|notice\w*|alert|popup|modal|overlay|newsletter|subscri\w*|signup|login|register|social|share\w*|sharing|related|recommend\w*|"
     r"comment\w*|disqus|replies|respond|discussion|widget\w*|pagination|pager|paging|skip|hidden|copyright|legal|disclaimer|form|search\w*|tags?|toc)$")
+READERS = re.compile(r"^(?:comment\w*|disqus|replies|respond|discussion)$")
+NOTICES = re.compile(r"^(?:ad|ads|adv|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notice\w*|alert|popup|modal|overlay|newsletter|social|share\w*|sharing)$")
 GOOD = re.compile(r"^(?:article\w*|content|main|post\w*|entry|story|text|body|page|blog)$")
+PROSE = 80  # characters of a block that counts as prose
+FINE, MIXED, NOISY, OUT = range(4)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
 
@@ -58,8 +63,9 @@ class Container:
     path: str
     parent: int
     good: bool
+    noise: int = FINE
     score: float = 0.0
-    blocks: list[int] = field(default_factory=list)
+    sums: list[float] = field(default_factory=lambda: [0.0, 0.0, 0.0])  # prose, characters and linked characters in it and below
 
 
 @dataclass
@@ -72,13 +78,34 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[0].lower(): m[1] or m[2] or m[3] for m in _ATTR.findall(raw)} if raw else {}
 
 
-def _noise(attrs: dict[str, str]) -> bool:
+def _hidden(attrs: dict[str, str]) -> bool:
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", ""):
         return True
-    if attrs.get("role") in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu", "form"):
-        return True
-    names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
-    return names != " " and any(NOISE.match(w.lower()) for w in _WORDS.findall(names))
+    return attrs.get("role") in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu", "form")
+
+
+def _names(attrs: dict[str, str]) -> list[list[str]]:
+    """The words of each class and of the id."""
+    names = f"{attrs.get('class', '')} {attrs.get('id', '')}".split()
+    return [w for n in names if (w := [x.lower() for x in _WORDS.findall(n) if not x.isdigit()])]
+
+
+def _noise(attrs: dict[str, str]) -> bool:
+    return _hidden(attrs) or any(NOISE.match(w) for name in _names(attrs) for w in name)
+
+
+def _kind(tag: str, attrs: dict[str, str]) -> int:
+    """FINE; MIXED: kept, without a bonus; NOISY: left out unless it holds most of the page's prose; OUT: left out."""
+    names = _names(attrs)
+    noisy = [name for name in names if any(map(NOISE.match, name))]
+    if not noisy:
+        return FINE
+    whole = [name for name in noisy if all(map(NOISE.match, name))]
+    good = any(any(map(GOOD.match, name)) for name in names if name not in noisy)
+    if not whole and (good or tag in ("article", "main")):
+        return MIXED
+    readers = any(READERS.match(w) for name in (whole if tag in ("article", "main") else noisy) for w in name)
+    return OUT if readers or any(NOTICES.match(w) for name in whole for w in name) else NOISY
 
 
 def _step(tag: str, attrs: dict[str, str]) -> str:
@@ -89,6 +116,7 @@ def parse(html: str) -> Page:
     """The containers and the blocks of a page, noise left out."""
     containers = [Container("", -1, False)]
     blocks: list[tuple[str, int]] = []
+    links_of: list[int] = []  # linked characters of each block
     stack: list[tuple[str, int]] = [("", 0)]  # open block elements with their container; -1: dropped
     run: list[str] = []
     linked = links = 0
@@ -99,12 +127,7 @@ def parse(html: str) -> Page:
         run.clear()
         if text:
             blocks.append((text, at))
-            share = 1 - min(1.0, linked / len(text))
-            value = (min(len(text), 2000) / 100 + text.count(",")) * share if len(text) >= 20 else 0.1 * share
-            box = containers[at]
-            box.score += value
-            if box.parent >= 0:
-                containers[box.parent].score += value / 2
+            links_of.append(min(linked, len(text)))
         linked = 0
 
     def open_box() -> int:
@@ -160,20 +183,57 @@ def parse(html: str) -> Page:
             stack.pop()
         box = stack[-1][1]
         attrs = _attributes(m[3])
-        if box < 0 or tag in DROPPED or tag not in ("html", "body") and _noise(attrs):
+        kind = FINE if tag in ("html", "body") else _kind(tag, attrs)
+        if box < 0 or tag in DROPPED or kind == OUT or tag not in ("html", "body") and _hidden(attrs):
             stack.append((tag, -1))
-        elif tag in LEAVES:
+        elif tag in LEAVES and kind != NOISY:
             stack.append((tag, box))
         else:
             words = _WORDS.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}")
-            good = tag in ("article", "main") or any(GOOD.match(w.lower()) for w in words)
+            good = kind == FINE and (tag in ("article", "main") or any(GOOD.match(w.lower()) for w in words))
             path = containers[box].path
-            containers.append(Container(f"{path}>{_step(tag, attrs)}" if path else _step(tag, attrs), box, good))
+            containers.append(Container(f"{path}>{_step(tag, attrs)}" if path else _step(tag, attrs), box, good, kind))
             stack.append((tag, len(containers) - 1))
     if stack[-1][1] >= 0:
         run.append(unescape(html[at:]))
     if (box := open_box()) >= 0:
         close_block(box)
+    return _scored(containers, blocks, links_of)
+
+
+def _sum_up(containers: list[Container], blocks: list[tuple[str, int]], links_of: list[int]) -> None:
+    for box in containers:
+        box.sums = [0.0, 0.0, 0.0]
+    for (text, at), linked in zip(blocks, links_of, strict=True):
+        own = containers[at].sums
+        own[0] += len(text) - linked if len(text) >= PROSE else 0
+        own[1] += len(text)
+        own[2] += linked
+    for box in reversed(containers):  # parents come first
+        if box.parent >= 0:
+            up = containers[box.parent].sums
+            for k in range(3):
+                up[k] += box.sums[k]
+
+
+def _scored(containers: list[Container], blocks: list[tuple[str, int]], links_of: list[int]) -> Page:
+    """The page without its noise, which is known only when all prose is."""
+    _sum_up(containers, blocks, links_of)
+    if any(c.noise == NOISY for c in containers):
+        half = containers[0].sums[0] / 2
+        out = [False] * len(containers)
+        for i, c in enumerate(containers):
+            out[i] = c.parent >= 0 and out[c.parent] or c.noise == NOISY and c.sums[0] <= half
+        stay = [i for i, (_, at) in enumerate(blocks) if not out[at]]
+        blocks, links_of = [blocks[i] for i in stay], [links_of[i] for i in stay]
+        _sum_up(containers, blocks, links_of)
+    for (text, at), linked in zip(blocks, links_of, strict=True):
+        share = 1 - linked / len(text)
+        value = (min(len(text), 2000) / 100 + text.count(",")) * share if len(text) >= 20 else 0.1 * share
+        box = containers[at]
+        box.score += value
+        if box.parent >= 0:
+            containers[box.parent].score += value / 2
     return Page(containers, blocks)
 
 

@@ -99,6 +99,23 @@ def test_html_main_text(spark):
     assert html_consensus.main_text(df.limit(0)).count() == 0
 
 
+def prose(word):
+    return " ".join(f"{word}{i}, and so on" for i in range(12)) + "."
+
+
+def test_one_noise_word_does_not_drop_the_article():
+    aside = f"<div class='sidebar'><p>{prose('side')}</p></div>"
+    paragraphs = "".join(f"<p>{prose(w)}</p>" for w in ("a", "b", "c"))
+    want = "\n".join(prose(w) for w in ("a", "b", "c"))
+    for start, end in (("<article class='post-12 hentry category-x tag-news'>", "</article>"), ("<div class='content has-sidebar'>", "</div>"),
+                       ("<main id='search-page'>", "</main>"), ("<div class='layout-widget'>", "</div>"), ("<div class='legal'>", "</div>")):
+        assert html_consensus.extract(f"<body>{aside}{start}{paragraphs}{end}</body>", []) == want, start
+        assert html_consensus.extract(f"<body>{start}{paragraphs}{aside}{end}</body>", []) == want, start
+    assert html_consensus.extract(f"<body><div class='ad'>{paragraphs}</div><article><p>Short.</p></article></body>", []) == "Short."
+    readers = f"<div class='comments-area'><article class='comment'><p>{prose('r')}</p></article>{paragraphs}{paragraphs}</div>"
+    assert html_consensus.extract(f"<body><article>{paragraphs}{readers}</article></body>", []) == want
+
+
 @pytest.mark.parametrize("version", [1, 2])
 def test_arc_versions(version):
     blocks = [arc_convert.http_block(i, data) for i, data in enumerate([b"", b"a\r\n\r\nb", b"\n\nWARC/1.1\r\n\r\n" * 3])]
