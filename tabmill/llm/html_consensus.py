@@ -4,7 +4,8 @@ First pass: every page scores its containers by the prose in them (length and co
 votes for its best one, named by its path of tags and classes from ``body``, with numbers generalised (``div.post-17`` votes as
 ``div.post-#``). Votes are counted per host and path in Spark; the paths with at least ``MIN_SHARE`` of a host's votes win.
 Second pass: each page is extracted by its host's winning paths, the one with most votes first that has text on this page; a
-page on which none has falls back to its own best container.
+page on which none has falls back to its own best container. What a page finds best is widened to the containers above while they
+add prose with as few links, so that an article spread over several containers is whole.
 
 Text: blocks of the container in page order, joined by a line break; character references decoded, white space within a block as one
 space. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, hidden elements and reader comments are left out, by
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tabmill.llm.common import Stages
 
-MIN_SHARE = 0.1
+MIN_SHARE, MIN_PART = 0.1, 0.1
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
 _ATTR = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -244,6 +245,32 @@ def best_container(page: Page) -> int:
     return best if scores[best] > 0 else -1
 
 
+def _same_path(page: Page, path: str) -> set[int]:
+    return {i for i, c in enumerate(page.containers) if c.path == path}
+
+
+def _above(page: Page, i: int) -> list[int]:
+    out = []
+    while (i := page.containers[i].parent) >= 0:
+        out.append(i)
+    return out
+
+
+def widened(page: Page, chosen: set[int]) -> set[int]:
+    """``chosen``, or the container above that adds prose to it: ``MIN_PART`` of what is chosen at least, most of what it adds,
+    and with a share of links like that of what is chosen."""
+    boxes = page.containers
+    outer = {i for i in chosen if not chosen.intersection(_above(page, i))}
+    held = [sum(boxes[i].sums[k] for i in outer) for k in range(3)]
+    for up in _above(page, min(outer)):
+        if not all(up in _above(page, i) for i in outer) or not boxes[up].path:
+            continue
+        prose, chars, linked = (boxes[up].sums[k] - held[k] for k in range(3))
+        if prose > 0 and prose >= MIN_PART * held[0] and 2 * prose >= chars and linked / chars <= held[2] / max(1, held[1]) + 0.1:
+            chosen, outer, held = {up}, {up}, list(boxes[up].sums)
+    return chosen
+
+
 def text_of(page: Page, chosen: set[int]) -> str:
     """Blocks in the chosen containers or below them, in page order."""
     inside = [False] * len(page.containers)
@@ -252,14 +279,24 @@ def text_of(page: Page, chosen: set[int]) -> str:
     return "\n".join(text for text, box in page.blocks if inside[box])
 
 
+def own_choice(page: Page) -> set[int]:
+    """The page's best container, with those of its path when it is widened; empty if the page has no text."""
+    best = best_container(page)
+    if best < 0:
+        return set()
+    wide = widened(page, _same_path(page, page.containers[best].path))
+    return {best} if best in wide else wide
+
+
 def extract(html: str | None, paths: list[str]) -> str:
     page = parse(html or "")
-    for path in paths:
-        text = text_of(page, {i for i, c in enumerate(page.containers) if c.path == path})
-        if text:
-            return text
     best = best_container(page)
-    return text_of(page, {best}) if best >= 0 else ""
+    for path in paths:
+        chosen = _same_path(page, path)
+        text = text_of(page, chosen)
+        if text:  # widened only where the page itself finds its text
+            return text_of(page, widened(page, chosen)) if best in chosen else text
+    return text_of(page, own_choice(page))
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,7 +304,7 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hosts, paths, scores = [], [], []
         for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             page = parse(html or "")
-            best = best_container(page)
+            best = min(own_choice(page), default=-1)
             if best >= 0 and page.containers[best].path:
                 hosts.append(host)
                 paths.append(page.containers[best].path)

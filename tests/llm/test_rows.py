@@ -116,6 +116,19 @@ def test_one_noise_word_does_not_drop_the_article():
     assert html_consensus.extract(f"<body><article>{paragraphs}{readers}</article></body>", []) == want
 
 
+def test_split_article_is_whole(spark):
+    lead, rest = "".join(f"<p>{prose(f'l{i}x')}</p>" for i in range(7)), "".join(f"<p>{prose(f'r{i}x')}</p>" for i in range(3))
+    links = "".join(f"<a href='#'>another page of this site number {i}</a> " for i in range(12))
+    want = "\n".join(prose(f"{c}{i}x") for c, n in (("l", 7), ("r", 3)) for i in range(n))
+    page = f"<body><div class='w'><div class='lead'>{lead}</div><div class='rest'>{rest}</div></div><div class='m'><p>{links}</p></div></body>"
+    deep = f"<body><div class='w'><div><div class='lead'>{lead}</div></div><div><div class='rest'>{rest}</div></div></div><div class='m'><p>{links}</p></div></body>"
+    alone = f"<body><div class='w'><div class='lead'>{lead}</div></div></body>"
+    assert html_consensus.extract(page, []) == want and html_consensus.extract(deep, []) == want
+    df = spark.createDataFrame([(i, "http://h/", page if i < 2 else alone) for i in range(6)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_consensus.main_text(df).collect()}
+    assert got[0] == got[1] == want and {got[i] for i in range(2, 6)} == {want[:want.index("r0x") - 1]}
+
+
 @pytest.mark.parametrize("version", [1, 2])
 def test_arc_versions(version):
     blocks = [arc_convert.http_block(i, data) for i, data in enumerate([b"", b"a\r\n\r\nb", b"\n\nWARC/1.1\r\n\r\n" * 3])]
