@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabmill.llm import line_frequency as lf
-from tabmill.llm import arc_convert, bpe_bitmap, html_consensus, line_runs, mix_hierarchy, prefix_forest, token_counts
+from tabmill.llm import (arc_convert, bpe_bitmap, conversation_repair, html_consensus, line_runs, mix_hierarchy, prefix_forest, token_counts,
+                         whitening, window_dedup)
 from tabmill.llm import chat_parts as cp
 from tabmill.llm import minhash_icws as mh
 from tabmill.llm.common import read
@@ -192,3 +193,92 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_prefix_forest")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_forest.neighbours(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op11_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """``conversations`` with the contract's damage, by a checksum of conversation and turn."""
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    kind = F.crc32(key.cast("binary")) % 20
+    rows = rows.select("conv_id", "turn", *[F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")], kind.alias("kind")).where("kind <> 0")
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    rows = rows.select("conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+                       F.explode(F.when(F.col("kind") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"))
+    return rows.drop("copy")
+
+
+def _repair_sql() -> str:
+    ws = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    add = lambda x, k, e: f"lpad((left({x}, 12)::bigint + {k})::varchar, 12, '0') || substr({x}, 13) || {e}"
+    pick = lambda own: (f"(case when l = upper(l) then {conversation_repair.TRUNCATED} else 0 end + case when lower(l) = '{own}' then 0 else {conversation_repair.RETYPE} end)",
+                        f"case when lower(l) = '{own}' then 'K' else 'R' end")
+    never = "'900000000000'"
+    step = {c: f"least({add(c, conversation_repair.DELETE, chr(39) + 'D' + chr(39))}, {e})" for c, e in {
+        "z": never, "s": f"case when lower(l) = 's' then {add('z', pick('s')[0], chr(39) + 'K' + chr(39))} else {never} end",
+        "u": f"case when l = 'd' then {never} else {add('least(z, s, a)', *pick('u'))} end",
+        "a": f"case when l = 'd' then {never} else {add('u', *pick('a'))} end"}.items()}
+    one = lambda x: add(x, conversation_repair.INSERT, "'I'")
+    close = f"z, s, least(u, {one('z')}, {one('s')}, {one('a')}) u, a"
+    close = f"select conv_id, n, z, s, u, least(a, {one('u')}) a from (select conv_id, n, {close} from "
+    return rf"""
+with recursive o as (select *, coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as k from conversations),
+crct as (select list_transform(range(0, 256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+  lambda c, z: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end)) t),
+m as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, xor(4294967295, list_reduce(list_concat([4294967295],
+  list_transform(string_split(k, ''), lambda x: ascii(x)::bigint)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 20 as kind from o, crct),
+dm as (select conv_id, turn, case when kind = 4 then 'user' else role end as role, case when kind = 1 then '' when kind = 2 then
+  regexp_replace(text, '[.!?]', '', 'g') else text end as text, unnest(case when kind = 3 then [1, 2] else [1] end) as copy from m where kind <> 0),
+f as (select *, rtrim(text, {ws}) as body, row_number() over (partition by conv_id, role, text order by turn nulls first, copy) as seen,
+  row_number() over w as n, lag(role) over w as before from dm window w as (partition by conv_id order by turn nulls first, role, md5(text), copy)),
+g as (select *, case when body = '' then 'blank' when seen > 1 then 'duplicate' when right(body, 1) not in ('.', '!', '?') then 'truncated' end as fault,
+  case when left(role, 1) in ('s', 'u', 'a') then left(role, 1) else 'x' end as i from f),
+r as (select *, case when fault in ('blank', 'duplicate') then 'd' when fault = 'truncated' then upper(i) else i end as l from g),
+dp as ({close} (select distinct conv_id, 0::bigint n, lpad('', 12, '0') z, {never} s, {never} u, {never} a from conversations))
+  union all {close} (select dp.conv_id, r.n, {', '.join(f'{e} {c}' for c, e in step.items())} from dp join r on r.conv_id is not distinct from dp.conv_id and r.n = dp.n + 1))),
+best as (select conv_id, left(x, 12)::bigint as cost, substr(x, 13) as audit from (select conv_id, least(arg_max(z, n), arg_max(a, n)) x from dp group by conv_id)),
+e as (select conv_id, p, substr(audit, p, 1) as e, length(regexp_replace(left(audit, p), 'I', '', 'g')) as n from
+  (select conv_id, audit, unnest(range(1, length(audit) + 1)) p from best)),
+kept as (select e.*, role, text, e = 'K' and left(role, 1) = 's' as sys from e left join r on r.conv_id is not distinct from e.conv_id and r.n = e.n and e <> 'I' where e <> 'D'),
+seq as (select *, count(*) filter (where not sys) over (partition by conv_id order by p) as m from kept),
+rep as (select conv_id, string_agg(case when e = 'K' then role when m % 2 = 1 then 'user' else 'assistant' end || ':' || case when e = 'I' then '' else text end, chr(10) order by p) as t
+  from seq group by conv_id),
+c as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps, count(*) filter (where fault = 'blank') blank, count(*) filter (where fault = 'duplicate') duplicate,
+  count(*) filter (where fault = 'truncated') truncated, count(*) filter (where before is not null and left(before, 1) || left(role, 1) not in ('su', 'ua', 'au')) illegal from r group by conv_id)
+select best.conv_id, coalesce(gaps, 0)::bigint gaps, coalesce(blank, 0)::bigint blank, coalesce(duplicate, 0)::bigint duplicate, coalesce(truncated, 0)::bigint truncated,
+  coalesce(illegal, 0)::bigint illegal, cost, audit, sha256(coalesce(t, '')) repaired_sha256
+from best left join c on c.conv_id is not distinct from best.conv_id left join rep on rep.conv_id is not distinct from best.conv_id
+"""
+
+
+@query("op12_conversation_repair", _repair_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    report, _, digests = conversation_repair.repair(damaged(rows))
+    all_ids = rows.select(F.col("conv_id").alias("id")).distinct()
+    found = report.join(digests.withColumnRenamed("conv_id", "of"), F.col("conv_id").eqNullSafe(F.col("of")))
+    out = all_ids.join(found, F.col("id").eqNullSafe(F.col("conv_id")), "left")
+    zero = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select(F.col("id").alias("conv_id"), *zero, F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+OP13_SQL = rf"""
+with d as (select row_number() over () rid, doc_id, list_filter(string_split_regex(coalesce(text, ''), '{WS_SQL}'), lambda x: x <> '') w from documents),
+win as (select rid, doc_id, i, list_aggregate(list_slice(w, i, i + {window_dedup.WIDTH - 1}), 'string_agg', ' ') g
+  from (select rid, doc_id, w, unnest(range(1, len(w) - {window_dedup.WIDTH - 2})) i from d where len(w) >= {window_dedup.WIDTH})),
+first as (select g, min(doc_id) least_id from win group by g),
+gone as (select distinct rid, unnest(range(i, i + {window_dedup.WIDTH})) p from win join first using (g) where doc_id > least_id),
+word as (select rid, unnest(w) x, generate_subscripts(w, 1) p from d),
+kept as (select rid, count(*) n, string_agg(x, ' ' order by p) t from word anti join gone using (rid, p) group by rid)
+select doc_id, len(w)::bigint n_words, (len(w) - coalesce(n, 0))::bigint n_removed, sha256(coalesce(t, '')) kept_sha256 from d left join kept using (rid)
+"""
+
+
+@query("op13_window_dedup", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = window_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
