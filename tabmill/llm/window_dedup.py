@@ -8,11 +8,12 @@ So a window that a third of all documents hold reaches the shuffle once a piece.
 the hash; a bucket names the windows that also start in a document with a smaller doc_id, and these go back to their
 documents, where overlapping windows merge into maximal intervals of removed words.
 
-Two different windows are taken for one if 64 bits of the first hash, 16 of the second and their bucket (at least six
-more bits, one more with every doubling of the input) agree: one chance in 10^4 over all pairs of 30 GB of text.
+Whether a window is a repeat depends on its words and its doc_id alone, so only hashes and ids are shuffled, about eleven
+bytes a window. Two different windows are taken for one if 64 bits of the first hash, eight of the second and their bucket
+(some ten more bits, one more with every doubling of the input) agree: one chance in 10^5 over all pairs of 30 GB of text.
 
 Defined results: a null text has no words. A document with a null doc_id removes nothing and keeps all its words. Rows
-with one doc_id are judged apart and do not remove each other's words. Texts shorter than a window are kept. Other columns
+with one doc_id do not remove each other's words. Texts shorter than a window are kept. Other columns
 are not read, whatever their names. An empty table gives an empty result."""
 
 from __future__ import annotations
@@ -139,28 +140,41 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _pack(ids: np.ndarray, keys: np.ndarray, owner: np.ndarray, *columns: np.ndarray) -> bytes:
-    """Entries in the order of their documents (``owner``: row of ``ids`` and ``keys``), as one value."""
-    begin = _runs(owner)
-    docs, counts = owner[begin], np.diff(np.append(begin, len(owner)))
-    head = np.array([len(docs), len(owner)], np.uint32)
-    parts = [head, np.diff(ids[docs], prepend=0), keys[docs], counts.astype(np.uint32), *columns]
-    return b"".join(p.tobytes() for p in parts)
+def _small(values: np.ndarray) -> list[bytes]:
+    """Whole numbers from 0 in as few bytes each as the largest needs, after their count and width."""
+    width = next((w for w in (1, 2, 4) if int(values.max(initial=0)) < 1 << 8 * w), 8)
+    return [np.array([len(values), width], np.uint32).tobytes(), values.astype(f"<u{width}").tobytes()]
 
 
-def _unpack(blob: bytes, *types) -> tuple[np.ndarray, ...]:
-    """(ids, keys) of every entry, and its columns."""
-    docs, n = np.frombuffer(blob, np.uint32, 2).astype(int)
-    out, at = [], 8
-    for t, m in [(np.int64, docs), (np.int32, docs), (np.uint32, docs), *[(t, n) for t in types]]:
-        out.append(np.frombuffer(blob, t, m, at))
-        at += out[-1].nbytes
-    ids, keys, counts = np.cumsum(out[0]), out[1], out[2]
-    return np.repeat(ids, counts), np.repeat(keys, counts), *out[3:]
+def _take_small(blob: bytes, at: int) -> tuple[np.ndarray, int]:
+    n, width = np.frombuffer(blob, np.uint32, 2, at).tolist()
+    return np.frombuffer(blob, f"<u{width}", n, at + 8).astype(np.int64), at + 8 + n * width
+
+
+def _pack_hashes(ids: np.ndarray, h: np.ndarray, g: np.ndarray) -> bytes:
+    """Hashes in the order of their documents' ids, as one value: ids by difference, entries of each, hashes."""
+    begin = _runs(ids)
+    gaps = np.diff(ids[begin].astype(np.uint64), prepend=ids[:1].astype(np.uint64))
+    return b"".join([ids[:1].astype(np.int64).tobytes(), *_small(gaps), *_small(np.diff(np.append(begin, len(ids)))), h.tobytes(), g.tobytes()])
+
+
+def _unpack_hashes(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    gaps, at = _take_small(blob, 8)
+    counts, at = _take_small(blob, at)
+    n = int(counts.sum())
+    ids = np.frombuffer(blob, np.int64, 1) + np.cumsum(gaps)
+    return np.repeat(ids, counts), np.frombuffer(blob, np.uint64, n, at), np.frombuffer(blob, np.uint8, n, at + 8 * n)
+
+
+def _binary(data: np.ndarray, begin: np.ndarray) -> pa.Array:
+    """``data`` cut at ``begin``, one binary value each."""
+    ends = np.append(begin, len(data)) * data.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(ends.astype(np.int64).tobytes()), pa.py_buffer(data.tobytes())]).cast(pa.binary())
 
 
 def _entries(width: int, buckets: int):
-    """Of every piece: windows to be judged by hash bucket, and (bucket -1 and below) those already known as repeats."""
+    """Of every piece: the hashes to be judged, by bucket; and under a bucket below 0, as (doc_id, k, first and end word
+    numbers of runs of windows), those that the piece itself shows to be repeats."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids_all = batch.column("doc_id").to_numpy(zero_copy_only=False)
@@ -168,48 +182,52 @@ def _entries(width: int, buckets: int):
             for row, end, piece in _pieces(batch, width, PIECE_BYTES):
                 if not len(piece.h):
                     continue
-                ids, keys = ids_all[row:end], keys_all[row:end]
-                order = np.lexsort((piece.first, piece.doc, ids[piece.doc], piece.g, piece.h))
-                h, g, doc = piece.h[order], piece.g[order], piece.doc[order]
-                once = _runs(h, g, doc)  # a text's own repeats are found again when its words are cut
-                order, h, g, doc = order[once], h[once], g[once], doc[once]
-                begin = _runs(h, g)
-                least = np.repeat(ids[doc[begin]], np.diff(np.append(begin, len(h))))
-                later = ids[doc] > least
+                keys, g = keys_all[row:end], (piece.g & np.uint64(255)).astype(np.uint8)
+                bucket = ((piece.g >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+                order = np.lexsort((ids_all[row:end][piece.doc], piece.g, piece.h))
+                ids = ids_all[row:end][piece.doc[order]]
+                begin = _runs(piece.h[order], piece.g[order])
+                least = np.repeat(ids[begin], np.diff(np.append(begin, len(order))))
+                once = np.zeros(len(order), bool)
+                once[begin] = True  # a text's own repeats are found again when its words are cut
                 out = []
-                for known in (False, True):
-                    pick = order[later] if known else order[~later]
-                    bucket = (-1 - piece.doc[pick] % buckets if known else ((piece.g[pick] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64))
-                    sort = np.lexsort((piece.first[pick], piece.doc[pick], bucket))
-                    pick, bucket = pick[sort], bucket[sort]
-                    first = piece.first[pick].astype(np.uint32)
-                    cols = [first] if known else [piece.h[pick], piece.g[pick].astype(np.uint16), first]
-                    cut = _runs(bucket)
-                    for a, b in zip(cut, np.append(cut[1:], len(pick))):
-                        out.append((int(bucket[a]), _pack(ids, keys, piece.doc[pick[a:b]], *[c[a:b] for c in cols])))
+                pick = order[once]
+                pick_ids = ids_all[row:end][piece.doc[pick]]
+                sort = np.lexsort((pick_ids, bucket[pick]))
+                pick, pick_ids = pick[sort], pick_ids[sort]
+                cut = _runs(bucket[pick])
+                for a, b in zip(cut, np.append(cut[1:], len(pick))):
+                    out.append((int(bucket[pick[a]]), _pack_hashes(pick_ids[a:b], piece.h[pick[a:b]], g[pick[a:b]])))
+                known = np.sort(order[ids > least])  # windows are in the order of their texts and words
+                if len(known):
+                    doc, first = piece.doc[known], piece.first[known]
+                    new = np.flatnonzero(np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(first) != 1)]))
+                    last = np.append(new[1:], len(known)) - 1
+                    table = np.stack([ids_all[row:end][doc[new]], keys[doc[new]], first[new], first[last] + 1], 1).astype(np.int64)
+                    out.append((-1 - int(pick_ids[0]) % buckets, table.tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], ["bucket", "part"])
     return run
 
 
 def _judge(table: pa.Table) -> pa.Table:
-    """The repeats of one bucket, by document: (doc_id, k, first word numbers)."""
-    known = table.column("bucket")[0].as_py() < 0 if table.num_rows else True
-    types = [np.uint32] if known else [np.uint64, np.uint16, np.uint32]
-    cols = [np.concatenate(c) for c in zip(*[_unpack(v.as_buffer(), *types) for v in table.column("part").combine_chunks()])]
-    if not known:
-        ids, keys, h, g, first = cols
+    """The repeats of one bucket, by document: hashes (k null), or runs of windows of the text with hash k."""
+    parts = [v.as_buffer() for v in table.column("part").combine_chunks()]
+    if table.column("bucket")[0].as_py() < 0:
+        runs = np.concatenate([np.frombuffer(p, np.int64).reshape(-1, 4) for p in parts])
+        runs = runs[np.lexsort((runs[:, 2], runs[:, 1], runs[:, 0]))]
+        begin = _runs(runs[:, 0], runs[:, 1])
+        ids, keys = runs[begin, 0], pa.array(runs[begin, 1].astype(np.int32))
+        marks = _binary(np.ascontiguousarray(runs[:, 2:].astype("<u4")).view("<u8").ravel(), begin)
+    else:
+        ids, h, g = (np.concatenate(c) for c in zip(*[_unpack_hashes(p) for p in parts]))
         order = np.lexsort((g, h))
         begin = _runs(h[order], g[order])
         least = np.repeat(np.minimum.reduceat(ids[order], begin), np.diff(np.append(begin, len(h))))
         pick = order[ids[order] > least]
-        cols = [ids[pick], keys[pick], first[pick]]
-    ids, keys, first = cols
-    order = np.lexsort((first, keys, ids))
-    ids, keys, first = ids[order], keys[order], first[order]
-    begin = _runs(ids, keys)
-    ends = (np.append(begin, len(first)) * 4).astype(np.int32)
-    starts = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(first.astype("<u4").tobytes())])
-    return pa.table({"doc_id": pa.array(ids[begin], pa.int64()), "k": pa.array(keys[begin], pa.int32()), "starts": starts})
+        pick = pick[np.lexsort((h[pick], ids[pick]))]
+        begin = _runs(ids[pick])
+        ids, keys, marks = ids[pick][begin], pa.nulls(len(begin), pa.int32()), _binary(h[pick], begin)
+    return pa.table({"doc_id": pa.array(ids, pa.int64()), "k": keys, "marks": marks})
 
 
 def _intervals(covered: np.ndarray) -> list[dict]:
@@ -221,16 +239,18 @@ def _cut(width: int):
     """Every text without the words of its repeats. All windows of a text with the hash of a repeat are repeats."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks, words_of, spans, kept = batch.column("marks"), [], [], []
+            own, words_of, spans, kept = batch.column("k").to_pylist(), [], [], []
             for row, end, piece in _pieces(batch, width, PIECE_BYTES):
                 bounds = np.searchsorted(piece.doc, np.arange(end - row + 1))
                 for i in range(row, end):
-                    text, n = batch.column("text")[i].as_py() or "", int(piece.words[i - row])
-                    words, gone = text.encode().split(), []
-                    if marks[i].is_valid:
+                    text, n = batch.column("text")[i].as_py(), int(piece.words[i - row])
+                    words, gone, marks = text.encode().split(), [], batch.column("marks")[i].as_py()
+                    if marks:
                         h = piece.h[bounds[i - row]:bounds[i - row + 1]]
-                        first = np.frombuffer(b"".join(marks[i].as_py()), np.uint32)
-                        begin = np.flatnonzero(np.isin(h, h[first]))
+                        runs = [np.frombuffer(m["marks"], np.uint32).reshape(-1, 2) for m in marks if m["k"] == own[i]]
+                        known = [h[a:b] for r in runs for a, b in r.tolist()]
+                        repeats = np.concatenate([np.frombuffer(b"".join(m["marks"] for m in marks if m["k"] is None), np.uint64), *known])
+                        begin = np.flatnonzero(np.isin(h, repeats))
                         change = np.bincount(begin, minlength=n + 1) - np.bincount(begin + width, minlength=n + 1)
                         covered = np.cumsum(change)[:n] > 0
                         gone, words = _intervals(covered), compress(words, (~covered).tolist())
@@ -246,14 +266,14 @@ def _cut(width: int):
 
 
 def repeats(texts: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(doc_id, k, marks): per text with repeated windows the first word numbers of these, as packed 32-bit numbers."""
+    """(doc_id, marks) of the documents with repeated windows: their hashes, or runs of windows of the text with hash k."""
     texts = texts.where("doc_id is not null and text <> ''")
     spark = texts.sparkSession
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(size // BUCKET_BYTES, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     parts = texts.mapInArrow(_entries(width, buckets), "bucket long, part binary")
-    found = parts.groupBy("bucket").applyInArrow(_judge, "doc_id long, k int, starts binary")
-    return found.groupBy("doc_id", "k").agg(F.collect_list("starts").alias("marks"))
+    found = parts.groupBy("bucket").applyInArrow(_judge, "doc_id long, k int, marks binary")
+    return found.groupBy("doc_id").agg(F.collect_list(F.struct("k", "marks")).alias("marks"))
 
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -261,6 +281,6 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     kept, the words left joined by one space."""
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.withColumn("k", F.hash("text"))
-    joined = texts.join(repeats(texts, width).hint("merge"), ["doc_id", "k"], "left")
-    return joined.select("doc_id", "text", "marks").mapInArrow(
+    joined = texts.join(repeats(texts, width).hint("merge"), "doc_id", "left")
+    return joined.select("doc_id", "text", "k", "marks").mapInArrow(
         _cut(width), "doc_id long, n_words long, n_removed long, removed array<struct<start:int,end:int>>, kept string")
