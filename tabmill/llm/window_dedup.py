@@ -6,7 +6,7 @@ the cost of a window does not depend on its width. A task counts the windows of
 several documents of the piece all but the one of the smallest doc_id are repeats already, and only that one is sent on.
 So a window that a third of all documents hold reaches the shuffle once a piece. The rest is counted in Spark by bucket of
 the hash; a bucket names the windows that also start in a document with a smaller doc_id, and these go back to their
-documents, where overlapping windows merge into maximal intervals of removed words.
+documents (a row per bucket and group of documents), where overlapping windows merge into maximal intervals of removed words.
 
 Whether a window is a repeat depends on its words and its doc_id alone, so only hashes and ids are shuffled, about eleven
 bytes a window. Two different windows are taken for one if 64 bits of the first hash, eight of the second and their bucket
@@ -163,7 +163,7 @@ def _unpack_hashes(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     counts, at = _take_small(blob, at)
     n = int(counts.sum())
     ids = np.frombuffer(blob, np.int64, 1) + np.cumsum(gaps)
-    return np.repeat(ids, counts), np.frombuffer(blob, np.uint64, n, at), np.frombuffer(blob, np.uint8, n, at + 8 * n)
+    return np.repeat(ids, counts), np.frombuffer(blob, np.uint64, n, at), np.frombuffer(blob, np.uint8)[at + 8 * n:]
 
 
 def _binary(data: np.ndarray, begin: np.ndarray) -> pa.Array:
@@ -209,25 +209,48 @@ def _entries(width: int, buckets: int):
     return run
 
 
-def _judge(table: pa.Table) -> pa.Table:
-    """The repeats of one bucket, by document: hashes (k null), or runs of windows of the text with hash k."""
-    parts = [v.as_buffer() for v in table.column("part").combine_chunks()]
-    if table.column("bucket")[0].as_py() < 0:
-        runs = np.concatenate([np.frombuffer(p, np.int64).reshape(-1, 4) for p in parts])
-        runs = runs[np.lexsort((runs[:, 2], runs[:, 1], runs[:, 0]))]
-        begin = _runs(runs[:, 0], runs[:, 1])
-        ids, keys = runs[begin, 0], pa.array(runs[begin, 1].astype(np.int32))
-        marks = _binary(np.ascontiguousarray(runs[:, 2:].astype("<u4")).view("<u8").ravel(), begin)
-    else:
-        ids, h, g = (np.concatenate(c) for c in zip(*[_unpack_hashes(p) for p in parts]))
-        order = np.lexsort((g, h))
-        begin = _runs(h[order], g[order])
-        least = np.repeat(np.minimum.reduceat(ids[order], begin), np.diff(np.append(begin, len(h))))
-        pick = order[ids[order] > least]
-        pick = pick[np.lexsort((h[pick], ids[pick]))]
-        begin = _runs(ids[pick])
-        ids, keys, marks = ids[pick][begin], pa.nulls(len(begin), pa.int32()), _binary(h[pick], begin)
-    return pa.table({"doc_id": pa.array(ids, pa.int64()), "k": keys, "marks": marks})
+def _target(ids: np.ndarray, targets: int) -> np.ndarray:
+    """Which group of documents an id belongs to."""
+    return (_mix(ids.astype(np.uint64)) % np.uint64(targets)).astype(np.int64)
+
+
+def _judge(targets: int):
+    """The repeats of one bucket by group of documents: hashes, or (``known``) runs of windows."""
+    def run(table: pa.Table) -> pa.Table:
+        parts = [v.as_buffer() for v in table.column("part").combine_chunks()]
+        known = table.column("bucket")[0].as_py() < 0
+        if known:
+            found = np.concatenate([np.frombuffer(p, np.int64).reshape(-1, 4) for p in parts])
+            ids = found[:, 0]
+        else:
+            ids, h, g = (np.concatenate(c) for c in zip(*[_unpack_hashes(p) for p in parts]))
+            order = np.lexsort((g, h))
+            begin = _runs(h[order], g[order])
+            least = np.repeat(np.minimum.reduceat(ids[order], begin), np.diff(np.append(begin, len(h))))
+            pick = order[ids[order] > least]
+            ids, h, g = ids[pick], h[pick], g[pick]
+        target = _target(ids, targets)
+        order = np.lexsort((ids, target))
+        begin = _runs(target[order])
+        pack = (lambda i: found[i].tobytes()) if known else (lambda i: _pack_hashes(ids[i], h[i], g[i][:0]))
+        cuts = np.split(order, begin[1:]) if len(order) else []
+        return pa.table({"target": pa.array(target[order][begin], pa.int64()), "known": pa.array([known] * len(begin), pa.bool_()),
+                         "part": pa.array([pack(c) for c in cuts], pa.binary())})
+    return run
+
+
+def _merge(table: pa.Table) -> pa.Table:
+    """The marks of a group of documents, one row each: hashes (64 bits each), and runs as (k, first, end) of 64 bits each."""
+    parts = {True: [], False: []}
+    for known, part in zip(table.column("known").to_pylist(), table.column("part").combine_chunks()):
+        parts[known].append(part.as_buffer())
+    runs = np.concatenate([np.zeros((0, 4), np.int64), *[np.frombuffer(p, np.int64).reshape(-1, 4) for p in parts[True]]])
+    pairs = [_unpack_hashes(p)[:2] for p in parts[False]]
+    ids, h = (np.concatenate([np.zeros(0, t), *c]) for t, c in zip((np.int64, np.uint64), zip(*pairs) if pairs else ([], [])))
+    by_id, by_run = np.argsort(ids, kind="stable"), np.argsort(runs[:, 0], kind="stable")
+    docs = np.unique(np.concatenate([ids, runs[:, 0]]))
+    return pa.table({"doc_id": pa.array(docs, pa.int64()), "hashes": _binary(h[by_id], np.searchsorted(ids[by_id], docs)),
+                     "runs": _binary(np.ascontiguousarray(runs[by_run, 1:]).view("V24").ravel(), np.searchsorted(runs[by_run, 0], docs))})
 
 
 def _intervals(covered: np.ndarray) -> list[dict]:
@@ -244,12 +267,12 @@ def _cut(width: int):
                 bounds = np.searchsorted(piece.doc, np.arange(end - row + 1))
                 for i in range(row, end):
                     text, n = batch.column("text")[i].as_py(), int(piece.words[i - row])
-                    words, gone, marks = text.encode().split(), [], batch.column("marks")[i].as_py()
-                    if marks:
+                    words, gone = text.encode().split(), []
+                    if batch.column("hashes")[i].is_valid:
                         h = piece.h[bounds[i - row]:bounds[i - row + 1]]
-                        runs = [np.frombuffer(m["marks"], np.uint32).reshape(-1, 2) for m in marks if m["k"] == own[i]]
-                        known = [h[a:b] for r in runs for a, b in r.tolist()]
-                        repeats = np.concatenate([np.frombuffer(b"".join(m["marks"] for m in marks if m["k"] is None), np.uint64), *known])
+                        runs = np.frombuffer(batch.column("runs")[i].as_py(), np.int64).reshape(-1, 3)
+                        known = [h[a:b] for k, a, b in runs.tolist() if k == own[i]]
+                        repeats = np.concatenate([np.frombuffer(batch.column("hashes")[i].as_py(), np.uint64), *known])
                         begin = np.flatnonzero(np.isin(h, repeats))
                         change = np.bincount(begin, minlength=n + 1) - np.bincount(begin + width, minlength=n + 1)
                         covered = np.cumsum(change)[:n] > 0
@@ -266,14 +289,15 @@ def _cut(width: int):
 
 
 def repeats(texts: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(doc_id, marks) of the documents with repeated windows: their hashes, or runs of windows of the text with hash k."""
+    """(doc_id, hashes, runs) of the documents with repeated windows, one row each: hashes of windows, and runs of windows
+    (k, first, end) of the text with hash k."""
     texts = texts.where("doc_id is not null and text <> ''")
-    spark = texts.sparkSession
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(size // BUCKET_BYTES, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets, targets = max(size // BUCKET_BYTES, 2 * partitions), max(size // (8 * BUCKET_BYTES), partitions)
     parts = texts.mapInArrow(_entries(width, buckets), "bucket long, part binary")
-    found = parts.groupBy("bucket").applyInArrow(_judge, "doc_id long, k int, marks binary")
-    return found.groupBy("doc_id").agg(F.collect_list(F.struct("k", "marks")).alias("marks"))
+    found = parts.groupBy("bucket").applyInArrow(_judge(targets), "target long, known boolean, part binary")
+    return found.groupBy("target").applyInArrow(_merge, "doc_id long, hashes binary, runs binary")
 
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -282,5 +306,5 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.withColumn("k", F.hash("text"))
     joined = texts.join(repeats(texts, width).hint("merge"), "doc_id", "left")
-    return joined.select("doc_id", "text", "k", "marks").mapInArrow(
+    return joined.select("doc_id", "text", "k", "hashes", "runs").mapInArrow(
         _cut(width), "doc_id long, n_words long, n_removed long, removed array<struct<start:int,end:int>>, kept string")
