@@ -8,9 +8,10 @@ So a window that a third of all documents hold reaches the shuffle once a piece.
 the hash; a bucket names the windows that also start in a document with a smaller doc_id, and these go back to their
 documents (a row per bucket and group of documents), where overlapping windows merge into maximal intervals of removed words.
 
-Whether a window is a repeat depends on its words and its doc_id alone, so only hashes and ids are shuffled, about eleven
-bytes a window. Two different windows are taken for one if 64 bits of the first hash, eight of the second and their bucket
-(some ten more bits, one more with every doubling of the input) agree: one chance in 10^5 over all pairs of 30 GB of text.
+Whether a window is a repeat depends on its words and its doc_id alone, so only hashes and ids are shuffled, about ten
+bytes a window. Two different windows are taken for one if the 64 bits of the first hash and the bucket, which the second
+hash gives (some ten bits, one more with every doubling of the input), agree: one chance in 2,000 that any two of all the
+windows of 30 GB of text do.
 
 Defined results: a null text has no words. A document with a null doc_id removes nothing and keeps all its words. Rows
 with one doc_id do not remove each other's words. Texts shorter than a window are kept. Other columns
@@ -151,19 +152,18 @@ def _take_small(blob: bytes, at: int) -> tuple[np.ndarray, int]:
     return np.frombuffer(blob, f"<u{width}", n, at + 8).astype(np.int64), at + 8 + n * width
 
 
-def _pack_hashes(ids: np.ndarray, h: np.ndarray, g: np.ndarray) -> bytes:
+def _pack_hashes(ids: np.ndarray, h: np.ndarray) -> bytes:
     """Hashes in the order of their documents' ids, as one value: ids by difference, entries of each, hashes."""
     begin = _runs(ids)
     gaps = np.diff(ids[begin].astype(np.uint64), prepend=ids[:1].astype(np.uint64))
-    return b"".join([ids[:1].astype(np.int64).tobytes(), *_small(gaps), *_small(np.diff(np.append(begin, len(ids)))), h.tobytes(), g.tobytes()])
+    return b"".join([ids[:1].astype(np.int64).tobytes(), *_small(gaps), *_small(np.diff(np.append(begin, len(ids)))), h.tobytes()])
 
 
-def _unpack_hashes(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpack_hashes(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     gaps, at = _take_small(blob, 8)
     counts, at = _take_small(blob, at)
-    n = int(counts.sum())
     ids = np.frombuffer(blob, np.int64, 1) + np.cumsum(gaps)
-    return np.repeat(ids, counts), np.frombuffer(blob, np.uint64, n, at), np.frombuffer(blob, np.uint8)[at + 8 * n:]
+    return np.repeat(ids, counts), np.frombuffer(blob, np.uint64, int(counts.sum()), at)
 
 
 def _binary(data: np.ndarray, begin: np.ndarray) -> pa.Array:
@@ -182,11 +182,11 @@ def _entries(width: int, buckets: int):
             for row, end, piece in _pieces(batch, width, PIECE_BYTES):
                 if not len(piece.h):
                     continue
-                keys, g = keys_all[row:end], (piece.g & np.uint64(255)).astype(np.uint8)
+                keys = keys_all[row:end]
                 bucket = ((piece.g >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-                order = np.lexsort((ids_all[row:end][piece.doc], piece.g, piece.h))
+                order = np.lexsort((ids_all[row:end][piece.doc], bucket, piece.h))
                 ids = ids_all[row:end][piece.doc[order]]
-                begin = _runs(piece.h[order], piece.g[order])
+                begin = _runs(piece.h[order], bucket[order])
                 least = np.repeat(ids[begin], np.diff(np.append(begin, len(order))))
                 once = np.zeros(len(order), bool)
                 once[begin] = True  # a text's own repeats are found again when its words are cut
@@ -197,7 +197,7 @@ def _entries(width: int, buckets: int):
                 pick, pick_ids = pick[sort], pick_ids[sort]
                 cut = _runs(bucket[pick])
                 for a, b in zip(cut, np.append(cut[1:], len(pick))):
-                    out.append((int(bucket[pick[a]]), _pack_hashes(pick_ids[a:b], piece.h[pick[a:b]], g[pick[a:b]])))
+                    out.append((int(bucket[pick[a]]), _pack_hashes(pick_ids[a:b], piece.h[pick[a:b]])))
                 known = np.sort(order[ids > least])  # windows are in the order of their texts and words
                 if len(known):
                     doc, first = piece.doc[known], piece.first[known]
@@ -223,16 +223,16 @@ def _judge(targets: int):
             found = np.concatenate([np.frombuffer(p, np.int64).reshape(-1, 4) for p in parts])
             ids = found[:, 0]
         else:
-            ids, h, g = (np.concatenate(c) for c in zip(*[_unpack_hashes(p) for p in parts]))
-            order = np.lexsort((g, h))
-            begin = _runs(h[order], g[order])
+            ids, h = (np.concatenate(c) for c in zip(*[_unpack_hashes(p) for p in parts]))
+            order = np.argsort(h, kind="stable")
+            begin = _runs(h[order])
             least = np.repeat(np.minimum.reduceat(ids[order], begin), np.diff(np.append(begin, len(h))))
             pick = order[ids[order] > least]
-            ids, h, g = ids[pick], h[pick], g[pick]
+            ids, h = ids[pick], h[pick]
         target = _target(ids, targets)
         order = np.lexsort((ids, target))
         begin = _runs(target[order])
-        pack = (lambda i: found[i].tobytes()) if known else (lambda i: _pack_hashes(ids[i], h[i], g[i][:0]))
+        pack = (lambda i: found[i].tobytes()) if known else (lambda i: _pack_hashes(ids[i], h[i]))
         cuts = np.split(order, begin[1:]) if len(order) else []
         return pa.table({"target": pa.array(target[order][begin], pa.int64()), "known": pa.array([known] * len(begin), pa.bool_()),
                          "part": pa.array([pack(c) for c in cuts], pa.binary())})
@@ -245,7 +245,7 @@ def _merge(table: pa.Table) -> pa.Table:
     for known, part in zip(table.column("known").to_pylist(), table.column("part").combine_chunks()):
         parts[known].append(part.as_buffer())
     runs = np.concatenate([np.zeros((0, 4), np.int64), *[np.frombuffer(p, np.int64).reshape(-1, 4) for p in parts[True]]])
-    pairs = [_unpack_hashes(p)[:2] for p in parts[False]]
+    pairs = [_unpack_hashes(p) for p in parts[False]]
     ids, h = (np.concatenate([np.zeros(0, t), *c]) for t, c in zip((np.int64, np.uint64), zip(*pairs) if pairs else ([], [])))
     by_id, by_run = np.argsort(ids, kind="stable"), np.argsort(runs[:, 0], kind="stable")
     docs = np.unique(np.concatenate([ids, runs[:, 0]]))
