@@ -92,7 +92,7 @@ def stage_clip_impute(df: DataFrame, spec: TableSpec, fit_on: str = "all"):
     out = clean.apply_medians(clipped, medians)
     strings = [c for c in clean.string_columns(out) if c != spec.id]
     if strings:
-        out, _ = clean.impute_mode(out, strings)
+        out = clean.apply_modes(out, clean.fit_modes(fit_part(out, spec, fit_on), strings))
     return out, fences, medians
 
 
@@ -135,7 +135,7 @@ def preprocess(df: DataFrame, spec: TableSpec, corr_threshold: float = CORR_THRE
     -> variance filter. Returns the cleaned table and every fitted value
     (and, with ``profile_before``, the profile row of the deduplicated
     input)."""
-    staged = logged_stage(df, spec, cut_lineage, profile_before)
+    staged = logged_stage(df, spec, cut_lineage, profile_before, fit_on)
     df, fences, medians, floors = staged[:4]
     info, deduped = staged[4] if profile_before else (None, None)
     logs = [f"log_{t}" for t in spec.targets]

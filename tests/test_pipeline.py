@@ -94,3 +94,23 @@ def test_fit_on_train_ignores_test_rows(spark, sf_small):
     a, b = P.logged_stage(raw, ASSAY_SPEC, fit_on="train"), P.logged_stage(moved, ASSAY_SPEC, fit_on="train")
     assert a[1] == b[1] and a[2] == b[2]
     assert P.logged_stage(raw, ASSAY_SPEC)[1] != P.logged_stage(moved, ASSAY_SPEC)[1]
+
+
+def test_preprocess_passes_fit_on_to_every_fit(spark):
+    """Fences, medians and modes of ``preprocess`` itself come from the train side alone, by default."""
+    from tabmill.functions.exprs import hash_uniform
+    from tabmill.spec import TableSpec
+    spec = TableSpec("id", ["t"], ["f", "g"])
+    rows = [(i, float(i % 97) + 1, float(i % 89), float((i * 7) % 83), "a" if i % 3 else None) for i in range(600)]
+    raw = spark.createDataFrame(rows, "id long, t double, f double, g double, s string")
+    raw = raw.withColumn("f", F.when(F.col("id") % 10 != 0, F.col("f")))
+    test = hash_uniform("id", split.SEED) < split.TEST_FRACTION
+    moved = raw.withColumns({"t": F.when(test, F.col("t") * 100).otherwise(F.col("t")), "f": F.when(test, F.col("f") + 1000).otherwise(F.col("f")),
+                             "s": F.when(test, F.lit("z")).otherwise(F.col("s"))})
+    a, b = P.preprocess(raw, spec), P.preprocess(moved, spec)
+    assert a.fences == b.fences and a.medians == b.medians
+    train = raw.where(~test)
+    assert a.medians.values["f"] == train.selectExpr("percentile(f, 0.5)").first()[0]
+    assert P.preprocess(raw, spec, fit_on="all").fences != P.preprocess(moved, spec, fit_on="all").fences
+    out, _, _ = P.stage_clip_impute(moved, spec, "train")
+    assert out.where(~test & (F.col("s") == "z")).count() == 0  # the test side's mode fills nothing
