@@ -1,10 +1,7 @@
-"""Spark ML estimators for the study's five model families and the soft /
-mean voting ensembles.
+"""The study's five model families and the soft / mean voting ensembles.
 
-The boosting libraries the study used are not Spark; their presets map to
-``GBTRegressor`` / ``GBTClassifier`` with the parameters that have a Spark
-counterpart (rounds, depth, learning rate, min rows per leaf). L2 logistic
-regression with strength C maps to regParam = 1 / (C * n_train) without
+Forests and boosting are grown by ``tabmill.trees`` (their parameters have Spark ML's names where it has them); linear and
+logistic regression are Spark ML's. L2 logistic regression with strength C maps to regParam = 1 / (C * n_train) without
 feature standardisation (the features are standardised beforehand).
 """
 
@@ -12,25 +9,29 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
-                                       RandomForestClassifier)
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import DenseVector, Vectors
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabmill.trees.boosting import BoostingFit, BoostParams, fit_boosting
+from tabmill.trees.forest import ForestParams, RandomForestFit, fit_forest
+
 SEED = 42
-MAX_TREE_DEPTH = 30   # Spark's hard cap; stands in for "no depth limit"
+NO_DEPTH_LIMIT = 0
 MODEL_ORDER = ["RF", "XGB", "LGB", "GB", "LR"]
 VOTE_MEMBERS = ["RF", "XGB", "LGB", "GB"]
+BOOSTING = ("XGB", "LGB", "GB")
 
 # fixed values: library defaults of the untuned models (used by the vote)
 DEFAULTS = {
-    "RF": {"numTrees": 100, "maxDepth": MAX_TREE_DEPTH, "minInstancesPerNode": 1},
-    "XGB": {"maxIter": 100, "maxDepth": 6, "stepSize": 0.3},
-    "LGB": {"maxIter": 100, "maxDepth": 8, "stepSize": 0.1, "minInstancesPerNode": 20},
-    "GB": {"maxIter": 100, "maxDepth": 3, "stepSize": 0.1},
+    "RF": {"numTrees": 100, "maxDepth": NO_DEPTH_LIMIT, "minInstancesPerNode": 1, "minRowsToSplit": 2},
+    "XGB": {"maxIter": 100, "maxDepth": 6, "stepSize": 0.3, "regLambda": 1.0, "regAlpha": 0.0},
+    "LGB": {"maxIter": 100, "maxDepth": NO_DEPTH_LIMIT, "stepSize": 0.1, "numLeaves": 31, "minInstancesPerNode": 20},
+    "GB": {"maxIter": 100, "maxDepth": 3, "stepSize": 0.1, "minRowsToSplit": 2},
     "LR": {},
 }
 
@@ -43,6 +44,65 @@ LIGHT = {
     "LR": {},
 }
 
+# fixed values: what the boosting libraries do unless told otherwise
+_FAMILY = {
+    "XGB": {"l2": 1.0, "min_hessian": 1.0},
+    "LGB": {"leaves": 31, "min_rows": 20, "min_hessian": 1e-3, "rate": 0.1},
+    "GB": {"newton": False, "rate": 0.1, "depth": 3},
+}
+_BOOST_NAMES = {"maxIter": "rounds", "maxDepth": "depth", "stepSize": "rate", "regLambda": "l2", "regAlpha": "l1", "numLeaves": "leaves",
+                "minInstancesPerNode": "min_rows", "minRowsToSplit": "min_split"}
+_FOREST_NAMES = {"numTrees": "trees", "maxDepth": "depth", "minInstancesPerNode": "min_leaf", "minRowsToSplit": "min_split"}
+
+
+def boost_params(name: str, params: dict) -> BoostParams:
+    return BoostParams(**{**_FAMILY[name], **{_BOOST_NAMES[k]: v for k, v in params.items()}})
+
+
+def forest_params(kind: str, params: dict) -> ForestParams:
+    """Regression splits look at all features, classification at the square root of their number."""
+    return ForestParams(features="all" if kind == "regression" else "sqrt", seed=SEED, **{_FOREST_NAMES[k]: v for k, v in params.items()})
+
+
+class TreeModel:
+    """A fitted forest or boosting model with the columns of a Spark ML one: ``prediction`` (0 / 1 for labels, then with class
+    1's probability in ``p``)."""
+
+    def __init__(self, fit: RandomForestFit | BoostingFit, kind: str, suffix: str = ""):
+        self.fit, self.kind, self.suffix = fit, kind, suffix
+
+    @property
+    def featureImportances(self) -> DenseVector:  # noqa: N802 - as Spark ML names it
+        return Vectors.dense(self.fit.importances)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        out, prediction = f"p{self.suffix}", f"prediction{self.suffix}"
+        scored = self.fit.score(df, out)
+        label = F.col(out) if self.kind == "regression" else (F.col(out) > 0.5).cast("double")
+        return scored.withColumn(prediction, label)
+
+
+class RandomForestTreeModel(TreeModel):
+    pass
+
+
+class BoostingTreeModel(TreeModel):
+    pass
+
+
+@dataclass
+class TreeLearner:
+    name: str
+    kind: str
+    params: dict
+    suffix: str = ""
+
+    def fit(self, train: DataFrame) -> TreeModel:
+        if self.name == "RF":
+            return RandomForestTreeModel(fit_forest(train, forest_params(self.kind, self.params)), self.kind, self.suffix)
+        fits, _ = fit_boosting([(train, None)], [(0, boost_params(self.name, self.params))], self.kind)
+        return BoostingTreeModel(fits[0], self.kind, self.suffix)
+
 
 @dataclass
 class Prepared:
@@ -60,24 +120,14 @@ def assemble(df: DataFrame, features: list[str], out: str = "features") -> DataF
 
 def build(name: str, kind: str, params: dict | None = None, n_train: int | None = None,
           suffix: str = "") -> object:
-    """An estimator for model family ``name``; ``params`` are Spark params
-    (``C`` for logistic regression is turned into regParam)."""
+    """A learner for model family ``name``; ``params`` go by Spark ML's names (``C`` for logistic regression is turned into
+    regParam)."""
     params = dict(params or {})
-    cols = {"featuresCol": "features", "labelCol": "y",
-            "predictionCol": f"prediction{suffix}"}
+    if name == "RF" or name in BOOSTING:
+        return TreeLearner(name, kind, params, suffix)
+    cols = {"featuresCol": "features", "labelCol": "y", "predictionCol": f"prediction{suffix}"}
     if kind == "classification":
         cols.update(probabilityCol=f"probability{suffix}", rawPredictionCol=f"raw{suffix}")
-    if name == "RF":
-        cls = RandomForestRegressor if kind == "regression" else RandomForestClassifier
-        return cls(seed=SEED, **cols, **params)
-    if name in ("XGB", "LGB", "GB"):
-        cls = GBTRegressor if kind == "regression" else GBTClassifier
-        extra = {k: cols.pop(k) for k in ("probabilityCol", "rawPredictionCol") if k in cols}
-        est = cls(seed=SEED, **cols, **params)
-        for k, v in extra.items():
-            if est.hasParam(k):
-                est.set(est.getParam(k), v)
-        return est
     if name == "LR":
         if kind == "regression":
             cols.pop("probabilityCol", None)
@@ -97,7 +147,8 @@ def positive_probability(col: str = "probability") -> F.Column:
 def predict(model, df: DataFrame, kind: str, suffix: str = "") -> DataFrame:
     out = model.transform(df)
     if kind == "classification":
-        out = out.withColumn(f"p{suffix}", positive_probability(f"probability{suffix}"))
+        if not isinstance(model, TreeModel):
+            out = out.withColumn(f"p{suffix}", positive_probability(f"probability{suffix}"))
         out = out.withColumn(f"yhat{suffix}", F.col(f"prediction{suffix}").cast("int"))
     else:
         out = out.withColumn(f"p{suffix}", F.col(f"prediction{suffix}"))
@@ -106,10 +157,12 @@ def predict(model, df: DataFrame, kind: str, suffix: str = "") -> DataFrame:
 
 def fit_vote(train: DataFrame, kind: str, members: list[str] = VOTE_MEMBERS,
              params: dict[str, dict] | None = None, n_train: int | None = None) -> list:
-    """Fit every member on the same cached train frame."""
+    """Every member on the same train frame; the boosting members grow together, in the same passes."""
     params = params or DEFAULTS
-    return [build(m, kind, params.get(m), n_train, suffix=f"_{m.lower()}").fit(train)
-            for m in members]
+    learners = [build(m, kind, params.get(m), n_train, suffix=f"_{m.lower()}") for m in members]
+    boosted = [x for x in learners if isinstance(x, TreeLearner) and x.name in BOOSTING]
+    fits = iter(fit_boosting([(train, None)], [(0, boost_params(x.name, x.params)) for x in boosted], kind)[0] if boosted else [])
+    return [BoostingTreeModel(next(fits), kind, x.suffix) if x in boosted else x.fit(train) for x in learners]
 
 
 def predict_vote(models: list, df: DataFrame, kind: str, members: list[str] = VOTE_MEMBERS) -> DataFrame:
