@@ -71,6 +71,10 @@ def gradients(kind: str, y: np.ndarray, score: np.ndarray) -> tuple[np.ndarray,
     return p - y, np.maximum(p * (1.0 - p), 1e-16)
 
 
+#: Gains this near to the best are equal to it, whatever the rounding.
+SAME = 1 - 1e-9
+
+
 def soft(g, l1: float):
     return np.sign(g) * np.maximum(np.abs(g) - l1, 0.0)
 
@@ -88,7 +92,7 @@ def best_split(hist: np.ndarray, p: BoostParams) -> tuple:
         with np.errstate(divide="ignore", invalid="ignore"):
             return soft(s[0], p.l1) ** 2 / (s[by] + p.l2)
     gain = np.where(ok, quality(left) + quality(right) - quality(total), -np.inf)
-    f, b = np.unravel_index(int(np.argmax(gain)), gain.shape) if gain.size else (0, 0)
+    f, b = np.unravel_index(int(np.argmax(gain >= gain.max() * SAME)), gain.shape) if gain.size else (0, 0)
     if not gain.size or not gain[f, b] > 1e-10:
         return -1, 0, 0.0, np.zeros(3), total
     return int(f), int(b), float(gain[f, b]), left[:, f, b], total

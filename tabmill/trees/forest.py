@@ -31,6 +31,8 @@ from tabmill.trees.blocks import BINS, Block, arrays, bin_edges, blocks, mix, wr
 
 LOCAL_ROWS = 8192
 MAX_DEPTH = 30
+#: Gains this near to the best are equal to it: the first feature and cut wins, whatever the rounding.
+SAME = 1 - 1e-9
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(12)])
 
 
@@ -75,6 +77,7 @@ def grow(x: np.ndarray, y: np.ndarray, w: np.ndarray, depth: int, min_split: int
     (right is the next), value, and gain, the weighted variance a split takes away. ``depth``: levels left, -1 for no limit."""
     n, d = x.shape
     columns, wy = np.ascontiguousarray(x.T), w * y
+    mean = np.zeros(n)                    # of every row's node: sums of small numbers keep their digits
     order = np.argsort(columns, axis=1, kind="stable")
     slot = np.zeros(n, np.int64)          # of every row, its node among those open
     ids = np.zeros(1, np.int64)           # where the open nodes are in the result
@@ -92,26 +95,27 @@ def grow(x: np.ndarray, y: np.ndarray, w: np.ndarray, depth: int, min_split: int
         first = order[0]
         total_w, total = np.add.reduceat(w[first], start), np.add.reduceat(wy[first], start)
         found["value"][ids] = total / total_w
+        mean[first] = (total / total_w)[node]
         low, high = np.minimum.reduceat(y[first], start), np.maximum.reduceat(y[first], start)
         may = (low < high) & (count >= max(min_split, 2 * min_leaf)) & (depth < 0 or level < depth)
         if not may.any():
             break
         values = np.take_along_axis(columns, order, 1)
-        cw, cy = np.cumsum(w[order], 1), np.cumsum(wy[order], 1)
+        cw, cy = np.cumsum(w[order], 1), np.cumsum((wy - w * mean)[order], 1)
         before_w = np.where(start > 0, cw[:, start - 1], 0.0)
         before_y = np.where(start > 0, cy[:, start - 1], 0.0)
         lw, ly = cw - before_w[:, node], cy - before_y[:, node]
-        rw, ry = total_w[node] - lw, total[node] - ly
+        rw = total_w[node] - lw
         pos = np.arange(len(node)) - start[node] + 1
         open_here = may[node] & (pos >= min_leaf) & (count[node] - pos >= min_leaf)
         ok = np.zeros(values.shape, bool)
         ok[:, :-1] = (values[:, :-1] < values[:, 1:]) & (node[:-1] == node[1:]) & open_here[:-1]
         with np.errstate(divide="ignore", invalid="ignore"):
-            score = np.where(ok, ly ** 2 / lw + ry ** 2 / rw, -np.inf)
+            score = np.where(ok, ly ** 2 / lw + ly ** 2 / rw, -np.inf)
         best = np.maximum.reduceat(score, start, axis=1)
         chosen = _tried_features(names, tree, seed, np.isfinite(best.T), k)
         per_node = np.where(chosen, best.T, -np.inf)
-        f = np.argmax(per_node, axis=1)
+        f = np.argmax(per_node >= (per_node.max(1) * SAME)[:, None], axis=1)
         split = np.flatnonzero(np.isfinite(per_node[np.arange(len(ids)), f]))
         if not len(split):
             break
@@ -119,14 +123,14 @@ def grow(x: np.ndarray, y: np.ndarray, w: np.ndarray, depth: int, min_split: int
         for j in range(d):  # the first place of the best score, in the chosen feature
             mine = split[f[split] == j]
             if len(mine):
-                hit = np.where(score[j] == best[j][node], np.arange(len(node)), len(node))
+                hit = np.where(score[j] >= best[j][node] * SAME, np.arange(len(node)), len(node))
                 at[mine] = np.minimum.reduceat(hit, start)[mine]
         a, b = values[f[split], at[split]], values[f[split], at[split] + 1]
         cut = a + (b - a) / 2
         cut = np.where((cut >= b) | (cut < a), a, cut)
         left = size + 2 * np.arange(len(split))
         found["feature"][ids[split]], found["threshold"][ids[split]], found["left"][ids[split]] = f[split], cut, left
-        found["gain"][ids[split]] = np.maximum(per_node[split, f[split]] - total[split] ** 2 / total_w[split], 0.0)
+        found["gain"][ids[split]] = per_node[split, f[split]]
         size += 2 * len(split)
         blank = {"feature": -1, "threshold": 0.0, "left": -1, "value": 0.0, "gain": 0.0}
         found = {key: np.concatenate([v, np.full(2 * len(split), blank[key])]) for key, v in found.items()}
@@ -230,16 +234,17 @@ def _best_split(params: ForestParams, d: int, last: bool):
         lw, ls, lc = (np.cumsum(v, 1)[:, :-1] for v in (w, s, c))
         tw, ts, tc = w[0].sum(), s[0].sum(), c[0].sum()
         ok = (lc >= params.min_leaf) & (tc - lc >= params.min_leaf)
+        apart = ls - lw * (ts / tw)
         with np.errstate(divide="ignore", invalid="ignore"):
-            score = np.where(ok, ls ** 2 / lw + (ts - ls) ** 2 / (tw - lw), -np.inf)
+            score = np.where(ok, apart ** 2 / lw + apart ** 2 / (tw - lw), -np.inf)
         usable = np.isfinite(score.max(1))[None, :]
         tried = _tried_features(np.array([node], np.uint64), tree, params.seed, usable, params.tried(d))[0]
         score[~tried] = -np.inf
-        f, b = np.unravel_index(int(np.argmax(score)), score.shape)
+        f, b = np.unravel_index(int(np.argmax(score >= score.max() * SAME)), score.shape)
         pure = min(table.column("low").to_pylist()) >= max(table.column("high").to_pylist())
         leaf = last or pure or tc < params.min_split or not np.isfinite(score[f, b])
         return pa.table({"tree": pa.array([tree], pa.int32()), "node": pa.array([node], pa.int64()), "feature": pa.array([-1 if leaf else int(f)], pa.int32()),
-                         "bin": pa.array([int(b)], pa.int32()), "value": [float(ts / tw)], "gain": [0.0 if leaf else max(float(score[f, b] - ts ** 2 / tw), 0.0)]})
+                         "bin": pa.array([int(b)], pa.int32()), "value": [float(ts / tw)], "gain": [0.0 if leaf else float(score[f, b])]})
     return run
 
 
