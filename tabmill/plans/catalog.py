@@ -21,6 +21,7 @@ from tabmill.plans.tasks import TASK_BY_NAME, TASKS
 from tabmill.session import materialize
 from tabmill.sources.assay import ASSAY_SPEC, FEATURES, TARGETS
 from tabmill.sources.tables import read_table
+from tabmill.trees.boosting import BoostParams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -869,6 +870,32 @@ def q_fit_linear(spark, sf):
         rnd("slope", 6).alias("slope"), rnd("intercept", 6).alias("intercept"))
 
 
+def _first_tree(task_name: str, params) -> None:
+    """Registers the first boosting tree on a task's train split: splits with their gains, leaves with their values."""
+    from tabmill.plans import tree_sql
+    task = TASK_BY_NAME[task_name]
+
+    def run(spark, sf):
+        from tabmill.plans import models as M
+        from tabmill.trees.boosting import fit_boosting
+        logged = _logged(spark, sf)
+        rows = T.task_frame(logged, task).where("split = 'train'").select("id", "y")
+        train = materialize(rows.join(logged.select("id", *tree_sql.FEATURES), "id"), "tree-train")
+        fits, _ = fit_boosting([(M.assemble(train, tree_sql.FEATURES), None)], [(0, params)], task.kind)
+        rows = [(n, None if f is None else tree_sql.FEATURES[f], c, g, v) for n, f, c, g, v in fits[0].nodes(0)]
+        out = spark.createDataFrame(rows, "node long, feature string, threshold double, gain double, value double")
+        return out.select("node", "feature", "threshold", rnd("gain", 4).alias("gain"), rnd("value", 8).alias("value"))
+
+    key = "boost_tree_leafwise" if params.leaves else "boost_tree_regularised"
+    query(f"{key}_{'reg' if task.kind == 'regression' else 'clf'}",
+          _preds_sql([task_name], *tree_sql.first_tree_ctes(task.kind, params)) + tree_sql.first_tree_sql(params))(run)
+
+
+for _task in ("regression_log_ic50", "classification_ic50_median"):
+    _first_tree(_task, BoostParams(rounds=1, rate=0.3, depth=2, l2=7.5, l1=0.6, min_hessian=1.0))
+    _first_tree(_task, BoostParams(rounds=1, rate=0.1, depth=0, leaves=4, min_rows=20, min_hessian=1e-3))
+
+
 def _vote_query(task_name: str):
     def run(spark, sf):
         from tabmill.plans import models as M

@@ -391,6 +391,18 @@ class BoostingFit:
         gains = sum((np.bincount(t["feature"][t["feature"] >= 0], t["gain"][t["feature"] >= 0], self.d) for t in self.trees), np.zeros(self.d))
         return gains / gains.sum() if gains.sum() > 0 else gains
 
+    def nodes(self, number: int) -> list[tuple]:
+        """A tree's nodes: (number from 1, children 2n and 2n + 1; feature, threshold, gain of a split; value of a leaf)."""
+        t, out, todo = self.trees[number], [], [(0, 1)]
+        while todo:
+            i, name = todo.pop()
+            if t["feature"][i] < 0:
+                out.append((name, None, None, None, float(t["value"][i])))
+            else:
+                out.append((name, int(t["feature"][i]), float(t["threshold"][i]), float(t["gain"][i]), None))
+                todo += [(int(t["left"][i]), 2 * name), (int(t["left"][i]) + 1, 2 * name + 1)]
+        return out
+
     def score(self, df: DataFrame, out: str) -> DataFrame:
         """``df`` with the prediction (class 1's probability for labels) in ``out``."""
         model = df.sparkSession.sparkContext.broadcast((self.kind, self.base, self.trees))
