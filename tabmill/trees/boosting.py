@@ -37,8 +37,9 @@ from tabmill.trees.blocks import Block, arrays, bin_edges, blocks
 KEEP_EVERY = 4
 #: Bytes of histograms that one task may hold: models beyond it grow in further passes.
 TASK_BYTES = 96 << 20
-#: A node with at most so many rows and bytes of bins and derivatives is finished in one task.
-LOCAL_ROWS, LOCAL_BYTES = 32768, 64 << 20
+#: A node with at most so many rows and bytes of bins and derivatives is finished in one task: what a task counts in less time
+#: than a further pass over the table takes to start.
+LOCAL_ROWS, LOCAL_BYTES = 1 << 17, 64 << 20
 
 
 @dataclass(frozen=True)
@@ -82,15 +83,17 @@ def soft(g, l1: float):
 def best_split(hist: np.ndarray, p: BoostParams) -> tuple:
     """(feature, bin, gain, left sums, sums) of a node's histogram (3, features, bins); feature -1 without a split. Of equal
     gains the first feature and bin win."""
-    left = np.cumsum(hist, axis=2)[:, :, :-1]
     total = hist[:, 0, :].sum(1)
+    if total[2] < max(p.min_split, 2 * p.min_rows) or total[1] < 2 * p.min_hessian:
+        return -1, 0, 0.0, np.zeros(3), total
+    left = np.cumsum(hist, axis=2)[:, :, :-1]
     right = total[:, None, None] - left
     ok = (left[2] >= p.min_rows) & (right[2] >= p.min_rows) & (left[1] >= p.min_hessian) & (right[1] >= p.min_hessian) & (total[2] >= p.min_split)
     by = 1 if p.newton else 2
 
     def quality(s):
         with np.errstate(divide="ignore", invalid="ignore"):
-            return soft(s[0], p.l1) ** 2 / (s[by] + p.l2)
+            return (soft(s[0], p.l1) if p.l1 else s[0]) ** 2 / (s[by] + p.l2)
     gain = np.where(ok, quality(left) + quality(right) - quality(total), -np.inf)
     f, b = np.unravel_index(int(np.argmax(gain >= gain.max() * SAME)), gain.shape) if gain.size else (0, 0)
     if not gain.size or not gain[f, b] > 1e-10:
