@@ -2,15 +2,15 @@
 minority row and one of its k nearest minority neighbours, until the
 classes are equal.
 
-Neighbours are exact and found on the executors. Points go to the cell of
-their nearest pivot (at most ``MAX_PIVOTS`` points with the smallest key hashes,
-the only rows the driver sees). Two cells are compared unless the triangle
-inequality excludes it: every point of a cell with more than k points has k others
-within twice the cell's radius, so a cell further off than that, radius to radius,
-holds none of its neighbours. Cells are packed into chunks of at most about ``CHUNK_ROWS`` rows; a
-task scores one chunk against another in NumPy blocks and keeps k candidates per
-row, which are then reduced to k. No join emits pairs of rows, no points are broadcast.
-In many dimensions fewer cells are excluded and the work tends to O(m^2 / tasks), the cost of exact neighbours.
+Neighbours are exact and found on the executors, down a tree of balls. Points go to the
+cell of their nearest pivot (at most ``MAX_PIVOTS`` points with the smallest key hashes, the
+only rows the driver sees); cells are packed into chunks of at most about ``CHUNK_ROWS`` rows, and a task cuts
+a chunk into leaves of ``LEAF_ROWS``. A row's k-th distance within its own leaf, then within its own chunk, is
+a bound: it visits another cell only if that cell's ball reaches within the bound, and in a chunk only the
+leaves that do. Rows bound for a cell travel together, one block for each of its chunks, so a cell with a third of
+all rows is shared out over its chunks. Leaves are scored by one matrix product with a stated rounding allowance;
+what may be near enough is scored again exactly. No join emits pairs of rows, no points are broadcast.
+In many dimensions few balls are out of reach and the work tends to O(m^2 / tasks), the cost of exact neighbours.
 
 Synthesis is deterministic: row i makes floor(n_new / m) rows, plus one
 for the (n_new mod m) rows with the smallest key hash; neighbour and gap of
@@ -32,8 +32,10 @@ from tabmill.functions.quantiles import kth_smallest
 from tabmill.session import materialize
 
 CHUNK_ROWS = 8192
+CELL_ROWS = 2048             # rows a cell holds on average, until there are MAX_PIVOTS cells
+LEAF_ROWS = 512
 MAX_PIVOTS = 1024
-BLOCK_CELLS = 4_000_000      # query rows x chunk rows scored at once per task
+BLOCK_CELLS = 4_000_000      # query rows x leaf rows scored at once per task
 SEED = 42
 
 
@@ -65,59 +67,166 @@ def knn_self(points: DataFrame, id_col: str, feats: list[str], k: int,
     pts = materialize(points.select(F.col(id_col).alias("id"), F.array(*[F.col(c).cast("double") for c in feats]).alias("vec")), "points")
     id_type = pts.schema["id"].dataType.simpleString()
     m = pts.count()
-    n_pivots = max(1, min(max_pivots, math.ceil(m / chunk_rows)))
+    n_pivots = max(1, min(max_pivots, math.ceil(m / min(chunk_rows, CELL_ROWS))))
     pivots = np.array([r["vec"] for r in pts.orderBy(F.xxhash64("id"), "id").limit(n_pivots).collect()]).reshape(-1, len(feats))
     if not len(pivots):
         return spark.createDataFrame([], f"id {id_type}, nb_rank int, nb_id {id_type}, dist double, nb_vec array<double>")
     celled = materialize(pts.mapInArrow(_assign(pivots), f"id {id_type}, vec array<double>, cell int, far double"), "cells")
     cells = {r["cell"]: (r["n"], r["radius"]) for r in celled.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("radius")).collect()}
-    pairs = []
-    for q, (n, radius) in cells.items():
-        reach = 2 * radius if n > k else math.inf
-        gap = np.sqrt(((pivots[list(cells)] - pivots[q]) ** 2).sum(axis=1))
-        pairs += [(q, r) for r, g in zip(cells, gap) if g - radius - cells[r][1] <= reach * (1 + 1e-9) + 1e-9]
     chunks = spark.createDataFrame([(c, max(1, math.ceil(n / chunk_rows))) for c, (n, _) in cells.items()], "cell int, subs int")
-    packed = (celled.join(chunks, "cell").withColumn("sub", F.pmod(F.xxhash64("id"), F.col("subs")))
+    packed = (celled.join(chunks, "cell").withColumn("sub", F.pmod(F.xxhash64("id"), F.col("subs")).cast("int"))
               .groupBy("cell", "sub").agg(F.collect_list("id").alias("ids"), F.flatten(F.collect_list("vec")).alias("vecs")))
-    packed = materialize(packed, "chunks")
-    meet = spark.createDataFrame(pairs, "cell int, other int")
-    refs = packed.select(F.col("cell").alias("other"), F.col("ids").alias("ref_ids"), F.col("vecs").alias("ref_vecs"))
-    met = packed.join(meet, "cell").join(refs, "other").select("ids", "vecs", "ref_ids", "ref_vecs")
-    cand = met.mapInArrow(_score_chunks(k, len(feats)), f"id {id_type}, nb_id {id_type}, dist double, nb_vec array<double>")
+    own = materialize(packed.mapInArrow(_own_chunk(k, len(feats)), (
+        f"cell int, sub int, ids array<{id_type}>, vecs array<double>, bounds array<double>, "
+        f"near array<struct<id:{id_type},nb_id:{id_type},dist:double,nb_vec:array<double>>>")), "chunks")
+    blocks = visits(own, pivots, cells, chunks, len(feats))
+    refs = own.select("cell", "sub", F.col("ids").alias("ref_ids"), F.col("vecs").alias("ref_vecs"))
+    met = blocks.join(refs, ["cell", "sub"]).select("ids", "vecs", "bounds", "ref_ids", "ref_vecs")
+    cand = met.mapInArrow(_other_chunk(k, len(feats)), f"id {id_type}, nb_id {id_type}, dist double, nb_vec array<double>")
+    cand = own.select(F.inline("near")).unionByName(cand)
     # at most k candidates per chunk that a row's chunk meets
     w = Window.partitionBy("id").orderBy("dist", "nb_id")
     return (cand.withColumn("nb_rank", F.row_number().over(w)).where(F.col("nb_rank") <= k)
             .select("id", "nb_rank", "nb_id", "dist", "nb_vec"))
 
 
-def _score_chunks(k: int, d: int):
+def visits(own: DataFrame, pivots: np.ndarray, cells: dict[int, tuple[int, float]], chunks: DataFrame, d: int) -> DataFrame:
+    """(cell, sub, ids, vecs, bounds): blocks of rows that go on to the chunk (cell, sub), as the cell's ball reaches within
+    their bounds. ``cells``: rows and radius by cell; ``chunks``: cell, subs."""
+    named = sorted(cells)
+    centres, radii = pivots[named], np.array([cells[c][1] for c in named])
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, bounds = batch.column("ids")[i].values, np.sqrt(batch.column("bounds")[i].values.to_numpy())
+                vec = batch.column("vecs")[i].values.to_numpy().reshape(-1, d)
+                for c, centre, radius in zip(named, centres, radii, strict=True):
+                    gap = np.sqrt(((vec - centre) ** 2).sum(axis=1)) * (1 - SLACK) - radius * (1 + SLACK)
+                    go = np.flatnonzero(gap <= bounds * (1 + SLACK))
+                    if len(go):
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array([c], pa.int32()), batch.column("cell")[i:i + 1], batch.column("sub")[i:i + 1],
+                            _one_list(ids.take(pa.array(go))), _one_list(pa.array(vec[go].ravel())), _one_list(pa.array(bounds[go] ** 2 * (1 + SLACK)))],
+                            ["cell", "from_cell", "from_sub", "ids", "vecs", "bounds"])
+
+    kinds = {f.name: f.dataType.simpleString() for f in own.schema}
+    blocks = own.select("cell", "sub", "ids", "vecs", "bounds").mapInArrow(
+        run, f"cell int, from_cell int, from_sub int, ids {kinds['ids']}, vecs array<double>, bounds array<double>")
+    blocks = blocks.join(chunks, "cell").withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)))
+    return blocks.where((F.col("cell") != F.col("from_cell")) | (F.col("sub") != F.col("from_sub"))).select("cell", "sub", "ids", "vecs", "bounds")
+
+
+#: Allowance of distances for the rounding of their square roots.
+SLACK = 1e-9
+
+
+def _one_list(values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def _leaves(vec: np.ndarray, size: int) -> list[np.ndarray]:
+    """Row numbers by leaf: halves at the median of the widest feature, until at most ``size`` rows are left."""
+    todo, done = [np.arange(len(vec))], []
+    while todo:
+        rows = todo.pop()
+        if len(rows) <= size:
+            done.append(rows)
+            continue
+        part = vec[rows]
+        half = np.argpartition(part[:, np.ptp(part, axis=0).argmax()], len(rows) // 2)
+        todo += [rows[half[:len(rows) // 2]], rows[half[len(rows) // 2:]]]
+    return done
+
+
+def _in_leaf(q, code, bound, ref, ref_code, k):
+    """(rows of q, rows of ref, distance): of the leaf ``ref`` at least those of a row's k nearest that are within ``bound``
+    (squared). Where a bound is infinite it becomes, in place, one that k rows of the leaf keep."""
+    centre = ref.mean(axis=0)
+    r, x = ref - centre, q - centre
+    r2, x2 = (r * r).sum(axis=1), (x * x).sum(axis=1)
+    reach = np.sqrt(x2) * (1 - SLACK) - math.sqrt(r2.max()) * (1 + SLACK) <= np.sqrt(bound) * (1 + SLACK)
+    go = np.flatnonzero(reach)
+    found = []
+    step = max(1, BLOCK_CELLS // len(ref))
+    for at in (go[s:s + step] for s in range(0, len(go), step)):
+        rough = x2[at, None] + r2 - 2 * (x[at] @ r.T)
+        err = 16 * (q.shape[1] + 8) * np.finfo(float).eps * (x2[at] + r2.max())   # of sums and product, generously
+        far = np.flatnonzero(np.isinf(bound[at]))
+        if len(far) and len(ref) > k:
+            others = np.where(code[at[far], None] == ref_code, np.inf, rough[far])
+            bound[at[far]] = np.maximum(np.partition(others, k - 1, axis=1)[:, k - 1] + err[far], 0)
+        rows, cols = np.nonzero(rough <= (bound[at] * (1 + SLACK) + err)[:, None])
+        rows = at[rows]
+        other = code[rows] != ref_code[cols]                       # not its own neighbour
+        rows, cols = rows[other], cols[other]
+        dist = np.zeros(len(rows))
+        for j in range(q.shape[1]):  # feature by feature, left to right: the same sum SQL writes
+            diff = q[rows, j] - ref[cols, j]
+            dist += diff * diff
+        found.append(_first_k(rows, cols, dist, ref_code[cols], k))
+    return tuple(map(np.concatenate, zip(*found, strict=True))) if found else (np.empty(0, int), np.empty(0, int), np.empty(0))
+
+
+def _first_k(rows, cols, dist, code, k):
+    """Of each row the k with the smallest (distance, code)."""
+    order = np.lexsort((code, dist, rows))
+    rows, cols, dist = rows[order], cols[order], dist[order]
+    start = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]) if len(rows) else np.empty(0, int)
+    nth = np.arange(len(rows)) - np.repeat(start, np.diff(np.r_[start, len(rows)]))
+    return rows[nth < k], cols[nth < k], dist[nth < k]
+
+
+def _in_chunk(q, code, bound, ref, ref_code, leaves, k):
+    parts = []
+    for leaf in leaves:
+        rows, cols, dist = _in_leaf(q, code, bound, ref[leaf], ref_code[leaf], k)
+        parts.append((rows, leaf[cols], dist))
+    rows, cols, dist = map(np.concatenate, zip(*parts, strict=True))
+    return _first_k(rows, cols, dist, ref_code[cols], k)
+
+
+def _own_chunk(k: int, d: int):
+    """Chunks with each row's bound (k-th distance within the chunk) and its nearest rows there."""
+    def run(batches):
+        for batch in batches:
+            kind = batch.column("ids").type.value_type
+            for i in range(batch.num_rows):
+                ids = batch.column("ids")[i].values
+                vec = batch.column("vecs")[i].values.to_numpy().reshape(-1, d)
+                code = np.unique(np.array(ids.to_pylist()), return_inverse=True)[1]
+                leaves, bound = _leaves(vec, max(LEAF_ROWS, 4 * k)), np.full(len(vec), np.inf)
+                for leaf in leaves:
+                    mine = bound[leaf]
+                    _in_leaf(vec[leaf], code[leaf], mine, vec[leaf], code[leaf], k)
+                    bound[leaf] = mine
+                rows, cols, dist = _in_chunk(vec, code, bound, vec, code, leaves, k)
+                kth = np.full(len(vec), np.inf)
+                held = np.bincount(rows, minlength=len(vec)) == k
+                last = np.r_[rows[1:] != rows[:-1], True] if len(rows) else np.empty(0, bool)
+                last &= held[rows]
+                kth[rows[last]] = dist[last]
+                near = pa.StructArray.from_arrays(
+                    [ids.take(pa.array(rows)), ids.take(pa.array(cols)), pa.array(dist), pa.array(list(vec[cols]), pa.list_(pa.float64()))],
+                    ["id", "nb_id", "dist", "nb_vec"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("cell")[i:i + 1], batch.column("sub")[i:i + 1], _one_list(ids.cast(kind)), _one_list(pa.array(vec.ravel())),
+                     _one_list(pa.array(kth)), _one_list(near)], ["cell", "sub", "ids", "vecs", "bounds", "near"])
+    return run
+
+
+def _other_chunk(k: int, d: int):
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                ids, ref_ids = (np.array(batch.column(c)[i].values.to_pylist()) for c in (0, 2))
-                q_all, ref = (batch.column(c)[i].values.to_numpy().reshape(-1, d) for c in (1, 3))
-                n_ref = len(ref)
-                step = max(1, BLOCK_CELLS // max(n_ref, 1))
-                for s in range(0, len(q_all), step):
-                    q, own = q_all[s:s + step], ids[s:s + step]
-                    dist = np.zeros((len(q), n_ref))
-                    for j in range(d):  # feature by feature, left to right: the same sum SQL writes
-                        diff = q[:, j:j + 1] - ref[:, j]
-                        dist += diff * diff
-                    dist[own[:, None] == ref_ids[None, :]] = np.inf   # not its own neighbour
-                    kk = min(k, n_ref)
-                    kth = np.partition(dist, kk - 1, axis=1)[:, kk - 1]
-                    rows, cols = np.nonzero((dist <= kth[:, None]) & np.isfinite(dist))
-                    near = dist[rows, cols]
-                    order = np.lexsort((ref_ids[cols], near, rows))  # ids break ties
-                    rows, cols, near = rows[order], cols[order], near[order]
-                    first = np.r_[0, np.flatnonzero(np.diff(rows)) + 1] if len(rows) else np.empty(0, int)
-                    nth = np.arange(len(rows)) - np.repeat(first, np.diff(np.r_[first, len(rows)]))
-                    keep = nth < kk
-                    rows, cols, near = rows[keep], cols[keep], near[keep]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(own[rows].tolist(), batch.schema.field(0).type.value_type), pa.array(ref_ids[cols].tolist(), batch.schema.field(0).type.value_type),
-                         pa.array(near), pa.array(list(ref[cols]), pa.list_(pa.float64()))], ["id", "nb_id", "dist", "nb_vec"])
+                ids, ref_ids = batch.column("ids")[i].values, batch.column("ref_ids")[i].values
+                q, ref = (batch.column(c)[i].values.to_numpy().reshape(-1, d) for c in ("vecs", "ref_vecs"))
+                code = np.unique(np.array(ids.to_pylist() + ref_ids.to_pylist()), return_inverse=True)[1]
+                bound = batch.column("bounds")[i].values.to_numpy().copy()
+                rows, cols, dist = _in_chunk(q, code[:len(ids)], bound, ref, code[len(ids):], _leaves(ref, max(LEAF_ROWS, 4 * k)), k)
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(rows)), ref_ids.take(pa.array(cols)), pa.array(dist), pa.array(list(ref[cols]), pa.list_(pa.float64()))],
+                    ["id", "nb_id", "dist", "nb_vec"])
     return run
 
 
