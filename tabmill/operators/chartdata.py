@@ -61,20 +61,21 @@ def kde(df: DataFrame, col: str, grid: int = 100, cut: float = 3.0) -> DataFrame
 
 def box_summary(df: DataFrame, cols: list[str]) -> DataFrame:
     """(feature, q1, median, q3, whisker_lo, whisker_hi, n_fliers): whiskers
-    at the last values inside the 1.5 IQR fences."""
+    at the last values inside the 1.5 IQR fences. A column without values
+    has nulls and no fliers."""
     qs = column_quantiles(df, cols, [0.25, 0.5, 0.75])
     exprs, rows = [], []
     for c in cols:
         q1, q2, q3 = qs[c][0.25], qs[c][0.5], qs[c][0.75]
-        lo, hi = q1 - IQR_FACTOR * (q3 - q1), q3 + IQR_FACTOR * (q3 - q1)
+        lo, hi = (None, None) if q1 is None else (q1 - IQR_FACTOR * (q3 - q1), q3 + IQR_FACTOR * (q3 - q1))
         v = F.col(c)
-        exprs += [F.min(F.when(v >= F.lit(lo), v)).alias(f"{c}__wl"),
-                  F.max(F.when(v <= F.lit(hi), v)).alias(f"{c}__wh"),
-                  F.count_if((v < F.lit(lo)) | (v > F.lit(hi))).alias(f"{c}__nf")]
+        exprs += [F.min(F.when(v >= F.lit(lo).cast("double"), v)).alias(f"{c}__wl"),
+                  F.max(F.when(v <= F.lit(hi).cast("double"), v)).alias(f"{c}__wh"),
+                  F.count_if((v < F.lit(lo).cast("double")) | (v > F.lit(hi).cast("double"))).alias(f"{c}__nf")]
         rows.append((c, q1, q2, q3))
     agg = df.agg(*exprs)
-    stacks = [F.struct(F.lit(c).alias("feature"), F.lit(q1).alias("q1"), F.lit(q2).alias("median"),
-                       F.lit(q3).alias("q3"), F.col(f"{c}__wl").alias("whisker_lo"),
+    stacks = [F.struct(F.lit(c).alias("feature"), F.lit(q1).cast("double").alias("q1"), F.lit(q2).cast("double").alias("median"),
+                       F.lit(q3).cast("double").alias("q3"), F.col(f"{c}__wl").alias("whisker_lo"),
                        F.col(f"{c}__wh").alias("whisker_hi"), F.col(f"{c}__nf").alias("n_fliers"))
               for c, q1, q2, q3 in rows]
     return agg.select(F.explode(F.array(*stacks)).alias("s")).select("s.*")
@@ -88,7 +89,7 @@ def box_fliers(df: DataFrame, id_col: str, cols: list[str]) -> DataFrame:
     cond = F.lit(False)
     for c in cols:
         q1, q3 = qs[c][0.25], qs[c][0.75]
-        lo, hi = q1 - IQR_FACTOR * (q3 - q1), q3 + IQR_FACTOR * (q3 - q1)
+        lo, hi = (None, None) if q1 is None else (q1 - IQR_FACTOR * (q3 - q1), q3 + IQR_FACTOR * (q3 - q1))
         cond = cond | ((F.col("feature") == c) & ((F.col("value") < lo) | (F.col("value") > hi)))
     return long.where(cond)
 

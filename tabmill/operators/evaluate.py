@@ -144,9 +144,8 @@ def roc_curve(df: DataFrame, y: str, score: str, group: list[str] | None = None)
     st = score_counts(df, y, score, keys)
     cum = cumulative_desc(st, keys)
     tot = st.groupBy(*keys).agg(F.sum("pos").alias("__P"), F.sum("neg").alias("__N"))
-    # one row per group; the groups are models
     named = tot.withColumnsRenamed({k: f"__t_{k}" for k in keys})
-    cum = cum.join(F.broadcast(named), reduce(and_, [F.col(k).eqNullSafe(F.col(f"__t_{k}")) for k in keys]))
+    cum = cum.join(named, reduce(and_, [F.col(k).eqNullSafe(F.col(f"__t_{k}")) for k in keys]))
     pts = cum.select(*group, F.col("score").alias("threshold"),
                      safe_div(F.col("fp").cast("double"), F.col("__N").cast("double"), 0.0).alias("fpr"),
                      safe_div(F.col("tp").cast("double"), F.col("__P").cast("double"), 0.0).alias("tpr"))

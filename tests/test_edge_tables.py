@@ -166,3 +166,11 @@ def test_kth_smallest_grouped(spark):
     df = spark.createDataFrame(rows, "g string, v double")
     out = kth_smallest(df, ["g"], "v", {("a",): [0, 57], ("b",): [99]}, max_bracket=10, accuracy=50)
     assert out[("a",)] == {0: 0.0, 57: 57.0} and out[("b",)] == {99: 99.0}
+
+
+def test_box_of_a_column_without_values(spark):
+    from tabmill.operators.chartdata import box_summary
+    df = spark.createDataFrame([(1.0, None), (2.0, None), (9.0, None)], "a double, b double")
+    rows = {r["feature"]: r for r in box_summary(df, ["a", "b"]).collect()}
+    assert rows["a"]["median"] == 2.0
+    assert rows["b"].asDict() == {"feature": "b", "q1": None, "median": None, "q3": None, "whisker_lo": None, "whisker_hi": None, "n_fliers": 0}
