@@ -57,9 +57,13 @@ class Stages:
             path.getFileSystem(conf).delete(path, True)
 
 
-def own_columns(df: DataFrame, names: list[str]) -> DataFrame:
-    """Just the named columns: extra columns never reach an operator, so their names cannot clash."""
-    return df.select(*[F.col(f"`{n}`") for n in names])
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, all with as many more underscores in front as it takes for ``df`` to have no column called so (case
+    ignored): an operator's own columns beside extra columns of any name."""
+    taken, front = {c.lower() for c in df.columns}, ""
+    while any((front + n).lower() in taken for n in names):
+        front += "_"
+    return [front + n for n in names]
 
 
 def words(text: Column) -> Column:
@@ -80,7 +84,8 @@ def n_words(normal: Column) -> Column:
 def without_lines(df: DataFrame, gone: str) -> DataFrame:
     """``text`` without the lines whose numbers are in the array column ``gone`` (null: unchanged). The lines are a column of
     their own first: inside a lambda the text would be split again for every line."""
-    df = df.withColumn("__lines", F.when(F.col(gone).isNotNull(), F.split("text", "\n")))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col(gone))
-    left = F.array_join(F.transform(stay, lambda i: F.get("__lines", i)), "\n")
-    return df.withColumn("text", F.when(F.col(gone).isNull(), F.col("text")).otherwise(left)).drop("__lines")
+    lines, = free_names(df, "__lines")
+    df = df.withColumn(lines, F.when(F.col(gone).isNotNull(), F.split("text", "\n")))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+    left = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
+    return df.withColumn("text", F.when(F.col(gone).isNull(), F.col("text")).otherwise(left)).drop(lines)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabmill.llm.common import WS, WS_CHARS, Stages, n_words, normal_line, without_lines, words
+from tabmill.llm.common import WS, WS_CHARS, Stages, free_names, n_words, normal_line, without_lines, words
 
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 MIN_DOCS, SHARE, MIN_LEFT, MIN_LEFT_SHARE = 100, 0.05, 10, 0.3
@@ -97,17 +97,19 @@ def line_frequency(docs: DataFrame, host: str = "source", min_docs: int = MIN_DO
 def kept_documents(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
     """The rows of ``docs`` that are not rejected, without the lines above their host's limit (``text`` and ``n_chars``). The
     texts are shuffled once, to meet their verdicts."""
+    gone, k, kh, kt, own_host, own_hash, lines, worded = free_names(
+        docs, "__gone", "__k", "__kh", "__kt", "__host", "__hash", "__all", "__worded")
     verdicts, _ = line_frequency(docs, host, **limits)
-    v = verdicts.where("kept").groupBy("doc_id", "host", "text_hash").agg(F.first("gone").alias("__gone")).select(
-        F.col("doc_id").alias("__k"), F.col("host").alias("__kh"), F.col("text_hash").alias("__kt"), "__gone")
-    rows = docs.withColumns({"__host": F.coalesce(F.col(host), F.lit("")), "__hash": F.xxhash64(F.coalesce("text", F.lit("")))})
-    rows = rows.join(v.hint("merge"), rows["doc_id"].eqNullSafe(F.col("__k")) & (F.col("__host") == F.col("__kh")) & (F.col("__hash") == F.col("__kt")))
+    v = verdicts.where("kept").groupBy("doc_id", "host", "text_hash").agg(F.first("gone").alias(gone)).select(
+        F.col("doc_id").alias(k), F.col("host").alias(kh), F.col("text_hash").alias(kt), gone)
+    rows = docs.withColumns({own_host: F.coalesce(F.col(host), F.lit("")), own_hash: F.xxhash64(F.coalesce("text", F.lit("")))})
+    rows = rows.join(v.hint("merge"), rows["doc_id"].eqNullSafe(F.col(k)) & (F.col(own_host) == F.col(kh)) & (F.col(own_hash) == F.col(kt)))
     # numbers among the lines with a word to numbers among all lines
-    rows = rows.withColumn("__all", F.when(F.col("__gone").isNotNull(), F.split("text", "\n")))
-    rows = rows.withColumn("__worded", F.filter(F.sequence(F.lit(0), F.size("__all") - 1), lambda i: F.get("__all", i).rlike(f"[^{WS}]")))
-    rows = rows.withColumn("__gone", F.transform("__gone", lambda p: F.get("__worded", p)))
-    out = without_lines(rows, "__gone")
+    rows = rows.withColumn(lines, F.when(F.col(gone).isNotNull(), F.split("text", "\n")))
+    rows = rows.withColumn(worded, F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.get(lines, i).rlike(f"[^{WS}]")))
+    rows = rows.withColumn(gone, F.transform(gone, lambda p: F.get(worded, p)))
+    out = without_lines(rows, gone)
     if "n_chars" in docs.columns:
         cut = F.length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("__gone").isNotNull(), cut).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col(gone).isNotNull(), cut).otherwise(F.col("n_chars")))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

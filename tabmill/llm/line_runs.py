@@ -31,7 +31,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabmill.llm.common import Stages, n_words, normal_line, without_lines
+from tabmill.llm.common import Stages, free_names, n_words, normal_line, without_lines
 
 MIN_WORDS = 50
 
@@ -124,10 +124,11 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with its later copies of repeated runs deleted from ``text``, and ``_gone``, the numbers of the
-    deleted lines (null: none)."""
+    """``docs`` with its later copies of repeated runs deleted from ``text``, and last ``_gone``, the numbers of the
+    deleted lines (null: none); with more underscores where ``docs`` has a column of that name."""
+    k, h, mark = free_names(docs, "_k", "_h", "_gone")
     # merge at every size: whether the list of deletions happens to be small enough to broadcast must not decide the plan
     gone = later_copies(docs.select("doc_id", "text"), min_words).hint("merge").select(
-        F.col("doc_id").alias("_k"), F.col("text_hash").alias("_h"), F.col("gone").alias("_gone"))
-    out = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_k")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_h")), "left")
-    return without_lines(out, "_gone").select(*[F.col(f"`{c}`") for c in docs.columns], "_gone")
+        F.col("doc_id").alias(k), F.col("text_hash").alias(h), F.col("gone").alias(mark))
+    out = docs.join(gone, F.col("doc_id").eqNullSafe(F.col(k)) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(h)), "left")
+    return without_lines(out, mark).select(*[F.col(f"`{c}`") for c in docs.columns], mark)

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabmill.llm.common import Stages, normal_line
+from tabmill.llm.common import Stages, free_names, normal_line
 
 SHINGLE, THRESHOLD = 5, 0.8
 N_BANDS, ROWS = 16, 3
@@ -395,12 +395,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def one_per_class(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Of each class the row with its smallest doc_id, null last; where rows share that doc_id, the first in (key) order. Texts
     without a word are no copies of each other and stay; of rows repeated in full one stays."""
+    of_id, of_key, own = free_names(docs, "_id", "_key", "_own")
     classed = labelled(docs.select("doc_id", "text"), threshold)
     none = F.col("key") == _empty()
     # a doc_id names no class: it may be null, or be shared by unrelated texts
     least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key"))
-    chosen = classed.where(~none).groupBy("label").agg(least.alias("row")).select(F.col("row.doc_id").alias("_id"), F.col("row.key").alias("_key"))
-    chosen = chosen.unionByName(classed.where(none).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct())
+    chosen = classed.where(~none).groupBy("label").agg(least.alias("row")).select(F.col("row.doc_id").alias(of_id), F.col("row.key").alias(of_key))
+    chosen = chosen.unionByName(classed.where(none).select(F.col("doc_id").alias(of_id), F.col("key").alias(of_key)).distinct())
     key = F.unhex(F.md5(F.coalesce(normal_line(F.col("text")), F.lit(""))))
-    kept = docs.withColumn("_own", key).join(chosen.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_own"]).drop("_own")
+    kept = docs.withColumn(own, key).join(chosen.hint("merge"), F.col("doc_id").eqNullSafe(F.col(of_id)) & (F.col(own) == F.col(of_key)), "left_semi")
+    return kept.dropDuplicates(["doc_id", own]).drop(own)

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabmill.llm.common import Stages, words
+from tabmill.llm.common import Stages, free_names, words
 
 SEED, BUCKET_DOCS, HASH_BITS = 17, 4096, 60
 
@@ -106,14 +106,16 @@ def plan(narrow: DataFrame, levels: list[str], weights: dict[int, dict[tuple, fl
 
 def mix(docs: DataFrame, levels: dict[str, Column], weights: dict[int, dict[tuple, float]], budget_share: float, max_epochs: int,
         seed: int = SEED, tokens: Column | None = None) -> DataFrame:
-    """``docs`` as often as it is drawn, with ``_tokens``, ``_epoch`` (from 0) and the levels as ``_<name>``."""
+    """``docs`` as often as it is drawn, with ``_tokens``, ``_epoch`` (from 0) and the levels as ``_<name>``; with more
+    underscores, all of them, where ``docs`` has a column of such a name."""
     tokens = token_estimate(F.col("text")) if tokens is None else tokens
-    names = [f"_{n}" for n in levels]
-    docs = docs.withColumns({f"_{n}": F.coalesce(c.cast("string"), F.lit("")) for n, c in levels.items()} | {"_tokens": tokens})
-    narrow = Stages(docs.sparkSession, "mix").write(docs.select("doc_id", *names, F.col("_tokens").alias("n_tokens")), "tokens")
+    size, epoch, *names = free_names(docs, "_tokens", "_epoch", *[f"_{n}" for n in levels])
+    docs = docs.withColumns({n: F.coalesce(c.cast("string"), F.lit("")) for n, c in zip(names, levels.values(), strict=True)} | {size: tokens})
+    narrow = Stages(docs.sparkSession, "mix").write(docs.select("doc_id", *names, F.col(size).alias("n_tokens")), "tokens")
     drawn = plan(narrow, names, weights, budget_share, max_epochs, seed)
-    out = docs.join(drawn, names)
-    h = epoch_hash(F.col("doc_id"), seed, F.col("full"))
-    more = (h < F.col("cut_h")) | ((h == F.col("cut_h")) & (~F.col("cut_in") | F.coalesce(F.col("doc_id") <= F.col("cut_id"), F.col("doc_id").isNull())))
-    out = out.withColumn("_n", F.col("full").cast("int") + more.cast("int")).where("_n > 0")
-    return out.withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).drop("full", "cut_h", "cut_id", "cut_in", "_n")
+    full, cut_h, cut_id, cut_in, n = free_names(docs, "__full", "__cut_h", "__cut_id", "__cut_in", "__n")
+    out = docs.join(drawn.withColumnsRenamed({"full": full, "cut_h": cut_h, "cut_id": cut_id, "cut_in": cut_in}), names)
+    h = epoch_hash(F.col("doc_id"), seed, F.col(full))
+    more = (h < F.col(cut_h)) | ((h == F.col(cut_h)) & (~F.col(cut_in) | F.coalesce(F.col("doc_id") <= F.col(cut_id), F.col("doc_id").isNull())))
+    out = out.withColumn(n, F.col(full).cast("int") + more.cast("int")).where(F.col(n) > 0)
+    return out.withColumn(epoch, F.explode(F.sequence(F.lit(0), F.col(n) - 1))).drop(full, cut_h, cut_id, cut_in, n)
