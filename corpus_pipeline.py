@@ -32,8 +32,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated line runs go, and documents of which no word is left."""
     out = line_runs.dedup_lines(docs)
-    emptied = F.col("_gone").isNotNull() & (F.size(words(F.col("text"))) == 0)
-    return _with_text(out.where(~emptied).drop("_gone"), F.col("text"))
+    gone = out.columns[-1]
+    emptied = F.col(gone).isNotNull() & (F.size(words(F.col("text"))) == 0)
+    return _with_text(out.where(~emptied).drop(gone), F.col("text"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
