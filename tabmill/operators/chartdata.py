@@ -1,6 +1,6 @@
 """The tables behind the study's figures: histogram bins, a Gaussian
 density curve, box summaries with outlier points, and predicted-against-true
-pairs. Each is one or two aggregates; nothing is drawn."""
+pairs. Each is a few aggregates; nothing is drawn."""
 
 from __future__ import annotations
 
@@ -14,49 +14,120 @@ from tabmill.functions.quantiles import column_quantiles
 from tabmill.operators.profile import IQR_FACTOR
 
 
+#: Density sums: cells of half a bandwidth, ten moments a cell, kernels cut at eight bandwidths.
+KDE_CELLS, KDE_MOMENTS, KDE_REACH = 2.0, 10, 8.0
+
+
+def _spans(df: DataFrame, cols: list[str], *more) -> dict:
+    """Per column: minimum, maximum and ``more`` of its values, from one aggregate over all columns."""
+    made = [F.min, F.max, *more]
+    row = df.agg(*[f(F.col(c)).alias(f"{i}_{k}") for i, c in enumerate(cols) for k, f in enumerate(made)]).collect()[0]
+    return {c: [row[f"{i}_{k}"] for k in range(len(made))] for i, c in enumerate(cols)}
+
+
+def histograms(df: DataFrame, cols: list[str], bins: int = 30) -> DataFrame:
+    """(feature, bin, lo, hi, n) for every bin of every column, empty ones included; a maximum falls in its column's last
+    bin. Columns without values have no bins. All columns are counted in one scan."""
+    edges, cells = [], []
+    for c, (lo, hi) in _spans(df, cols).items():
+        if lo is None:
+            continue
+        width = (hi - lo) if hi > lo else 1.0
+        lo, width = (F.lit(x).cast("double") for x in (lo, width))
+        b = F.least(F.floor((F.col(c) - lo) / width * F.lit(float(bins))) + 1, F.lit(bins)).cast("int")
+        cells.append(F.struct(F.lit(c).alias("feature"), b.alias("bin")))
+        edges.append(F.struct(F.lit(c).alias("feature"), lo.alias("lo"), width.alias("width")))
+    if not cells:
+        return df.sparkSession.createDataFrame([], "feature string, bin int, lo double, hi double, n long")
+    counts = (df.select(F.explode(F.array(*cells)).alias("s")).select("s.*").where(F.col("bin").isNotNull())
+              .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n")))
+    grid = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"), F.explode(F.array(*edges)).alias("e")).select(
+        F.col("e.feature").alias("feature"), "bin",
+        (F.col("e.lo") + (F.col("bin") - 1) * F.col("e.width") / F.lit(float(bins))).alias("lo"),
+        (F.col("e.lo") + F.col("bin") * F.col("e.width") / F.lit(float(bins))).alias("hi"))
+    # bins x columns rows on both sides: a bounded broadcast
+    return grid.join(F.broadcast(counts), ["feature", "bin"], "left").select(
+        "feature", "bin", "lo", "hi", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+
+
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
-    """(bin, lo, hi, n) for every bin, empty ones included; the maximum
-    falls in the last bin."""
-    r = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).collect()[0]
-    lo, hi = r["lo"], r["hi"]
-    if lo is None:
-        return df.sparkSession.createDataFrame([], "bin int, lo double, hi double, n long")
-    width = (hi - lo) if hi > lo else 1.0
-    b = F.least(F.floor((F.col(col) - F.lit(lo)) / F.lit(width) * F.lit(float(bins))) + 1,
-                F.lit(bins)).cast("int")
-    counts = df.where(F.col(col).isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    edges = df.sparkSession.range(1, bins + 1).select(
-        F.col("id").cast("int").alias("bin"),
-        (F.lit(lo) + (F.col("id") - 1) * F.lit(width) / F.lit(float(bins))).alias("lo"),
-        (F.lit(lo) + F.col("id") * F.lit(width) / F.lit(float(bins))).alias("hi"))
-    # bins x 1 rows on both sides: a bounded broadcast
-    return edges.join(F.broadcast(counts), "bin", "left").select(
-        "bin", "lo", "hi", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+    """(bin, lo, hi, n): ``histograms`` of one column."""
+    return histograms(df, [col], bins).drop("feature")
+
+
+def _hermite(n: int) -> list[int]:
+    """Coefficients of the n-th (physicists') Hermite polynomial, constant first."""
+    before, now = [0], [1]
+    for k in range(n):
+        up = [0, *(2 * a for a in now)]
+        for i, a in enumerate(before):
+            up[i] -= 2 * k * a
+        before, now = now, up
+    return now
+
+
+def _power(x, n: int):
+    if n == 0:
+        return F.lit(1.0)
+    half = _power(x, n // 2) if n > 1 else None
+    return x if n == 1 else half * half * x if n % 2 else half * half
+
+
+def densities(df: DataFrame, cols: list[str], grid: int = 100, cut: float = 3.0) -> DataFrame:
+    """(feature, x, density) of every column on its own even grid from min - cut*h to max + cut*h, with Scott's bandwidth
+    h = std * n^(-1/5). Columns with fewer than two different values have no rows.
+
+    A fast Gauss transform in place of ``grid`` exponentials a row: values fall in cells of h / 2, each cell keeps the sums
+    of the first ten powers of the distance to its centre (one scan, partial sums per task), and a grid point adds the
+    Hermite expansions of the cells within 8 h. For a value at most h / 4 from its centre the terms left out are below
+    1.09 * sum over n >= 10 of 0.25^n / sqrt(n!), so a density is off by less than 6e-10 of a kernel's height
+    1 / (h sqrt(2 pi)). A column has about 2 (max - min) / h cells, which grows with n^(1/5) only."""
+    stats = _spans(df, cols, F.count, F.stddev_samp)
+    cells, grids = [], []
+    for c, (lo, hi, n, s) in stats.items():
+        if not n or not s:
+            continue
+        h = s * n ** (-0.2)
+        at = (F.col(c).cast("double") - F.lit(float(lo))) / F.lit(h)
+        cell = F.floor(at * F.lit(KDE_CELLS))
+        off = (at - (cell + 0.5) / F.lit(KDE_CELLS)) / F.lit(math.sqrt(2.0))
+        cells.append(F.struct(F.lit(c).alias("feature"), cell.alias("cell"), off.alias("off")))
+        start, stop = lo - cut * h, hi + cut * h
+        grids.append((c, float(lo), h, float(start), (stop - start) / (grid - 1), float(n) * h * math.sqrt(2 * math.pi)))
+    if not cells:
+        return df.sparkSession.createDataFrame([], "feature string, x double, density double")
+    off = F.col("off")
+    sums = (df.select(F.explode(F.array(*cells)).alias("s")).select("s.*").where(off.isNotNull()).groupBy("feature", "cell")
+            .agg(*[F.sum(_power(off, k)).alias(f"m{k}") for k in range(KDE_MOMENTS)]))
+    of = F.create_map(*[v for g in grids for v in (F.lit(g[0]), F.struct(*[
+        F.lit(x).alias(k) for k, x in zip(("lo", "h", "start", "step", "norm"), g[1:], strict=True)]))])
+    g = F.col("g")
+    centre = g["lo"] + (F.col("cell") + 0.5) / F.lit(KDE_CELLS) * g["h"]
+    first = F.greatest(F.ceil((F.col("centre") - g["start"] - KDE_REACH * g["h"]) / g["step"]), F.lit(0))
+    last = F.least(F.floor((F.col("centre") - g["start"] + KDE_REACH * g["h"]) / g["step"]), F.lit(grid - 1))
+    near = (sums.withColumn("g", of[F.col("feature")]).withColumn("centre", centre).where(first <= last)
+            .withColumn("i", F.explode(F.sequence(first, last)))
+            .withColumn("x", g["start"] + F.col("i") * g["step"])
+            .withColumn("t", (F.col("x") - F.col("centre")) / (g["h"] * F.lit(math.sqrt(2.0)))))
+    t = F.col("t")
+    value = F.lit(0.0)
+    for k in range(KDE_MOMENTS):
+        poly = F.lit(0.0)
+        for a in reversed(_hermite(k)):
+            poly = poly * t + F.lit(float(a))
+        value = value + poly * F.col(f"m{k}") / F.lit(float(math.factorial(k)))
+    added = near.groupBy("feature", "i").agg(F.sum(F.exp(-t * t) * value).alias("v"))
+    points = df.sparkSession.range(grid).select(
+        F.explode(F.array(*[F.lit(g[0]) for g in grids])).alias("feature"), F.col("id").alias("i"))
+    # grid x columns rows on both sides; points out of every kernel's reach have density 0
+    both = points.join(F.broadcast(added), ["feature", "i"], "left").withColumn("g", of[F.col("feature")])
+    return both.select("feature", (g["start"] + F.col("i") * g["step"]).alias("x"),
+                       (F.greatest(F.coalesce("v", F.lit(0.0)), F.lit(0.0)) / g["norm"]).alias("density"))
 
 
 def kde(df: DataFrame, col: str, grid: int = 100, cut: float = 3.0) -> DataFrame:
-    """(x, density) on an even grid from min - cut*h to max + cut*h, with
-    Scott's bandwidth h = std * n^(-1/5). The grid sums are one aggregate
-    with ``grid`` expressions: every row contributes to every grid point
-    without any join."""
-    r = df.agg(F.count(col).alias("n"), F.stddev_samp(col).alias("s"),
-               F.min(col).alias("lo"), F.max(col).alias("hi")).collect()[0]
-    n, s = r["n"], r["s"]
-    if not n or not s:
-        return df.sparkSession.createDataFrame([], "x double, density double")
-    h = s * n ** (-0.2)
-    start, stop = r["lo"] - cut * h, r["hi"] + cut * h
-    xs = [start + i * (stop - start) / (grid - 1) for i in range(grid)]
-    v = F.col(col).cast("double")
-    def term(x):
-        t = (F.lit(x) - v) / F.lit(h)
-        return F.exp(F.lit(-0.5) * t * t)
-    exprs = [F.sum(term(x)).alias(f"g{i}") for i, x in enumerate(xs)]
-    row = df.where(v.isNotNull()).agg(*exprs)
-    norm = float(n) * h * math.sqrt(2 * math.pi)
-    stacks = [F.struct(F.lit(x).alias("x"), (F.col(f"g{i}") / F.lit(norm)).alias("density"))
-              for i, x in enumerate(xs)]
-    return row.select(F.explode(F.array(*stacks)).alias("s")).select("s.*")
+    """(x, density): ``densities`` of one column."""
+    return densities(df, [col], grid, cut).drop("feature")
 
 
 def box_summary(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabmill.functions.quantiles import column_medians
-from tabmill.operators.profile import Fences, fit_fences, mode_value
+from tabmill.operators.profile import Fences, fit_fences, mode_values
 
 # fixed values: floor for non-positive targets, fill for an all-null text column
 POSITIVE_FLOOR = 1e-6
@@ -141,11 +141,7 @@ def fit_modes(df: DataFrame, cols: list[str] | None = None) -> Modes:
     """Most frequent value per text column (smallest on ties), else
     ``Unknown`` for a column with no values."""
     cols = cols if cols is not None else string_columns(df)
-    out = {}
-    for c in cols:
-        m = mode_value(df, c)
-        out[c] = UNKNOWN if m is None else m
-    return Modes(out)
+    return Modes({c: UNKNOWN if m is None else m for c, m in mode_values(df, cols).items()})
 
 
 def apply_modes(df: DataFrame, modes: Modes) -> DataFrame:

@@ -146,6 +146,21 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
             .select(col, "n", (F.col("n") / F.lit(float(max(total, 1)))).alias("share")))
 
 
+def mode_values(df: DataFrame, cols: list[str]) -> dict:
+    """Most frequent non-null value of each column, smallest on ties, or None: one job for any number of text columns.
+
+    Counted by (column, value) with partial aggregation per task, so a hot value costs one row per task and column; the
+    best of each column is one more aggregate with partial results."""
+    if not cols:
+        return {}
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("v")) for c in cols])
+    counts = (df.select(F.explode(pairs).alias("s")).select("s.*").where(F.col("v").isNotNull())
+              .groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n")))
+    best = counts.groupBy("feature").agg(F.min(F.struct((-F.col("n")).alias("n"), "v"))["v"].alias("v")).collect()
+    found = {r["feature"]: r["v"] for r in best}
+    return {c: found.get(c) for c in cols}
+
+
 def mode_value(df: DataFrame, col: str):
     """Most frequent non-null value, smallest on ties, or None.
 

@@ -638,6 +638,35 @@ def q_kde(spark, sf):
     return round_all(chartdata.kde(_logged(spark, sf), "log_ic50", grid=100), 6)
 
 
+def _each_log(sql: str, union: str = " UNION ALL ") -> str:
+    """``sql`` for every log target, with its name in place of ``{c}``."""
+    return union.join(sql.replace("{c}", c) for c in S.LOGS)
+
+
+@query("chart_histogram_targets", S.with_ctes(
+    *S.logged_ctes(),
+    "long AS (" + _each_log("SELECT '{c}' AS feature, {c} AS v FROM logged WHERE {c} IS NOT NULL") + ")",
+    "w AS (SELECT feature, min(v) AS lo, CASE WHEN max(v) > min(v) THEN max(v) - min(v) ELSE 1.0 END AS width FROM long GROUP BY 1)",
+    "b AS (SELECT feature, CAST(least(floor((v - lo) / width * 30.0) + 1, 30) AS INTEGER) AS bin, count(*) AS n "
+    "FROM long JOIN w USING (feature) GROUP BY 1, 2)") +
+    "SELECT w.feature, CAST(g.bin AS INTEGER) AS bin, round(w.lo + (g.bin - 1) * w.width / 30.0, 6) AS lo, "
+    "round(w.lo + g.bin * w.width / 30.0, 6) AS hi, coalesce(b.n, 0) AS n "
+    "FROM (SELECT range AS bin FROM range(1, 31)) g CROSS JOIN w LEFT JOIN b ON b.bin = g.bin AND b.feature = w.feature")
+def q_histogram_targets(spark, sf):
+    return round_all(chartdata.histograms(_logged(spark, sf), S.LOGS, 30), 6)
+
+
+@query("chart_kde_targets", S.with_ctes(
+    *S.logged_ctes(),
+    "long AS (" + _each_log("SELECT '{c}' AS feature, {c} AS v FROM logged WHERE {c} IS NOT NULL") + ")",
+    "st AS (SELECT feature, count(v) AS n, stddev_samp(v) * pow(count(v), -0.2) AS h, min(v) AS lo, max(v) AS hi FROM long GROUP BY 1)",
+    "g AS (SELECT feature, n, h, (lo - 3.0 * h) + range * ((hi + 3.0 * h) - (lo - 3.0 * h)) / 99 AS x FROM st, range(0, 100))") +
+    "SELECT g.feature, round(g.x, 6) AS x, round(sum(exp(-0.5 * ((g.x - l.v) / g.h) * ((g.x - l.v) / g.h))) "
+    "/ (g.n * g.h * sqrt(2 * pi())), 6) AS density FROM g JOIN long l USING (feature) GROUP BY g.feature, g.x, g.n, g.h")
+def q_kde_targets(spark, sf):
+    return round_all(chartdata.densities(_logged(spark, sf), S.LOGS, grid=100), 6)
+
+
 _BOX = [*TARGETS, *S.LOGS]
 
 
