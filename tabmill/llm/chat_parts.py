@@ -7,19 +7,22 @@ tokens its placeholder expands to. ``format_turns`` visits every part in order a
 
 Template: ``<|im_start|>role\\ntext<|im_end|>\\n`` per turn. Control strings begin with ``<|``. Inside texts and roles a
 backslash becomes two and ``<|`` becomes ``<\\|`` (in roles a line break becomes ``\\n``), so no text can hold a control string
-and unescaping restores it exactly. The loss mask covers the text of assistant turns, as (start, length) spans in code points.
+and unescaping restores it exactly. The loss mask covers the text of assistant turns, as (start, length) spans in code points; a
+span also tells its turn's place in the conversation and how far into the turn it begins, so that reading it needs no count from
+the conversation's start.
 
 Defined results: a null text or part list is an empty one; a null role is ''; a part of another type, or of none, is text;
 turns are ordered by turn (nulls first), then role, then text, so ties and repeated rows have one order; a null conv_id is a
 conversation of its own; an empty table gives an empty result; other columns are ignored.
 
 Scale: turns are formatted one by one, before the only shuffle, which brings the turns of a conversation together, since the
-result is one string per conversation. Everything is DataFrame functions.
+result is one string per conversation. Offsets are a running sum over the sorted turns, and a conversation is split once to be read,
+so time grows with its length. Everything is DataFrame functions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
@@ -90,20 +93,17 @@ def format_turns(messages: DataFrame, visitor: PartVisitor | None = None) -> Dat
 
 
 def format_conversations(messages: DataFrame, visitor: PartVisitor | None = None) -> DataFrame:
-    """conv_id, formatted, loss_spans (start, length in code points), attachments (type, ref, tokens), expanded_tokens."""
+    """conv_id, formatted, loss_spans (start and length in code points, turn from 0, skip: code points of the turn after its start
+    mark up to the span), attachments (type, ref, tokens), expanded_tokens."""
     turns = format_turns(messages, visitor)
-    turns = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "body", "head", "attachments"))).alias("t"))
-    # nulls sort last in array_sort's struct order; put the turns without a number first
-    turns = turns.withColumn("t", F.concat(F.filter("t", lambda x: x["turn"].isNull()), F.filter("t", lambda x: x["turn"].isNotNull())))
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "body", "attachments")
+    size = (F.length("head") + F.length("body") + len(END) + 1).cast("long")
+    turns = turns.withColumn("n", F.row_number().over(order)).withColumn("at", F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, 0)) - size)
+    turns = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("n", "at", "role", "head", "body", "attachments"))).alias("t"))
     strings = F.transform("t", lambda x: F.concat(x["head"], x["body"], F.lit(END + "\n")))
-    spans = F.aggregate(
-        F.transform("t", lambda x: F.struct(x["role"].alias("role"), F.length(x["head"]).alias("h"), F.length(x["body"]).alias("b"))),
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans")),
-        lambda a, x: F.struct(
-            (a["at"] + x["h"] + x["b"] + len(END) + 1).alias("at"),
-            F.when(x["role"] == "assistant", F.concat(a["spans"], F.array(F.struct((a["at"] + x["h"]).alias("start"), x["b"].cast("long").alias("length")))))
-            .otherwise(a["spans"]).alias("spans")),
-        lambda a: a["spans"])
+    spans = F.transform(F.filter("t", lambda x: x["role"] == "assistant"), lambda x: F.struct(
+        (x["at"] + F.length(x["head"])).alias("start"), F.length(x["body"]).cast("long").alias("length"),
+        (x["n"] - 1).alias("turn"), (F.length(x["head"]) - len(START)).alias("skip")))
     attachments = F.flatten(F.transform("t", lambda x: x["attachments"]))
     return turns.select("conv_id", F.array_join(strings, "").alias("formatted"), spans.alias("loss_spans"), attachments.alias("attachments"),
                         F.aggregate(F.transform(attachments, lambda x: x["tokens"]), F.lit(0).cast("long"), lambda a, x: a + x).alias("expanded_tokens"))
@@ -120,4 +120,7 @@ def read_turns(formatted: Column) -> Column:
 
 def masked_text(formatted: Column, loss_spans: Column) -> Column:
     """All text under the loss mask, unescaped."""
-    return F.array_join(F.transform(loss_spans, lambda s: unescape(F.substring(formatted, s["start"].cast("int") + 1, s["length"].cast("int")))), "")
+    # the pieces are a lambda's variable: as an expression they would be split again for every span
+    joined = F.transform(F.array(F.split(formatted, r"<\|im_start\|>")), lambda pieces: F.array_join(F.transform(
+        loss_spans, lambda s: unescape(F.substring(F.get(pieces, s["turn"] + 1), s["skip"] + 1, s["length"].cast("int")))), ""))
+    return F.get(joined, F.lit(0))

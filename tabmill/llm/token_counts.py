@@ -2,12 +2,18 @@
 
 The tokenizer (a ``tokenizers`` JSON file; its path is a parameter) drops white space and never merges across it, so a
 text's count is the sum of the counts of its white-space separated pre-tokens. First tier: a broadcast open-addressing
-hash table, 64-bit hashes and one-byte lengths, of the most frequent pre-tokens of a bounded sample of documents
-(``SAMPLE_DOCS`` rows; ``TABLE_BITS`` bounds the table's size). Second tier: a worker's bounded cache; what it lacks is
-encoded by the library itself, in batches. The sample decides only which tier answers, never a count.
+hash table, 64-bit hashes and one-byte lengths, of the most frequent pre-tokens of all documents (``TABLE_BITS`` bounds its
+size). Second tier: a worker's bounded cache; what it lacks is encoded by the library itself, in batches.
+
+Which pre-tokens are frequent is counted over every document: each task keeps a Misra-Gries summary of its own and hands on the
+pre-tokens with at least one part in 2 R of its occurrences, R being the table's room, and Spark adds these few up. The table takes
+those whose sum is at least one part in R, of which there can be no more than R; none with more than two parts in R is missed
+(a summary loses at most one part in 2 R, and so does what tasks hold back). So no pre-token is shuffled for a count, only summaries,
+and nothing is sorted or cut to fit. The table decides only which tier answers, never a count. Pre-tokens of over ``LONGEST``
+characters are left to the second tier.
 
 A table entry stores the whole pre-token's 64-bit hash (xxh3), so a wrong answer needs two of a corpus's pre-tokens with one
-hash; entries whose hashes collide in the sample are left out.
+hash.
 
 Special strings inside a text count as the library's default does; a text with one of the separators 0x1C to 0x1F, which Python
 splits at but the tokenizer does not, is encoded whole.
@@ -30,7 +36,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE_DOCS, TABLE_BITS, CACHE = 1000, 17, 300_000
+from tabmill.llm.common import Stages
+
+TABLE_BITS, CACHE, LONGEST = 17, 300_000, 64
 LIMIT = 2048
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
@@ -84,13 +92,44 @@ def lengths_by_library(path: str, texts: list[str]) -> list[int]:
     return out
 
 
-def frequent_lengths(docs: DataFrame, path: str, sample_docs: int = SAMPLE_DOCS, bits: int = TABLE_BITS) -> LengthTable:
-    """The table of the most frequent pre-tokens of ``sample_docs`` documents."""
+class Summary:
+    """Misra-Gries counts: of any number of occurrences N at most ``keep`` entries stay after a cut, and a count is too low by N / ``keep`` at
+    most. Entries are cut by the ``keep``-th largest count when there are more than twice as many."""
+
+    def __init__(self, keep: int):
+        self.keep, self.total, self.counts = keep, 0, Counter()
+
+    def add(self, pre_tokens: list[str]) -> None:
+        self.total += len(pre_tokens)
+        self.counts.update(pre_tokens)
+        if len(self.counts) > 2 * self.keep:
+            values = np.fromiter(self.counts.values(), np.int64, len(self.counts))
+            cut = int(np.partition(values, -self.keep)[-self.keep])
+            self.counts = Counter({w: n - cut for w, n in self.counts.items() if n > cut})
+
+
+def _summaries(room: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        summary = Summary(4 * room)
+        for batch in batches:
+            for text in batch.column(0):
+                summary.add((text.as_py() or "").split())
+        least = summary.total / (4 * room)
+        held = [(w, n) for w, n in summary.counts.items() if n >= least and len(w) <= LONGEST and not _SEPARATORS.search(w)]
+        yield pa.RecordBatch.from_pydict({"word": pa.array([None, *(w for w, _ in held)], pa.string()),
+                                          "n": pa.array([summary.total, *(n for _, n in held)], pa.int64())})
+    return run
+
+
+def frequent_lengths(docs: DataFrame, path: str, bits: int = TABLE_BITS) -> LengthTable:
+    """The table of the pre-tokens that are at least one part in ``room`` of all documents' (see above)."""
     table = LengthTable(bits)
-    counts: Counter = Counter()
-    for row in docs.where(F.length("text") < 20_000).select("text").limit(sample_docs).toLocalIterator():
-        counts.update(row["text"].split())
-    chosen = [w for w, n in counts.most_common(table.room) if not _SEPARATORS.search(w)]
+    stages = Stages(docs.sparkSession, "tokens")
+    # a null word holds the number of all occurrences
+    sums = stages.write(docs.select("text").mapInArrow(_summaries(table.room // 2), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "frequent")
+    total = sums.where(F.col("word").isNull()).agg(F.sum("n")).first()[0]
+    chosen = sorted(r["word"] for r in sums.where(F.col("word").isNotNull() & (F.col("n") * table.room >= (total or 0))).collect())
+    stages.drop(sums)
     for w, n in zip(chosen, lengths_by_library(path, chosen), strict=True):
         if 0 < n < 256:
             table.put(xxhash.xxh3_64_intdigest(w), n)
