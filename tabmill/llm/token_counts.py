@@ -6,10 +6,10 @@ hash table, 64-bit hashes and one-byte lengths, of the most frequent pre-tokens
 size). Second tier: a worker's bounded cache; what it lacks is encoded by the library itself, in batches.
 
 Which pre-tokens are frequent is counted over every document: each task keeps a Misra-Gries summary of its own and hands on the
-pre-tokens with at least one part in 2 R of its occurrences, R being the table's room, and Spark adds these few up. The table takes
-those whose sum is at least one part in R, of which there can be no more than R; none with more than two parts in R is missed
-(a summary loses at most one part in 2 R, and so does what tasks hold back). So no pre-token is shuffled for a count, only summaries,
-and nothing is sorted or cut to fit. The table decides only which tier answers, never a count. Pre-tokens of over ``LONGEST``
+pre-tokens with at least one part in ``HANDED`` of its occurrences, and Spark adds these up; a sum is too low by two parts in ``KEEP``
+of all occurrences at most. The table takes the most frequent by classes of sums (eight to a power of two), as many classes as it
+has room for, so nothing is sorted in one task and ties are taken or left together. No pre-token is shuffled for a count, only these
+summaries (a task of 128 MB hands on some 1 MB). The table decides only which tier answers, never a count. Pre-tokens of over ``LONGEST``
 characters are left to the second tier.
 
 A table entry stores the whole pre-token's 64-bit hash (xxh3), so a wrong answer needs two of a corpus's pre-tokens with one
@@ -38,7 +38,8 @@ from pyspark.sql import functions as F
 
 from tabmill.llm.common import Stages
 
-TABLE_BITS, CACHE, LONGEST = 17, 300_000, 64
+TABLE_BITS, CACHE, LONGEST = 18, 300_000, 64
+KEEP, HANDED = 1 << 18, 1 << 20
 LIMIT = 2048
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
@@ -108,27 +109,29 @@ class Summary:
             self.counts = Counter({w: n - cut for w, n in self.counts.items() if n > cut})
 
 
-def _summaries(room: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        summary = Summary(4 * room)
-        for batch in batches:
-            for text in batch.column(0):
-                summary.add((text.as_py() or "").split())
-        least = summary.total / (4 * room)
-        held = [(w, n) for w, n in summary.counts.items() if n >= least and len(w) <= LONGEST and not _SEPARATORS.search(w)]
-        yield pa.RecordBatch.from_pydict({"word": pa.array([None, *(w for w, _ in held)], pa.string()),
-                                          "n": pa.array([summary.total, *(n for _, n in held)], pa.int64())})
-    return run
+def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    summary = Summary(KEEP)
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            summary.add((text or "").split())
+    least = summary.total / HANDED
+    held = [(w, n) for w, n in summary.counts.items() if n >= least and len(w) <= LONGEST and not _SEPARATORS.search(w)]
+    yield pa.RecordBatch.from_pydict({"word": pa.array([w for w, _ in held], pa.string()), "n": pa.array([n for _, n in held], pa.int64())})
 
 
 def frequent_lengths(docs: DataFrame, path: str, bits: int = TABLE_BITS) -> LengthTable:
-    """The table of the pre-tokens that are at least one part in ``room`` of all documents' (see above)."""
+    """The table of the most frequent pre-tokens of all documents (see above)."""
     table = LengthTable(bits)
     stages = Stages(docs.sparkSession, "tokens")
-    # a null word holds the number of all occurrences
-    sums = stages.write(docs.select("text").mapInArrow(_summaries(table.room // 2), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "frequent")
-    total = sums.where(F.col("word").isNull()).agg(F.sum("n")).first()[0]
-    chosen = sorted(r["word"] for r in sums.where(F.col("word").isNotNull() & (F.col("n") * table.room >= (total or 0))).collect())
+    sums = docs.select("text").mapInArrow(_summaries, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    sums = stages.write(sums.withColumn("class", F.floor(F.log2("n") * 8).cast("int")), "frequent")
+    fit, least = 0, None
+    for r in sorted(sums.groupBy("class").count().collect(), key=lambda r: -r["class"]):  # 8 classes to a bit of the largest sum
+        fit += r["count"]
+        if fit > table.room:
+            break
+        least = r["class"]
+    chosen = [] if least is None else sorted(r["word"] for r in sums.where(F.col("class") >= least).select("word").collect())
     stages.drop(sums)
     for w, n in zip(chosen, lengths_by_library(path, chosen), strict=True):
         if 0 < n < 256:

@@ -1,5 +1,6 @@
 """Long conversations, and which pre-tokens the broadcast table holds."""
 
+import math
 import random
 import time
 from collections import Counter
@@ -51,11 +52,11 @@ def test_table_holds_the_frequent_pre_tokens_of_all_documents(spark):
     # each part of the table has words of its own; the last rows hold the most frequent ones
     docs = [(i, " ".join(f"p{i // 50}x{int(rng.paretovariate(1.2))}" for _ in range(80)) + (" late" * 30 if i >= 350 else "")) for i in range(400)]
     exact = Counter(w for _, t in docs for w in t.split())
-    total = sum(exact.values())
     room = token_counts.LengthTable(8).room
     table = token_counts.frequent_lengths(spark.createDataFrame(docs, "doc_id long, text string").repartition(7), WORDS, bits=8)
     held = {w for w in exact if table.get(token_counts.np.array([xxhash.xxh3_64_intdigest(w)], token_counts.np.uint64))[0]}
-    assert "late" in held and {w for w, n in exact.items() if n * room >= 2 * total + room} <= held
-    assert held <= {w for w, n in exact.items() if n * room >= total} and len(held) <= room == 128
+    least = min(math.floor(math.log2(exact[w]) * 8) for w in held)
+    assert "late" in held and held == {w for w, n in exact.items() if math.floor(math.log2(n) * 8) >= least}
+    assert len(held) <= room < sum(n >= 2 ** ((least - 1) / 8) for n in exact.values())  # the next class would not fit
     empty = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
     assert [tuple(r) for r in token_counts.token_counts(empty, WORDS).orderBy("doc_id").collect()] == [(1, 0, 0, False), (2, 0, 0, False)]
