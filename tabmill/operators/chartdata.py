@@ -35,7 +35,7 @@ def histograms(df: DataFrame, cols: list[str], bins: int = 30) -> DataFrame:
         width = (hi - lo) if hi > lo else 1.0
         lo, width = (F.lit(x).cast("double") for x in (lo, width))
         b = F.least(F.floor((F.col(c) - lo) / width * F.lit(float(bins))) + 1, F.lit(bins)).cast("int")
-        cells.append(F.struct(F.lit(c).alias("feature"), b.alias("bin")))
+        cells.append(F.struct(F.lit(c).alias("feature"), F.when(F.col(c).isNotNull(), b).alias("bin")))  # least() skips nulls
         edges.append(F.struct(F.lit(c).alias("feature"), lo.alias("lo"), width.alias("width")))
     if not cells:
         return df.sparkSession.createDataFrame([], "feature string, bin int, lo double, hi double, n long")
