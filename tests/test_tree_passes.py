@@ -1,10 +1,11 @@
-"""Passes of the tree learners."""
+"""Passes of the tree learners: small nodes of a round are finished together, histograms of a forest's pass are bounded."""
 
 import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
 
 from tabmill.trees import boosting as B
+from tabmill.trees import forest as FO
 
 
 @pytest.fixture(scope="module")
@@ -28,3 +29,14 @@ def test_one_finish_a_round(train, monkeypatch, params):
     monkeypatch.setattr(B, "LOCAL_ROWS", 700)
     _same(B.fit_boosting([(train, None)], [(0, params)], "regression")[0][0], whole)
     assert len(calls) == params.rounds
+
+
+def test_forest_histograms_are_counted_in_bounded_passes(train, monkeypatch):
+    params = FO.ForestParams(trees=4)
+    whole = FO.fit_forest(train, params, local_rows=400)
+    held, histograms = [], FO._histograms
+    monkeypatch.setattr(FO, "_histograms", lambda p, d, large: held.append(sum(map(len, large.values()))) or histograms(p, d, large))
+    monkeypatch.setattr(FO, "TASK_BYTES", 3 * 3 * 3 * FO.BINS * 8)
+    parted = FO.fit_forest(train, params, local_rows=400)
+    assert max(held) <= 3
+    assert parted.top == whole.top and np.allclose(parted.importances, whole.importances)
