@@ -72,3 +72,53 @@ def test_clusters_visit_few_chunks(spark, monkeypatch):
     points, cols = _points(spark, xs)
     balance.knn_self(points, "id", cols, 5).count()
     assert seen["visits"] < 0.2 * seen["all"]
+
+
+def test_chunks_go_to_a_group_once(spark, monkeypatch):
+    """Points spread over nine features, of which each reaches most chunks: what is sent is a chunk for a group, not for a row."""
+    monkeypatch.setattr(balance, "LEAF_ROWS", 32)
+    monkeypatch.setattr(balance, "CELL_ROWS", 60)
+    monkeypatch.setattr(balance, "GROUP_ROWS", 200, raising=False)
+    kept = {}
+    real = balance.materialize
+    monkeypatch.setattr(balance, "materialize", lambda df, name="stage": kept.setdefault(name, real(df, name)))
+    xs = np.random.default_rng(7).uniform(size=(900, 9))
+    points, cols = _points(spark, xs)
+    got = {}
+    for r in balance.knn_self(points, "id", cols, 4, chunk_rows=60).orderBy("id", "nb_rank").collect():
+        got.setdefault(r["id"], []).append((r["nb_id"], r["dist"]))
+    assert got == _plain(xs, 4)
+    sent = kept["needs"].join(kept["chunks"].drop("grp"), ["cell", "sub"])
+    groups = kept["chunks"].agg(F.countDistinct("grp")).first()[0]
+    assert 4 <= groups < 9
+    assert kept["needs"].groupBy("grp", "cell", "sub").count().where("count > 1").isEmpty()
+    assert sent.select(F.sum(F.size("ids"))).first()[0] <= groups * len(xs)
+    assert kept["chunks"].columns == ["cell", "sub", "grp", "ids", "vecs", "bounds", "low", "high"]
+
+
+def test_rows_of_one_id_share_its_ranks(spark):
+    """As one ranking by id: of a repeated id all rows ask, none is a neighbour of the others."""
+    xs = np.random.default_rng(8).integers(0, 6, (60, 3)).astype(float)
+    ids = [i % 45 for i in range(60)]
+    points = spark.createDataFrame([(i, *map(float, x)) for i, x in zip(ids, xs, strict=True)], "id bigint, a double, b double, c double")
+    got = {}
+    for r in balance.knn_self(points, "id", ["a", "b", "c"], 3).orderBy("id", "nb_rank").collect():
+        got.setdefault(r["id"], []).append((r["dist"], r["nb_id"]))
+    want = {i: sorted((((xs[n] - xs[m]) ** 2).sum(), ids[m]) for n in range(60) if ids[n] == i for m in range(60) if ids[m] != i)[:3] for i in ids}
+    assert got == want
+
+
+def test_only_neighbours_taken_are_joined(spark):
+    """Each copy takes one neighbour: no more rows than copies meet the sources."""
+    xs = np.random.default_rng(9).normal(size=(40, 2))
+    points, cols = _points(spark, xs)
+    nbrs = balance.knn_self(points, "id", cols, 4)
+    syn = balance.synthesize(points, nbrs, "id", cols, 50, 40, 4, 42)
+    rows = syn.collect()
+    assert len(rows) == 50
+    rank = {(r["id"], r["nb_id"]): r["nb_rank"] for r in nbrs.collect()}
+    for r in rows:
+        assert (r["source_id"], r["neighbor_id"]) in rank
+        a, b = xs[r["source_id"]], xs[r["neighbor_id"]]
+        assert np.allclose([r["f0"], r["f1"]], a + r["gap"] * (b - a))
+    assert "collect_list" not in syn._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
