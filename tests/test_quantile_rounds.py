@@ -24,3 +24,15 @@ def test_a_row_meets_a_bracket_once(spark, monkeypatch, spread):
     for i, c in enumerate("ab"):
         values = [r[i] for r in rows if r[i] is not None]
         assert [got[c][p] for p in probs] == pytest.approx([float(np.quantile(values, p)) for p in probs])
+
+
+def test_one_round_leaves_a_small_bracket(spark, monkeypatch):
+    """A bracket ends within a few 2,048ths of its rows: at 60,000 rows and 200 values one round of sketch and counts is enough."""
+    values = np.random.default_rng(6).normal(size=(60_000, 2))
+    df = spark.createDataFrame(values.tolist(), "a double, b double")
+    rounds, narrow = [], Q._narrow
+    monkeypatch.setattr(Q, "_narrow", lambda *args: rounds.append(narrow(*args)))
+    got = Q.column_quantiles(df, ["a", "b"], [0.25, 0.5, 0.75], max_bracket=200)
+    assert len(rounds) == 1
+    for i, c in enumerate("ab"):
+        assert [got[c][p] for p in (0.25, 0.5, 0.75)] == pytest.approx(np.quantile(values[:, i], [0.25, 0.5, 0.75]).tolist())
