@@ -40,3 +40,34 @@ def test_forest_histograms_are_counted_in_bounded_passes(train, monkeypatch):
     parted = FO.fit_forest(train, params, local_rows=400)
     assert max(held) <= 3
     assert parted.top == whole.top and np.allclose(parted.importances, whole.importances)
+
+
+def test_only_large_nodes_are_counted_in_passes(spark, train, monkeypatch):
+    """A small node beside a large one goes to its own task at once, not through another pass over the table."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(2000, 2))
+    y = np.where(x[:, 0] > 1.3, 9.0, 0.0) + x[:, 1] + 0.1 * rng.normal(size=2000)  # the first split leaves some 200 rows on one side
+    table = spark.createDataFrame([(i, float(t), Vectors.dense(r)) for i, (r, t) in enumerate(zip(x.tolist(), y, strict=True))], ["id", "y", "features"]).repartition(3)
+    for kind, params in (("regression", B.BoostParams(rounds=2, depth=5)), ("classification", B.BoostParams(rounds=2, depth=0, leaves=9, min_rows=5, min_hessian=1e-3))):
+        frame = table if kind == "regression" else table.withColumn("y", (table.y > 0).cast("double"))
+        whole = B.fit_boosting([(frame, None)], [(0, params)], kind)[0][0]
+        with monkeypatch.context() as patch:
+            counted, ended, grow, count, rows = [], [], {}, B._count_pass, B._rows
+            patch.setattr(B, "_count_pass", lambda state, late, growing, targets, *a: grow.update(growing) or counted.extend(
+                growing[m].nodes[i].sums[2] for m, nodes in targets.items() for i in nodes) or count(state, late, growing, targets, *a))
+            patch.setattr(B, "_rows", lambda k, d, places, late, routes, targets: ended.extend(
+                grow[m].nodes[i].sums[2] for m, nodes in targets.items() for i in nodes) or rows(k, d, places, late, routes, targets))
+            patch.setattr(B, "LOCAL_ROWS", 600)
+            _same(B.fit_boosting([(frame, None)], [(0, params)], kind)[0][0], whole)
+        assert len(counted) > 2 and min(counted) > 600 and ended and max(ended) <= 600
+
+
+def test_scores_are_written_every_few_rounds(train, monkeypatch):
+    """Rounds past a write go on from the written scores, with the trees since added by the passes."""
+    params = B.BoostParams(rounds=5, depth=3)
+    whole = B.fit_boosting([(train, train)], [(0, params)], "regression", with_errors=True)
+    monkeypatch.setattr(B, "KEEP_EVERY", 2)
+    monkeypatch.setattr(B, "LOCAL_ROWS", 700)
+    parted = B.fit_boosting([(train, train)], [(0, params)], "regression", with_errors=True)
+    _same(parted[0][0], whole[0][0])
+    assert parted[1][0]["n"] == 3000 and np.isclose(parted[1][0]["sq"], whole[1][0]["sq"])
