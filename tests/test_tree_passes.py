@@ -71,3 +71,38 @@ def test_scores_are_written_every_few_rounds(train, monkeypatch):
     parted = B.fit_boosting([(train, train)], [(0, params)], "regression", with_errors=True)
     _same(parted[0][0], whole[0][0])
     assert parted[1][0]["n"] == 3000 and np.isclose(parted[1][0]["sq"], whole[1][0]["sq"])
+
+
+def test_passes_read_parts_of_many_blocks(spark, monkeypatch):
+    """A task counts its rows as one part, not block by block, and never joins the rows of two pairs or of both sides."""
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(5000, 2))
+    y = x[:, 0] + 0.1 * rng.normal(size=5000)
+    rows = spark.createDataFrame([(i, float(t), Vectors.dense(r)) for i, (r, t) in enumerate(zip(x.tolist(), y, strict=True))], ["id", "y", "features"]).repartition(10).cache()
+    kept, held = B._kept, []
+    monkeypatch.setattr(B, "_kept", lambda parts: held.append(sorted((p["pair"], p["fit"], len(p["y"])) for p in parts.collect())) or kept(parts))
+    pairs = [(rows.where("id % 2 = 0"), rows.where("id % 2 = 1")), (rows, None)]
+    params = B.BoostParams(rounds=1, depth=2)
+    B.fit_boosting(pairs, [(0, params), (1, params)], "regression", with_errors=True)
+    found, tasks = held[0], spark.sparkContext.defaultParallelism
+    assert len(found) <= 3 * tasks and sum(n for *_, n in found) == 10000
+    assert {key: sum(n for *k, n in found if tuple(k) == key) for key in ((0, True), (0, False), (1, True))} == {(0, True): 2500, (0, False): 2500, (1, True): 5000}
+    monkeypatch.setattr(B, "PART_ROWS", B.BLOCK_ROWS + 400)
+    held.clear()
+    B.fit_boosting(pairs, [(0, params), (1, params)], "regression", with_errors=True)
+    assert sum(n for *_, n in held[0]) == 10000 and max(n for *_, n in held[0]) <= B.BLOCK_ROWS + 400
+
+
+def test_trees_of_many_rows_are_added_once(train, monkeypatch):
+    """With many rows no pass adds earlier trees to the scores: each round does it once."""
+    params = [B.BoostParams(rounds=4, depth=3), B.BoostParams(rounds=2, depth=0, leaves=6, min_rows=20)]
+    frame = train.withColumn("y", (train.y > 1).cast("double"))
+    few = B.fit_boosting([(frame, frame)], [(0, p) for p in params], "classification", with_errors=True)
+    late, grow = [], B._grow
+    monkeypatch.setattr(B, "_grow", lambda state, trees, *a: late.append(len(trees)) or grow(state, trees, *a))
+    monkeypatch.setattr(B, "FEW_SCORES", 1000)
+    many = B.fit_boosting([(frame, frame)], [(0, p) for p in params], "classification", with_errors=True)
+    assert late == [0, 0, 0, 0]
+    for a, b, e, f in zip(few[0], many[0], few[1], many[1], strict=True):
+        _same(a, b)
+        assert e == f and e["n"] == 3000
