@@ -1,9 +1,11 @@
 """Passes of the tree learners: small nodes of a round are finished together, histograms of a forest's pass are bounded."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import Vectors
 
+from tabmill.trees import blocks as BL
 from tabmill.trees import boosting as B
 from tabmill.trees import forest as FO
 
@@ -79,18 +81,18 @@ def test_passes_read_parts_of_many_blocks(spark, monkeypatch):
     x = rng.normal(size=(5000, 2))
     y = x[:, 0] + 0.1 * rng.normal(size=5000)
     rows = spark.createDataFrame([(i, float(t), Vectors.dense(r)) for i, (r, t) in enumerate(zip(x.tolist(), y, strict=True))], ["id", "y", "features"]).repartition(10).cache()
-    kept, held = B._kept, []
-    monkeypatch.setattr(B, "_kept", lambda parts: held.append(sorted((p["pair"], p["fit"], len(p["y"])) for p in parts.collect())) or kept(parts))
+    kept, held = B.kept, []
+    monkeypatch.setattr(B, "kept", lambda parts: held.append(sorted((p["pair"], p["fit"], len(p["y"])) for p in parts.collect())) or kept(parts))
     pairs = [(rows.where("id % 2 = 0"), rows.where("id % 2 = 1")), (rows, None)]
     params = B.BoostParams(rounds=1, depth=2)
     B.fit_boosting(pairs, [(0, params), (1, params)], "regression", with_errors=True)
     found, tasks = held[0], spark.sparkContext.defaultParallelism
     assert len(found) <= 3 * tasks and sum(n for *_, n in found) == 10000
     assert {key: sum(n for *k, n in found if tuple(k) == key) for key in ((0, True), (0, False), (1, True))} == {(0, True): 2500, (0, False): 2500, (1, True): 5000}
-    monkeypatch.setattr(B, "PART_ROWS", B.BLOCK_ROWS + 400)
+    monkeypatch.setattr(BL, "PART_ROWS", B.BLOCK_ROWS)
     held.clear()
     B.fit_boosting(pairs, [(0, params), (1, params)], "regression", with_errors=True)
-    assert sum(n for *_, n in held[0]) == 10000 and max(n for *_, n in held[0]) <= B.BLOCK_ROWS + 400
+    assert sum(n for *_, n in held[0]) == 10000 and len(held[0]) == 30  # a block each
 
 
 def test_trees_of_many_rows_are_added_once(train, monkeypatch):
@@ -106,3 +108,30 @@ def test_trees_of_many_rows_are_added_once(train, monkeypatch):
     for a, b, e, f in zip(few[0], many[0], few[1], many[1], strict=True):
         _same(a, b)
         assert e == f and e["n"] == 3000
+
+
+def test_a_forest_writes_no_nodes_of_its_rows(train, monkeypatch):
+    """No table of a row's nodes in all trees, which grew with rows times trees in every task; large nodes and subtrees as before."""
+    written, materialize = [], FO.materialize
+    monkeypatch.setattr(FO, "materialize", lambda df, name: written.append((name, df.columns)) or materialize(df, name))
+    fit = FO.fit_forest(train, FO.ForestParams(trees=3), local_rows=300)
+    assert [name for name, _ in written] == ["forest-blocks", "forest-subtrees"] and not any("nodes" in columns for _, columns in written)
+    ends = {(r["tree"], r["node"]) for r in fit.subtrees.select("tree", "node").collect()}
+    for t, (splits, leaves) in enumerate(fit.top):
+        assert len(splits) > 3 and all(node == 1 or node >> 1 in splits for node in splits)
+        assert {c for node in splits for c in (2 * node, 2 * node + 1)} - set(splits) - set(leaves) == {node for tree, node in ends if tree == t}
+
+
+def test_a_subtree_is_read_once_for_all_chunks():
+    """A subtree comes once, before the chunks of rows that fall into it."""
+    blank = {"batch": None, "tree": 0, "node": 5, "known": None, "rows": None, "x": None, "feature": None, "threshold": None, "left": None, "value": None}
+    tree = {**blank, "feature": np.array([0, -1, -1], np.int16).tobytes(), "threshold": np.array([1.5, 0, 0]).tobytes(),
+            "left": np.array([1, -1, -1], np.int32).tobytes(), "value": np.array([0, 10.0, 20.0]).tobytes()}
+    chunk = lambda batch, x, **more: {**blank, "batch": batch, "rows": np.arange(len(x)).tobytes(), "x": np.array(x, float).tobytes(), **more}
+    schema = pa.schema([("batch", pa.int64()), ("tree", pa.int32()), ("node", pa.int64()), ("known", pa.float64()), *[(c, pa.binary()) for c in ("rows", "x", "feature", "threshold", "left", "value")]])
+    rows = [tree, chunk(0, [1, 2]), chunk(7, [3]), chunk(9, [1], node=6, known=4.0)]
+    batches = [pa.RecordBatch.from_pylist(part, schema) for part in (rows[:2], rows[2:])]  # a subtree's chunks may go on in the next batch
+    found = {r["batch"]: np.frombuffer(r["value"]).tolist() for batch in FO._evaluate(1)(iter(batches)) for r in batch.to_pylist()}
+    assert found == {0: [10.0, 20.0], 7: [20.0], 9: [4.0]}
+    with pytest.raises(ValueError):
+        list(FO._evaluate(1)(iter([pa.RecordBatch.from_pylist([tree, chunk(0, [1], node=6)], schema)])))
